@@ -1,16 +1,22 @@
 """The queries of this subpackage, by name, and SQL for those that SQL can express."""
 
+from fairweave.llm.language_id import op9_language_id
 from fairweave.llm.lm_scoring import op1_lm_scoring
 from fairweave.llm.media import op7_media_columns
 from fairweave.llm.near_dedup import op3_minhash_near_dedup
 from fairweave.llm.packing import op8_packing
+from fairweave.llm.sentence_dedup import op6_sentence_dedup
 from fairweave.llm.substring_dedup import op10_suffix_array_dedup
+from fairweave.llm.toxicity import op5_toxicity
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op6_sentence_dedup": op6_sentence_dedup,
     "op7_media_columns": op7_media_columns,
     "op8_packing": op8_packing,
+    "op9_language_id": op9_language_id,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
