@@ -31,6 +31,8 @@ TARGETS = frozenset("you your yours they them their those he she du dich ihr euc
 NEGATIONS = frozenset("not never isn aren wasn nicht kein keine nie jamais aucun nunca tampoco".split())
 REPORTS = frozenset("said says told wrote quoted claimed reported sagte schrieb dit écrit dijo escribió".split())
 _PREFIXES = range(3, 9)
+#: Clause weights beyond this sum make a text no more likely to be toxic.
+_ENOUGH = 15.0
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
 
@@ -131,13 +133,13 @@ def _scores(shared):
             for i in range(0, len(batch), 256):
                 n = min(256, len(batch) - i)
                 x = np.array([grammar.weigh(t or "") for t in texts.slice(i, n).to_pylist()])
-                score = 1 / (1 + np.exp(-(model.bias + model.slope * np.log1p(x))))
+                score = 1 / (1 + np.exp(-(model.bias + model.slope * np.minimum(x, _ENOUGH))))
                 yield pa.RecordBatch.from_arrays([ids.slice(i, n), held.slice(i, n), pa.array(score), pa.array((score >= model.threshold).astype(np.int32))], schema=_OUT)
 
     return work
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> tuple[float, float]:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
     """Bias and slope of a logistic curve through labelled values, by Newton steps."""
     z = np.column_stack((np.ones_like(x), x))
     beta = np.zeros(2)
@@ -181,7 +183,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int =
     weighed = sample.mapInArrow(_weights(lexicon), "x double, toxic long").groupBy(F.round("x", 1).alias("x"), "toxic").count().limit(100_000).collect()
     x = np.repeat([r.x for r in weighed], [r["count"] for r in weighed])
     y = np.repeat([float(r.toxic) for r in weighed], [r["count"] for r in weighed])
-    bias, slope = fit_logistic(np.log1p(x), y)
+    bias, slope = fit_logistic(np.minimum(x, _ENOUGH), y)
     return SimpleNamespace(lexicon=lexicon, bias=bias, slope=slope)
 
 
