@@ -11,6 +11,7 @@ no padding.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
@@ -31,7 +32,9 @@ _COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 4
 #: Code points with the Unicode property White_Space (fixed values).
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 150_000
+#: How byte-level BPE splits texts (fixed value).
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _classes() -> np.ndarray:
@@ -41,36 +44,51 @@ def _classes() -> np.ndarray:
     return out
 
 
+def _byte_letters() -> dict[str, int]:
+    """The printable letter that stands for each byte in a byte-level vocabulary, by its rule."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 class ByteLevelTokenizer:
     """Ids of a byte-level BPE tokenizer file, many texts at once.
 
     Texts are split into the tokenizer's words with array operations; each distinct word
     is tokenized once and remembered.  Texts with contractions ('s, 't ...) or characters
-    above U+FFFF go to the tokenizer whole, so the ids are the tokenizer's in every case.
+    above U+FFFF are split by the tokenizer's own pattern, so the ids are the tokenizer's
+    in every case.  The file's merges must be in the order of its ids.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        from tiktoken import Encoding
+
+        model = json.loads(open(path, encoding="utf-8").read())["model"]
+        letters, vocabulary = _byte_letters(), model["vocab"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        if [vocabulary[a + b] for a, b in merges] != list(range(256, 256 + len(merges))):
+            raise ValueError(f"{path}: merges are not in the order of ids")
+        ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if i < 256 + len(merges)}
+        self.whole = Encoding("byte_level", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.kind = _classes()
         self.names = mix(np.arange(1, 0x10001, dtype=U64) * U64(0x9E3779B97F4A7C15))
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[int, int] = {}
-        self.at, self.ids, self.used = [0], np.zeros(1 << 16, np.uint32), 0
+        self.at, self.ids, self.used = np.zeros(1, np.int64), np.zeros(1 << 16, np.uint32), 0
 
     def _learn(self, words: list[str], names: list[int]) -> None:
-        for name, e in zip(names, self.whole.encode_batch(words, add_special_tokens=False)):
-            ids = e.ids
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.number[name] = len(self.at) - 1
-            self.at.append(self.used)
+        piece, ids, at, base = self.whole._core_bpe.encode_single_piece, [], [], self.used
+        self.number.update(zip(names, range(len(self.at) - 1, len(self.at) - 1 + len(names))))
+        for word in words:
+            ids += piece(word.encode())
+            at.append(base + len(ids))
+        self.at = np.concatenate((self.at, at))
+        while base + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.ids[base : base + len(ids)] = ids
+        self.used = base + len(ids)
 
     def _simple(self, text: str, points: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
         """Ids of the texts between ``cuts`` of ``text``."""
@@ -106,8 +124,7 @@ class ByteLevelTokenizer:
         if new:
             self._learn([text[begin[at[i]] : end[at[i]]] for i in new], [keys[i] for i in new])
         entry = np.array([self.number[k] for k in keys], np.int64)
-        bounds = np.array(self.at)
-        low, count = bounds[entry], bounds[entry + 1] - bounds[entry]
+        low, count = self.at[entry], self.at[entry + 1] - self.at[entry]
         low, count = low[number], count[number]
         stop = np.cumsum(count)
         ids = self.ids[np.repeat(low - (stop - count), count) + np.arange(stop[-1])]
@@ -116,19 +133,19 @@ class ByteLevelTokenizer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list = [None] * len(texts)
-        easy = [i for i, t in enumerate(texts) if t and not _CONTRACTION(t) and max(t) < "\U00010000"]
+        easy = [i for i, t in enumerate(texts) if t and not _contraction(t) and (t.isascii() or len(t.encode("utf-16-le")) == 2 * len(t))]
         if easy:
             text = "".join(texts[i] for i in easy)
             cuts = np.concatenate(([0], np.cumsum([len(texts[i]) for i in easy])))
             for i, ids in zip(easy, self._simple(text, np.frombuffer(text.encode("utf-32-le"), np.uint32), cuts)):
                 out[i] = ids
         hard = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(hard, self.whole.encode_batch([texts[i] for i in hard], add_special_tokens=False)):
-            out[i] = np.array(e.ids, np.uint32)
+        for i in hard:
+            out[i] = np.array(self.whole.encode_ordinary(texts[i]), np.uint32)
         return out
 
 
-def _CONTRACTION(text: str) -> bool:
+def _contraction(text: str) -> bool:
     at = text.find("'")
     while at >= 0:
         if text.startswith(("s", "t", "re", "ve", "m", "ll", "d"), at + 1):
