@@ -266,7 +266,7 @@ def remove_repeated_substrings(docs: DataFrame, threshold: int = 100, *, with_te
     Returns one row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with
     ``with_text``, the kept bytes.  A null text is empty: nothing is removed and the digest is
     that of no bytes.  Rows of the same id are taken in the order of their texts, as if the
-    later ones had greater ids; a null id comes last.  An empty table gives no rows.
+    later ones had greater ids; a null id comes last in the first chunk.  An empty table gives no rows.
 
     ``threshold`` is 96 to 128.  Names have 64 bits; a string is also tied to the bucket of its
     least name.  ``chunk_bytes`` bounds what a task holds, ``bucket_names`` what a bucket sorts.
