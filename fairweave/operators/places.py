@@ -159,11 +159,11 @@ def revalidate(df: DataFrame, verdict: str = "verdict") -> DataFrame:
 
 def nearest(points: DataFrame, sites: DataFrame, miles: float) -> DataFrame:
     """The nearest site within ``miles`` of each point, by shared half-degree cells and their neighbours."""
-    reach = max(1, round(miles / 34.5 + 0.5))
-    cell = lambda c: F.floor(F.col(c) * 2)
-    around = lambda c: F.explode(F.sequence(cell(c) - reach, cell(c) + 2 * reach))
-    s = sites.select("site_id", F.col("lat").alias("sa"), F.col("lng").alias("so")).select("*", around("sa").alias("ca")).select("*", around("so").alias("co"))
-    p = points.select("row_id", "lat", "lng", cell("lat").alias("ca"), cell("lng").alias("co"))
+    cell, up = (lambda c: F.floor(c * 2)), miles / 69.0 * 1.01
+    aside = F.lit(up) / F.cos(F.radians(F.least(F.abs("sa") + up, F.lit(89.0))))
+    around = lambda c, by: F.explode(F.sequence(cell(F.col(c) - by), cell(F.col(c) + by)))
+    s = sites.select("site_id", F.col("lat").alias("sa"), F.col("lng").alias("so")).select("*", around("sa", F.lit(up)).alias("ca")).select("*", around("so", aside).alias("co"))
+    p = points.select("row_id", "lat", "lng", cell(F.col("lat")).alias("ca"), cell(F.col("lng")).alias("co"))
     far = miles_between(F.col("lat"), F.col("lng"), F.col("sa"), F.col("so"))
     hit = p.join(s, ["ca", "co"]).withColumn("miles", far).where(F.col("miles") <= miles)
     first = F.row_number().over(Window.partitionBy("row_id").orderBy("miles", "site_id"))

@@ -543,3 +543,6 @@ def json_feed(spark, sf):
     one = F.struct(F.col("row_id").cast("string").alias("id"), "title", F.lit("<p>x</p>").alias("description"), F.date_format("start_ts", "yyyy-MM-dd HH:mm:ss").alias("start_date"), F.date_format("end_ts", "yyyy-MM-dd HH:mm:ss").alias("end_date"), F.struct(F.lit("Hall").alias("venue"), F.col("clean_location").alias("address")).alias("venue"))
     body = fx.listings(spark, sf).select("source", F.to_json(F.struct(F.array(one).alias("events"))).alias("body"))
     return S.tribe_events(body).select("source", "uid", "title", _day("start_ts").alias("start_day"), "location")
+
+
+from fairweave.plans import queries_detail  # noqa: E402, F401  registers the rest
