@@ -82,14 +82,18 @@ def merge_series(df: DataFrame, shown: int = 8) -> DataFrame:
     return out.unionByName(df.where("start_ts is null").withColumn("series_dates", F.lit(None).cast("array<date>")))
 
 
-def same_venue(a: Column, b: Column) -> Column:
-    """Unknown on either side, one within the other, or the same number and next word."""
-    x, y = normalize_title(a), normalize_title(b)
+def venues_meet(x: Column, y: Column) -> Column:
+    """J6 for venues in the form of ``normalize_title``; before a join that form is made once for each side."""
     number = lambda c: F.regexp_extract(c, r"^\d+", 0)
     word = lambda c: F.coalesce(F.get(F.split(c, " "), F.lit(1)), F.lit(""))
     return (x == "") | (y == "") | x.contains(y) | y.contains(x) | ((number(x) != "") & (number(x) == number(y)) & (word(x) == word(y)))
 
 
+def same_venue(a: Column, b: Column) -> Column:
+    """Unknown on either side, one within the other, or the same number and next word."""
+    return venues_meet(normalize_title(a), normalize_title(b))
+
+
 def _similar(a: Column, b: Column) -> Column:
     shared = F.size(F.array_intersect(a, b))
     return (shared > 0) & (shared * 2 >= F.greatest(F.size(a), F.size(b)))
@@ -100,10 +104,10 @@ def _without_copies(df: DataFrame, candidate: Column, original: Column) -> DataF
 
     Distinct (day, tokens, venue) are compared, not rows, so popular titles stay cheap.
     """
-    keyed = df.withColumns({"__day": F.to_date("start_ts"), "__tok": F.array_sort(title_tokens("title")), "__loc": F.coalesce("clean_location", F.lit(""))})
+    keyed = df.withColumns({"__day": F.to_date("start_ts"), "__tok": F.array_sort(title_tokens("title")), "__loc": normalize_title("clean_location")})
     left = keyed.where(candidate).select("__day", "__tok", "__loc").distinct()
     right = keyed.where(original).select(F.col("__day").alias("d"), F.col("__tok").alias("t"), F.col("__loc").alias("l")).distinct()
-    copies = left.join(right, (F.col("__day") == F.col("d")) & _similar(F.col("__tok"), F.col("t")) & same_venue(F.col("__loc"), F.col("l")), "left_semi")
+    copies = left.join(right, (F.col("__day") == F.col("d")) & _similar(F.col("__tok"), F.col("t")) & venues_meet(F.col("__loc"), F.col("l")), "left_semi")
     copies = copies.withColumn("__copy", F.lit(True))
     out = keyed.withColumn("__cand", candidate).join(copies.withColumn("__cand", F.lit(True)), ["__day", "__tok", "__loc", "__cand"], "left")
     return out.where("__copy is null").select(df.columns)
@@ -123,9 +127,9 @@ def drop_local_copies(df: DataFrame) -> DataFrame:
 
 def overlap_with_known(candidates: DataFrame, known: DataFrame) -> DataFrame:
     """(feed_id, source, shared): candidates' events that a source lists, by day, title and venue."""
-    c = candidates.select("feed_id", F.to_date("start_ts").alias("day"), normalize_title("title").alias("t"), F.coalesce("clean_location", F.lit("")).alias("a"), "row_id")
-    k = known.select("source", F.to_date("start_ts").alias("day"), normalize_title("title").alias("t"), F.coalesce("clean_location", F.lit("")).alias("b")).distinct()
-    return c.join(k, ["day", "t"]).where(same_venue(F.col("a"), F.col("b"))).groupBy("feed_id", "source").agg(F.count_distinct("row_id").alias("shared"))
+    c = candidates.select("feed_id", F.to_date("start_ts").alias("day"), normalize_title("title").alias("t"), normalize_title("clean_location").alias("a"), "row_id")
+    k = known.select("source", F.to_date("start_ts").alias("day"), normalize_title("title").alias("t"), normalize_title("clean_location").alias("b")).distinct()
+    return c.join(k, ["day", "t"]).where(venues_meet(F.col("a"), F.col("b"))).groupBy("feed_id", "source").agg(F.count_distinct("row_id").alias("shared"))
 
 
 def modal_dates(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -36,25 +36,22 @@ def find_private(df: DataFrame, rules: DataFrame, columns: list[str]) -> DataFra
     texts = df.select("row_id", F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit("")).alias("text")) for c in columns])).alias("x")).select("row_id", "x.*")
     low = F.lower("text")
     words, gaps = F.regexp_extract_all(low, F.lit("[a-z0-9]+"), F.lit(0)), F.split(low, "[a-z0-9]+", -1)
-    texts = texts.withColumns({"w": words, "g": gaps}).where("size(w) > 0")
-    # length of text up to each word
-    ends = F.transform("w", lambda w, i: F.length(w) + F.length(F.get("g", i)))
-    texts = texts.withColumn("at", F.aggregate(ends, F.array().cast("array<int>"), lambda a, n: F.concat(a, F.array(F.coalesce(F.get(a, F.size(a) - 1), F.lit(0)) + n))))
-    grams = []
+    texts = texts.select("row_id", "column", words.alias("w"), gaps.alias("g"))
+    length = lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(x))
+    known = F.broadcast(rules.select("fingerprint", "words").distinct())
+    out = None
     for n in sizes:
-        starts = F.sequence(F.lit(1), F.size("w") - (n - 1))
-        joined = F.when(
-            F.size("w") >= n,
-            F.filter(
-                F.transform(starts, lambda i: F.struct(F.sha2(F.array_join(F.slice("w", i, n), "|"), 256).alias("fingerprint"), (F.get("at", i - 1) - F.length(F.get("w", i - 1)) + 1).alias("start"), F.get("at", i + (n - 2)).alias("stop"), F.forall(F.slice("g", i + 1, n - 1), lambda g: g.rlike(r"^[\s,.]+$")).alias("tight"))),
-                lambda s: s["tight"],
-            ),
-        )
-        grams.append(texts.select("row_id", "column", F.explode(joined).alias("s")).select("row_id", "column", "s.fingerprint", "s.start", "s.stop", F.lit(n).alias("words")))
-    out = grams[0] if grams else texts.select("row_id", "column", F.lit("").alias("fingerprint"), F.lit(0).alias("start"), F.lit(0).alias("stop"), F.lit(0).alias("words")).limit(0)
-    for g in grams[1:]:
-        out = out.unionByName(g)
-    return out.join(F.broadcast(rules.select("fingerprint", "words").distinct()), ["fingerprint", "words"]).select("row_id", "column", "fingerprint", "start", "stop")
+        prints = F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.sha2(F.array_join(F.slice("w", i, n), "|"), 256))
+        gram = texts.where(F.size("w") >= n).select("row_id", "column", "w", "g", F.posexplode(prints).alias("i", "fingerprint"))
+        # only what matches is measured
+        hit = gram.join(known.where(F.col("words") == n), "fingerprint")
+        inner, first = F.slice("g", F.col("i") + 2, F.lit(n - 1)), F.col("i") + 1
+        hit = hit.where(F.forall(inner, lambda g: g.rlike(r"^[\s,.]+$")))
+        before = length(F.slice("g", F.lit(1), first)) + length(F.slice("w", F.lit(1), F.col("i")))
+        own = length(F.slice("w", first, F.lit(n))) + length(inner)
+        hit = hit.select("row_id", "column", "fingerprint", (before + 1).alias("start"), (before + own).alias("stop"))
+        out = hit if out is None else out.unionByName(hit)
+    return out if out is not None else texts.select("row_id", "column", F.lit("").alias("fingerprint"), F.lit(0).alias("start"), F.lit(0).alias("stop")).limit(0)
 
 
 def scrub_private(df: DataFrame, rules: DataFrame, columns: list[str]) -> DataFrame:
