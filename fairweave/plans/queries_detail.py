@@ -59,10 +59,8 @@ def promote_local(spark, sf):
 def needs_description(spark, sf):
     p = spark.read.parquet(f"{sf}/pages.parquet")
     text = F.when(F.expr("page_id % 3 = 0"), "No description yet").when(F.expr("page_id % 3 = 1"), "A description that is long enough to be of use to readers").otherwise(F.col("url"))
-    host = F.lower(F.regexp_extract("url", r"^https?://(?:www\.)?([^/:?#]+)", 1))
-    p = p.withColumn("text", text)
-    hosts = [r.h for r in p.select(host.alias("h")).distinct().where("h like '%.example%'").limit(10_000).collect()]
-    return p.select("page_id", P.needs_description("text", "url", hosts).alias("needed"))
+    eligible = P.url_host("url").contains(".example")
+    return p.withColumn("text", text).select("page_id", P.needs_description("text", "url", eligible).alias("needed"))
 
 
 @query("published_pins", "SELECT row_id, round(lat, 4) AS lat, round(lng, 4) AS lng FROM listings")
