@@ -33,6 +33,8 @@ REPORTS = frozenset("said says told wrote quoted claimed reported sagte schrieb
 _PREFIXES = range(3, 9)
 #: Clause weights beyond this sum make a text no more likely to be toxic.
 _ENOUGH = 15.0
+#: Characters at the start of a text that copies and near copies share.
+_FAMILY = 60
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
 
@@ -101,17 +103,18 @@ class Grammar:
 
 
 def _train_features(batches):
-    schema = pa.schema([("feature", pa.string()), ("toxic", pa.int64())])
+    schema = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("family", pa.int64())])
     for batch in batches:
-        toxic = batch.column("toxic").to_pylist()
+        toxic, family = batch.column("toxic").to_pylist(), batch.column("family").to_pylist()
         texts = batch.column("text").to_pylist()
         for i in range(0, len(texts), 64):
-            features, labels = [], []
-            for text, label in zip(texts[i : i + 64], toxic[i : i + 64]):
+            features, labels, families = [], [], []
+            for text, label, kin in zip(texts[i : i + 64], toxic[i : i + 64], family[i : i + 64]):
                 own = {f for w in set(_TOKEN.findall((text or "").lower())) if w not in _BREAKS for f in word_features(w)}
                 features += own
                 labels += [label] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(features, pa.string()), pa.array(labels, pa.int64())], schema=schema)
+                families += [kin] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(features, pa.string()), pa.array(labels, pa.int64()), pa.array(families, pa.int64())], schema=schema)
 
 
 def _weights(lexicon: dict[str, float]):
@@ -139,25 +142,33 @@ def _scores(shared):
     return work
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
-    """Bias and slope of a logistic curve through labelled values, by Newton steps."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
+    """Bias and slope (not negative) of a logistic curve through labelled values.
+
+    Newton steps, halved until the penalised loss falls, so that labels which the values
+    separate without a mistake end at a finite, steep curve.
+    """
     z = np.column_stack((np.ones_like(x), x))
+    penalty = np.array([1e-3, ridge])
+    loss = lambda b: np.logaddexp(0, -(2 * y - 1) * (z @ b)).sum() + (penalty * b**2).sum() / 2
     beta = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-(z @ beta)))
-        gradient = z.T @ (y - p) - ridge * np.array([0, beta[1]])
-        hessian = (z * (p * (1 - p))[:, None]).T @ z + np.diag([1e-6, ridge])
-        step = np.linalg.solve(hessian, gradient)
-        beta += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(z @ beta, -500, 500)))
+        gradient = z.T @ (y - p) - penalty * beta
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), gradient)
+        now, size = loss(beta), 1.0
+        while loss(beta + size * step) > now and size > 1e-9:
+            size /= 2
+        beta = beta + size * step
+        if np.abs(size * step).max() < 1e-9:
             break
-    return float(beta[0]), float(beta[1])
+    return float(beta[0]), max(0.0, float(beta[1]))
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int = 1, sample_docs: int = 12000, lexicon_size: int = 4000) -> SimpleNamespace:
     """The lexicon and the logistic curve, from at most about ``sample_docs`` labelled training texts.
 
-    A feature enters the lexicon if so many of its texts are toxic, and so few are not, that
+    Texts that start alike count once.  A feature enters the lexicon if so many of its texts are toxic, and so few are not, that
     chance gives about one such feature in a lexicon.
     """
     label = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("long")).alias("toxic"))
@@ -166,14 +177,17 @@ def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int =
     if n > sample_docs:
         part = int(1_000_000 * sample_docs / n)
         label = label.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < part)
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(label), "doc_id").select("text", "toxic").where("text is not null")
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(label), "doc_id").where("text is not null")
+    # copies and near copies say the same only once: texts of one beginning are a family
+    sample = sample.select("text", "toxic", F.xxhash64(F.substring("text", 1, _FAMILY)).alias("family"))
     sample = written(sample, "toxicity-sample")
-    totals = sample.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("all")).first()
-    toxic, clean = totals.toxic or 0, totals["all"] - (totals.toxic or 0)
+    kin = lambda of: F.count_distinct(F.when(F.col("toxic") == of, F.col("family")))
+    totals = sample.agg(kin(1).alias("toxic"), kin(0).alias("clean")).first()
+    toxic, clean = totals.toxic, totals.clean
     if not toxic or not clean:
         return SimpleNamespace(lexicon={}, bias=-4.0 if not toxic else 4.0, slope=0.0)
-    counted = sample.repartition(24).mapInArrow(_train_features, "feature string, toxic long").groupBy("feature").agg(F.sum("toxic").alias("t"), F.count("*").alias("all"))
-    counted = counted.where("t >= 2").withColumn("c", F.col("all") - F.col("t"))
+    counted = sample.repartition(24).mapInArrow(_train_features, "feature string, toxic long, family long").distinct()
+    counted = counted.groupBy("feature").agg(F.sum("toxic").alias("t"), F.count("*").alias("all")).where("t >= 2").withColumn("c", F.col("all") - F.col("t"))
     gain = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     # the binomial tail for t of t + c texts, bounded by Chernoff's inequality
     share, q = F.col("t") / F.col("all"), toxic / (toxic + clean)
