@@ -36,7 +36,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays."""
+    """Of each group of near copies (similarity 0.8 or more) the document with the least id stays."""
     return _without(docs, near_duplicates(docs).where("not kept"))
 
 

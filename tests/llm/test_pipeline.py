@@ -54,3 +54,17 @@ def test_stages_against_brute_force(spark, tmp_path):
     for r in corpus_pipeline.run(spark, folder).collect():
         pieces[r.doc_id] += r.length
     assert set(pieces) == set(kept["secret_scans"])
+
+
+def test_near_dedup_links_from_a_similarity_of_80_per_cent(spark):
+    """Copies with two of 100 words edited (0.81) go, copies with three (0.73) stay."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(0, 60, 3):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        for k, places in enumerate([(), (30, 60), (20, 50, 80)]):
+            edited = [f"new{rng.randrange(10**6)}" if at in places else w for at, w in enumerate(base)]
+            rows.append((i + k, " ".join(edited), "en", "s", 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert got == {d for d, _, c in grouped(rows, 80) if d == c} == {i for i in range(60) if i % 3 != 1}
