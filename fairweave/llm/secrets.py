@@ -3,8 +3,8 @@
 Plain patterns give the base spans: assigned secrets, access identifiers and long
 hexadecimal strings.  Weaker parts (account identifiers, key-like assignments, endpoints)
 are common in clean text and are reported only when complementary parts stand within one
-scope: an interval join over each text's parts, done as a range frame over their starts,
-finds the roles within reach of each part.  A weak part is reported if it and the parts
+scope: an interval join over each text's parts, done by the furthest end before and the
+next start after each part, finds the roles within reach of it.  A weak part is reported if it and the parts
 within reach make up at least two roles, one of them a secret.
 
 DataFrame functions only.  Offsets count code points; ends are exclusive.
@@ -44,29 +44,44 @@ def _found(text: Column, kind: tuple) -> Column:
 
 
 def parts(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, ord, name, role, base, start, stop) of all matches that are long enough."""
+    """(doc_id, digest, ord, name, role, base, start, stop) of all matches that are long enough.
+
+    Repeated rows of a text give its matches once.
+    """
     out = None
     for order, kind in enumerate(KINDS):
-        name, pattern, least, role, base, _ = kind
+        pattern = kind[1]
         rows = docs.select("doc_id", "digest", F.posexplode(_found(F.col("text"), kind)).alias("i", "m"))
-        upto = Window.partitionBy("doc_id", "digest").orderBy("i")
-        piece, match = F.length("m.piece"), F.coalesce(F.length("m.match"), F.lit(0))
-        rows = rows.withColumn("start", F.sum(piece).over(upto) + F.coalesce(F.sum(match).over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        match = F.length("m.match")
         value = F.length(F.regexp_extract("m.match", pattern, 2)) if "(" in pattern.replace("(?i)", "") else match
-        rows = rows.where(F.col("m.match").isNotNull() & (value >= least))
-        rows = rows.select("doc_id", "digest", F.lit(order).alias("ord"), F.lit(name).alias("name"), F.lit(role).alias("role"), F.lit(base).alias("base"), F.col("start").cast("long").alias("start"), (F.col("start") + match).cast("long").alias("stop"))
+        rows = rows.select("doc_id", "digest", F.lit(order).alias("ord"), "i", F.length("m.piece").alias("piece"), match.alias("match"), value.alias("value"))
         out = rows if out is None else out.unionByName(rows)
-    return out
+    upto = Window.partitionBy("doc_id", "digest", "ord").orderBy("i")
+    out = out.repartition("doc_id", "digest").dropDuplicates(["doc_id", "digest", "ord", "i"])
+    start = F.sum("piece").over(upto.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce(F.sum("match").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    of = lambda k: F.element_at(F.array(*[F.lit(kind[k]) for kind in KINDS]), F.col("ord") + 1)
+    least = of(2)
+    out = out.withColumn("start", start).where(F.col("match").isNotNull() & (F.col("value") >= least))
+    return out.select("doc_id", "digest", "ord", of(0).alias("name"), of(3).alias("role"), of(4).alias("base"), F.col("start").cast("long").alias("start"), (F.col("start") + F.col("match")).cast("long").alias("stop"))
 
 
 def linked_spans(docs: DataFrame, scope: int = 200) -> DataFrame:
-    """Base parts, and weak parts with complementary parts within ``scope`` code points of their start."""
+    """Base parts, and weak parts with complementary parts at most ``scope`` code points away.
+
+    The distance is the gap between the end of one part and the start of the next.
+    """
     found = parts(docs)
-    text = Window.partitionBy("doc_id", "digest")
-    near = text.orderBy("start").rangeBetween(-scope, scope)
-    roles = [F.max((F.col("role") == r).cast("int")).over(near) for r in ("secret", "identifier", "endpoint")]
-    before = F.max(F.when(F.col("base"), F.col("stop"))).over(text.orderBy("start", "ord").rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(F.col("base"), F.col("start"))).over(text.orderBy("start", "ord").rowsBetween(1, Window.unboundedFollowing))
+    order = Window.partitionBy("doc_id", "digest").orderBy("start", "ord")
+    upto, onward = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+
+    def reached(role):
+        left = F.max(F.when(F.col("role") == role, F.col("stop"))).over(upto) >= F.col("start") - scope
+        right = F.min(F.when(F.col("role") == role, F.col("start"))).over(onward) <= F.col("stop") + scope
+        return (F.coalesce(left, F.lit(False)) | F.coalesce(right, F.lit(False))).cast("int")
+
+    roles = [reached(r) for r in ("secret", "identifier", "endpoint")]
+    before = F.max(F.when(F.col("base"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.min(F.when(F.col("base"), F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
     found = found.withColumns({"secret": roles[0], "kinds": roles[0] + roles[1] + roles[2], "before": before, "after": after})
     free = (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.coalesce("after", F.col("stop")) >= F.col("stop"))
     linked = (F.col("secret") == 1) & (F.col("kinds") >= 2) & free
