@@ -78,8 +78,8 @@ NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 _NAMES = byte_names(0x5EED)
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, start byte, 64-bit name) of every word, ASCII letters lower-cased."""
+def words(raw: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray = NOT_SPACE, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, start byte, 64-bit name) of every word, ASCII letters lower-cased; words also end at ``cuts``."""
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
     low = LOWER[raw]
@@ -87,7 +87,8 @@ def words(raw: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray = NOT_SPAC
     before, after = np.empty_like(inside), np.empty_like(inside)
     before[0], before[1:] = False, inside[:-1]
     after[-1], after[:-1] = False, inside[1:]
-    edges = offsets[(offsets > 0) & (offsets < len(raw))]
+    edges = offsets if cuts is None else np.concatenate((offsets, cuts))
+    edges = edges[(edges > 0) & (edges < len(raw))]
     before[edges] = False
     after[edges - 1] = False
     starts = np.flatnonzero(inside & ~before)

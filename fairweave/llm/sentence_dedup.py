@@ -1,8 +1,11 @@
 """Removal of repeated text by sliding spans of consecutive sentences.
 
-A sentence ends after a word that ends in ``.``, ``!`` or ``?`` and at a line break.  From
-every sentence a span runs over as many whole sentences, two at least, as hold
-``span_words`` words; a sentence of ``long_words`` or more is a span of its own.  Where a
+A sentence ends after a word that ends in a full stop, question or exclamation mark of any
+script, closing quotes and brackets behind it included, and at a line break; marks of scripts
+without blanks end a word too.  From every sentence a span runs over as many whole sentences,
+two at least, as hold ``span_words`` words; a sentence of ``long_words`` or more is a span of
+its own.  With no ``span_words`` every two sentences in a row are a span: a longer run repeats
+only if all its pairs do, so the pairs cover every repeated run of several sentences.  Where a
 span starts and ends depends on its words alone, so equal passages give equal spans
 wherever they stand.  Spans are compared by their words, ASCII letters lower-cased.
 
@@ -28,13 +31,63 @@ from fairweave.llm.substring_dedup import _ROWS_SQL, _answer_positions, _asked,
 _PIECE = 1 << 20
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.string())])
 _OUT_SQL = "doc_id long, n_sentences long, n_removed long, n_spans long, kept_sha256 string, text string"
-_STOP = np.zeros(256, bool)
-_STOP[[ord(c) for c in ".!?"]] = True
+#: Marks that end a sentence; those that also end it inside a stretch without blanks; quotes and brackets
+#: that may stand behind one; those of them that never open.
+_STOPS, _INNER = ".!?。！？．｡…‼⁇⁈⁉؟۔।॥։።។။", "。！？｡।॥።។။"
+_CLOSERS, _CLOSING = "\"')]}”’»›“‘«」』）】》〉〕］｝", ")]}”’»›」』）】》〉〕］｝"
+
+
+def _codes(chars: str) -> np.ndarray:
+    return np.array(sorted(int.from_bytes(c.encode(), "big") for c in chars), np.int64)
+
+
+_STOP, _INNER_STOP, _CLOSER, _FOLLOWING = _codes(_STOPS), _codes(_INNER), _codes(_CLOSERS), _codes(_STOPS + _CLOSING)
+
+
+def _code(raw: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ``size`` (1 to 3) bytes from ``at`` on as a number."""
+    code = raw[at].astype(np.int64)
+    for k in (1, 2):
+        code = np.where(size > k, code << 8 | raw[np.minimum(at + k, len(raw) - 1)], code)
+    return code
+
+
+def _stopped(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether words end in a stop, or in one with closers behind it."""
+    out, end, at = np.zeros(len(start), bool), end.copy(), np.arange(len(start))
+    while len(at):
+        e, size = end[at], np.ones(len(at), np.int64)
+        for _ in range(2):  # back to the first byte of a character
+            size += (raw[e - size] & 0xC0 == 0x80) & (e - size > start[at])
+        code = _code(raw, e - size, size)
+        out[at[np.isin(code, _STOP)]] = True
+        more = np.isin(code, _CLOSER)
+        end[at[more]] -= size[more]
+        at = at[more & (e - size > start[at])]
+    return out
+
+
+def _inner_ends(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where sentences end by a stop that needs no blank after it, further stops and closers included."""
+    at = np.flatnonzero(raw >= 0xC2)
+    size = np.where(raw[at] >= 0xE0, 3, 2)
+    hit = np.isin(_code(raw, at, size), _INNER_STOP)
+    out = at[hit] + size[hit]
+    limit = offsets[np.searchsorted(offsets, at[hit], "right")]
+    go = np.flatnonzero(out < limit)
+    while len(go):
+        lead = raw[out[go]]
+        size = np.where(lead >= 0xE0, 3, np.where(lead >= 0xC2, 2, 1))
+        more = np.isin(_code(raw, out[go], size), _FOLLOWING)
+        out[go[more]] += size[more]
+        go = go[more]
+        go = go[out[go] < limit[go]]
+    return out
 
 
 def sentence_spans(raw: np.ndarray, offsets: np.ndarray, span_words: int, long_words: int):
     """Sentences as (text, first byte, end byte), and spans as (name, first sentence, last sentence)."""
-    doc, start, name = words(raw, offsets)
+    doc, start, name = words(raw, offsets, cuts=_inner_ends(raw, offsets))
     none = np.zeros(0, np.int64)
     if not len(doc):
         return none, none, none, np.zeros(0, U64), none, none
@@ -43,7 +96,7 @@ def sentence_spans(raw: np.ndarray, offsets: np.ndarray, span_words: int, long_w
     gaps = np.concatenate(([0], np.cumsum(~NOT_SPACE[raw])))
     end = limit - (gaps[limit] - gaps[start])
     lines = np.concatenate(([0], np.cumsum(raw == 10)))
-    stop = _STOP[raw[end - 1]] | (lines[limit] > lines[end])
+    stop = _stopped(raw, start, end) | (lines[limit] > lines[end])
     stop[:-1] |= doc[1:] != doc[:-1]
     stop[-1] = True
     last = np.flatnonzero(stop) + 1  # words, exclusive
@@ -54,7 +107,14 @@ def sentence_spans(raw: np.ndarray, offsets: np.ndarray, span_words: int, long_w
     to_byte = np.minimum(to_byte, offsets[owner + 1])
     at = np.arange(len(first))
     until = np.searchsorted(last, first + span_words)
-    until = np.where(last - first >= long_words, at, np.maximum(until, at + 1))
+    long, until = last - first >= long_words, np.maximum(until, at + 1)
+    if span_words:
+        until = np.where(long, at, until)
+    else:
+        alone = np.flatnonzero(long)
+        at, until = np.concatenate((at, alone)), np.concatenate((until, alone))
+        order = np.argsort(at, kind="stable")
+        at, until = at[order], until[order]
     ok = until < len(first)
     ok[ok] &= owner[until[ok]] == owner[at[ok]]
     at, until = at[ok], until[ok]
@@ -121,7 +181,8 @@ def remove_repeated_sentences(docs: DataFrame, *, span_words: int = 20, long_wor
     """Remove sentences that lie in a repeated span of consecutive sentences.
 
     ``docs`` needs ``doc_id`` (integer) and ``text``; other columns are ignored.  A span repeats if
-    the same words stand in a document of a smaller id, or earlier in the same document.
+    the same words stand in a document of a smaller id, or earlier in the same document.  With a
+    ``span_words`` of 0 every two sentences in a row are a span, so every repeated run of several is removed.
 
     Returns one row per input row: doc_id, n_sentences, n_removed, n_spans (repeated spans), kept_sha256
     and text (what is left).  A null or empty text has no sentence and its kept text is empty.  Rows of
@@ -136,5 +197,5 @@ def remove_repeated_sentences(docs: DataFrame, *, span_words: int = 20, long_wor
 
 
 def op6_sentence_dedup(spark, sf_dir: str) -> DataFrame:
-    """Repeated sentence spans of all ``documents``."""
-    return remove_repeated_sentences(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """Repeated runs of two or more sentences of all ``documents``."""
+    return remove_repeated_sentences(spark.read.parquet(f"{sf_dir}/documents.parquet"), span_words=0)

@@ -1,6 +1,7 @@
+import random
 import re
 
-from fairweave.llm.sentence_dedup import remove_repeated_sentences
+from fairweave.llm.sentence_dedup import op6_sentence_dedup, remove_repeated_sentences
 
 from .corpus import frame, rows
 
@@ -54,3 +55,27 @@ def test_a_shared_passage_goes_and_the_rest_stays(spark):
     assert got[2].text == "Second one. Its own end."
     assert (got[None].n_sentences, got[None].text) == (0, "")
     assert remove_repeated_sentences(frame(spark, [])).collect() == []
+
+
+def query(spark, folder, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    return {r.doc_id: r for r in op6_sentence_dedup(spark, str(folder)).collect()}
+
+
+def test_short_runs_go_whole(spark, tmp_path):
+    """Copies of under 20 words, and the short tail of a passage, in any place."""
+    rng = random.Random(4)
+    sentence = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) + ". "
+    passage = "".join(sentence(n) for n in (20, 20, 8, 5))
+    long = sentence(45) + "Short end. "
+    texts = ["One small text. Of two.", "one small text.  of TWO.", sentence(3) + passage + sentence(30), sentence(4) + passage + "Own end.", long + sentence(3), "Its own. " + long + "More here.", "Of two. Then new."]
+    got = query(spark, tmp_path / "a", texts)
+    assert [got[i].n_removed for i in range(7)] == [0, 2, 0, 4, 0, 2, 0]
+    assert got[1].text == "" and got[3].text == texts[3].replace(passage, "") and got[5].text == "Its own. More here."
+
+
+def test_sentences_end_behind_quotes_and_in_other_scripts(spark, tmp_path):
+    pairs = ['He said "go." She (of course!) went.) ', "「你好。」他说。我走了！", "यह एक है। वह दो है॥ ", "Er rief \u201ekomm!\u201c Dann kam er\u2026 "]
+    got = query(spark, tmp_path / "b", [p + "第一" + str(i) for i, p in enumerate(pairs)] + ["x. " + p + "end" for p in pairs])
+    assert [got[i].n_sentences for i in range(4)] == [4, 4, 3, 3]
+    assert [got[i].text for i in range(4, 8)] == ["x. end"] * 4
