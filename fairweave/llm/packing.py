@@ -12,6 +12,7 @@ no padding.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
@@ -57,17 +58,23 @@ class ByteLevelTokenizer:
     Texts are split into the tokenizer's words with array operations; each distinct word
     is tokenized once and remembered.  Texts with contractions ('s, 't ...) or characters
     above U+FFFF are split by the tokenizer's own pattern, so the ids are the tokenizer's
-    in every case.  The file's merges must be in the order of its ids.
+    in every case.  The file's added tokens (such as end markers) are matched inside texts, as
+    the tokenizer does by default.  The file's merges must be in the order of its ids.
     """
 
     def __init__(self, path: str):
         from tiktoken import Encoding
 
-        model = json.loads(open(path, encoding="utf-8").read())["model"]
+        file = json.loads(open(path, encoding="utf-8").read())
+        model, added = file["model"], file.get("added_tokens") or []
         letters, vocabulary = _byte_letters(), model["vocab"]
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         if [vocabulary[a + b] for a, b in merges] != list(range(256, 256 + len(merges))):
             raise ValueError(f"{path}: merges are not in the order of ids")
+        if any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added tokens that depend on the text around them")
+        self.added = {t["content"]: np.array([t["id"]], np.uint32) for t in added}
+        self.marker = re.compile("(" + "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True)) + ")") if added else None
         ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if i < 256 + len(merges)}
         self.whole = Encoding("byte_level", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.kind = _classes()
@@ -132,6 +139,21 @@ class ByteLevelTokenizer:
         return np.split(ids, text_ends[1:-1])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        marked = [i for i, t in enumerate(texts) if any(c in t for c in self.added)]
+        if not marked:
+            return self._ordinary(texts)
+        split = {i: self.marker.split(texts[i]) for i in marked}  # every second piece is an added token
+        pieces = [p for i, t in enumerate(texts) for p in (split[i][::2] if i in split else [t])]
+        ids, out = iter(self._ordinary(pieces)), []
+        for i in range(len(texts)):
+            parts = [next(ids)]
+            for token in split.get(i, [])[1::2]:
+                parts += [self.added[token], next(ids)]
+            out.append(np.concatenate(parts) if len(parts) > 1 else parts[0])
+        return out
+
+    def _ordinary(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts in which no added token is matched."""
         out: list = [None] * len(texts)
         easy = [i for i, t in enumerate(texts) if t and not _contraction(t) and (t.isascii() or len(t.encode("utf-16-le")) == 2 * len(t))]
         if easy:

@@ -69,3 +69,16 @@ def test_empty_table_and_nulls(spark):
     (r,) = pack(frame(spark, [(None, None, *[None] * 7)]), PATH).collect()
     assert (r.doc_id, r.start, r.length, r.doc_tokens, r.offset) == (None, 0, 1, 1, 0)
     assert r.ids_crc32 == zlib.crc32(np.array([1], "<u4").tobytes())
+
+
+def test_added_tokens_are_matched_inside_texts(spark):
+    """Ids of the tokenizer at its default settings."""
+    rng = random.Random(5)
+    bits = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", " ", "  ", "\n", "word", " it's", "日本", "😀", "endoftext|>", "."]
+    texts = ["<|endoftext|>", "a <|endoftext|> b<|endoftext|><|endoftext|>c  <|endoftext|>  "] + ["".join(rng.choices(bits, k=rng.randint(0, 9))) for _ in range(2000)]
+    want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in ByteLevelTokenizer(PATH).encode(texts)] == want
+    ids = np.array([*want[1], 1], "<u4")
+    got = pack(frame(spark, [(7, texts[1], *[None] * 7)]), PATH, window=64).collect()
+    assert sum(r.length for r in got) == len(ids)
+    assert all((r.doc_tokens, r.ids_crc32) == (len(ids), zlib.crc32(ids[r.start : r.start + r.length].tobytes())) for r in got)
