@@ -8,10 +8,13 @@ Coordinates agree with a probability equal to the similarity, and concentrate as
 bins had been filled independently.
 
 Documents of equal sets form a class.  Classes that share a band of coordinates are
-candidates; the connected groups of candidates are split into bounded cells, pairs of
-parts of large groups included, and within a cell all overlaps are counted on the full
-sets.  Only the edges of a spanning forest leave a cell, so a large group makes no more
-rows than it has members, and no pair of candidates is left out.
+candidates; the connected groups of candidates are split into parts of bounded size, and
+within a part, together with a few hubs of its group, all overlaps are counted on the full
+sets.  Only edges of a spanning forest leave a cell.  Groups of several parts are dealt anew
+while labels still meet; then, where a band holds documents of different labels, those outside
+its most frequent label are compared with all others of the band, and only edges between
+different labels leave.  So a group makes about as many rows as
+it has members, whatever its size, and no pair of candidates is left out.
 
 With 28 bands of 5 coordinates a pair of similarity 0.85 shares no band with a
 probability of about 7e-8, one of similarity 0.8 with about 1.5e-5.
@@ -23,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import U64, mix, pair, runs, text_buffer, words
@@ -31,12 +34,16 @@ from fairweave.llm._shared import written
 from fairweave.llm.graph import components
 
 _PIECE = 1 << 19
-#: Candidate classes up to which their ids are broadcast (24 bytes each).
-_BROADCAST_ROWS = 400_000
+#: Cells asked for (24 bytes each) up to which the list of candidates is broadcast.
+_BROADCAST_CELLS = 600_000
+#: Documents of a group of several parts that are compared with all of them.
+_HUBS = 8
+#: How often such a group is dealt to parts at most; after that its open bands are compared whole.
+_DEALS = 5
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("name", pa.int64()), ("bands", pa.list_(pa.int64()))])
 _SKETCH_SQL = "doc_id long, n_shingles long, node long, name long, bands array<long>"
-_SETS = pa.schema([("c1", pa.int64()), ("c2", pa.int64()), ("c3", pa.int64()), ("node", pa.int64()), ("shingles", pa.binary())])
-_SETS_SQL = "c1 long, c2 long, c3 long, node long, shingles binary"
+_SETS = pa.schema([("c1", pa.int64()), ("c2", pa.int64()), ("c3", pa.int64()), ("node", pa.int64()), ("mark", pa.int64()), ("shingles", pa.binary())])
+_SETS_SQL = "c1 long, c2 long, c3 long, node long, mark long, shingles binary"
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -115,7 +122,7 @@ def _sets(width: int):
     def work(batches):
         for batch in batches:
             raw, offsets = text_buffer(batch.column("text"))
-            node, group, parts, part = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "cell", "parts", "part"))
+            node, mark = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "mark"))
             for i, j in runs(offsets, _PIECE):
                 doc, shingle, size = shingle_sets(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
                 cuts = np.concatenate(([0], np.cumsum(size)))
@@ -125,9 +132,10 @@ def _sets(width: int):
                     if name[k] != node[i + k]:  # another row of the same id
                         continue
                     blob = shingle[cuts[k] : cuts[k + 1]].tobytes()
-                    g, p = int(parts[i + k]), int(part[i + k])
-                    to = [(int(group[i + k]), min(p, q), max(p, q), int(node[i + k]), blob) for q in range(g)] if g > 1 else [(int(group[i + k]), -1, -1, int(node[i + k]), blob)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*to), _SETS.types)], schema=_SETS)
+                    cells = batch.column("cells")[i + k].as_py()
+                    for some in (cells[at : at + 64] for at in range(0, len(cells), 64)):
+                        to = [(c["c1"], c["c2"], c["c3"], int(node[i + k]), int(mark[i + k]), blob) for c in some]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*to), _SETS.types)], schema=_SETS)
 
     return work
 
@@ -162,17 +170,23 @@ def _overlaps(name: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 def _linked(per_cent: int):
+    """Edges that join the marks of linked sets: at most one less than the cell has marks."""
+
     def work(key, table):
         table = table.sort_by("node")
         node = table.column("node").to_numpy()
+        keep = np.ones(len(node), bool)
+        keep[1:] = node[1:] != node[:-1]
+        table = table.filter(pa.array(keep))
         sets = [np.frombuffer(b, U64) for b in table.column("shingles").to_pylist()]
         size, n = np.array([len(s) for s in sets]), len(sets)
         name, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
         order = np.lexsort((owner, name))
         i, j, shared = _overlaps(name[order], owner[order], n)
         link = 100 * shared >= per_cent * (size[i] + size[j] - shared)
-        i, j = i[link], j[link]
-        label = np.arange(n)
+        mark, of = np.unique(table.column("mark").to_numpy(), return_inverse=True)
+        i, j = of[i[link]], of[j[link]]
+        label = np.arange(len(mark))
         while True:
             new = label.copy()
             np.minimum.at(new, i, label[j])
@@ -181,12 +195,100 @@ def _linked(per_cent: int):
             if (new == label).all():
                 break
             label = new
-        moved = np.flatnonzero(label != np.arange(n))
-        return pa.table([pa.array(node[moved]), pa.array(node[label[moved]])], schema=_EDGES)
+        moved = np.flatnonzero(label != np.arange(len(mark)))
+        return pa.table([pa.array(mark[moved]), pa.array(mark[label[moved]])], schema=_EDGES)
 
     return work
 
 
+def _cell(*of) -> Column:
+    return F.struct(*[(F.lit(x) if isinstance(x, int) else x).cast("long").alias(f"c{i + 1}") for i, x in enumerate(of)])
+
+
+def _dealt(load: DataFrame, cell_shingles: int, cell_sets: int) -> tuple[DataFrame, int]:
+    """``load`` (total, sets) with the parts that a group needs, and in how many cells the small groups are pooled."""
+    load = load.withColumn("parts", F.ceil(F.greatest(F.col("total") / cell_shingles, F.col("sets") / cell_sets)).cast("long"))
+    small = load.where("parts = 1").agg(F.sum("total").alias("t"), F.sum("sets").alias("s")).first()
+    return load, max(48, math.ceil(2 * max((small.t or 0) / cell_shingles, (small.s or 0) / cell_sets)))
+
+
+def _verified(source: DataFrame, asked: DataFrame, per_cent: int, width: int, name: str) -> DataFrame:
+    """Edges between marks of linked sets; ``asked`` has doc_id, node, mark and the cells of each set."""
+    asked = written(asked, name)
+    if (asked.agg(F.sum(F.size("cells") + 2)).first()[0] or 0) <= _BROADCAST_CELLS:
+        asked = F.broadcast(asked)
+    sets = source.join(asked, source["doc_id"].eqNullSafe(asked["doc_id"])).select("text", "node", "mark", "cells").mapInArrow(_sets(width), _SETS_SQL)
+    return sets.groupBy("c1", "c2", "c3").applyInArrow(_linked(per_cent), "a long, b long")
+
+
+def _within_parts(source, member, pooled, salt, per_cent, width):
+    """Edges within the parts of groups of candidates; ``salt`` deals documents to parts anew.
+
+    A group of several parts has hubs, which are compared with all its parts.
+    """
+    member = member.withColumn("h", F.xxhash64("node", F.lit(salt)))
+    hub = member.where("parts > 1").groupBy("group", F.pmod("h", F.lit(_HUBS))).agg(F.min(F.struct("h", "node"))["node"].alias("node")).select("node", F.lit(True).alias("hub"))
+    every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda p: _cell(F.col("group"), p, 0))
+    own = F.array(_cell(F.col("group"), F.pmod(F.shiftright("h", 4), F.col("parts")), 0))
+    pool = F.array(_cell(F.pmod(F.xxhash64("group"), F.lit(pooled)), -1, -1))
+    cells = F.when(F.col("parts") == 1, pool).when(F.col("hub"), every).otherwise(own)
+    asked = member.join(hub, "node", "left").select(F.col("rep").alias("doc_id"), "node", "mark", cells.alias("cells"))
+    return _verified(source, asked, per_cent, width, "members")
+
+
+def _merged(member: DataFrame, labels: DataFrame) -> DataFrame:
+    """``member`` with each mark replaced by the label that it was given."""
+    to = labels.select(F.col("node").alias("mark"), F.col("label").alias("to"))
+    return member.join(to, "mark", "left").withColumn("mark", F.coalesce("to", "mark")).drop("to")
+
+
+def _linked_groups(source, member, band, per_cent, width, cell_shingles, cell_sets):
+    """(node, mark): equal marks for candidates that links join.
+
+    Groups of several parts are dealt to parts several times, until hardly any labels meet;
+    what is still apart then is compared exactly, band by band.
+    """
+    load, pooled = _dealt(member.groupBy("group").agg(F.sum("n").alias("total"), F.count("*").alias("sets")), cell_shingles, cell_sets)
+    member = written(member.join(load.select("group", "parts"), "group").withColumn("mark", F.col("node")), "candidates")
+    asked, marks = member, member.select("node", "mark")
+    for salt in range(1, _DEALS + 1):
+        labels = components(_within_parts(source, asked, pooled, salt, per_cent, width))
+        marks = written(_merged(marks, labels), "marks")
+        asked = member.drop("mark").where("parts > 1").join(marks, "node")
+        several = asked.groupBy("group").agg((F.min("mark") < F.max("mark")).alias("open")).where("open").select("group")
+        asked = written(asked.join(several, "group"), "open-groups")
+        left = asked.count()
+        if not left or salt > 1 and 50 * labels.where("node <> label").count() < left:
+            break
+    if left:
+        marks = _merged(marks, components(_across_parts(source, band, member.drop("mark").where("parts > 1").join(marks, "node"), per_cent, width, cell_shingles, cell_sets)))
+    return marks
+
+
+def _across_parts(source, band, member, per_cent, width, cell_shingles, cell_sets):
+    """Edges between labels that meet in a band and are not joined yet.
+
+    A band whose documents have one label is done.  Of the others, each distinct set of documents
+    is looked at once; documents outside its most frequent label are compared with all of it.
+    """
+    own = band.join(member.select("node", "rep", "n", "mark"), "node")
+    marks = own.groupBy("band", "mark").agg(F.count("*").alias("sets"), F.sum("n").alias("total"), F.min("node").alias("low"), F.max("node").alias("high"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"))
+    of = marks.groupBy("band").agg(F.max_by("mark", F.struct("sets", "mark")).alias("most"), F.max("sets").alias("top"), F.max_by("total", F.struct("sets", "mark")).alias("top_total"), F.count("*").alias("marks"), F.sum("sets").alias("sets"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("sum").alias("sum"))
+    one = of.where("marks > 1").groupBy("sets", "total", "low", "high", "sum").agg(F.min_by(F.struct("band", "most", "top", "top_total"), "band").alias("one"))
+    load, pooled = _dealt(one.select("one.*", "sets", "total"), cell_shingles, cell_sets)
+    minor = F.ceil(F.greatest((F.col("total") - F.col("top_total")) / cell_shingles, (F.col("sets") - F.col("top")) / cell_sets, F.lit(1))).cast("long")
+    load = written(load.withColumn("minors", minor).select("band", "most", "parts", "minors"), "open-bands")
+    h = F.xxhash64("node", F.lit(1))
+    count = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    pool = F.array(_cell(F.pmod(F.xxhash64("band"), F.lit(pooled)), -1, -1))
+    rows = F.transform(count(F.col("minors")), lambda i: _cell(F.col("band"), i, F.pmod(h, F.col("parts"))))
+    columns = F.transform(count(F.col("parts")), lambda j: _cell(F.col("band"), F.pmod(F.shiftright(h, 4), F.col("minors")), j))
+    cells = F.when(F.col("parts") == 1, pool).when(F.col("mark") == F.col("most"), rows).otherwise(F.array_union(rows, columns))
+    asked = own.join(load, "band").select("rep", "node", "mark", cells.alias("cells"))
+    asked = asked.groupBy("rep", "node", "mark").agg(F.array_distinct(F.flatten(F.collect_list("cells"))).alias("cells"))
+    return _verified(source, asked.withColumnRenamed("rep", "doc_id"), per_cent, width, "open-members")
+
+
 def near_duplicates(docs: DataFrame, per_cent: int = 80, *, width: int = 5, bands: int = 28, rows: int = 5, cell_shingles: int = 400_000, cell_sets: int = 512) -> DataFrame:
     """Group documents whose sets of ``width``-word shingles have a similarity of ``per_cent`` or more.
 
@@ -211,28 +313,12 @@ def near_duplicates(docs: DataFrame, per_cent: int = 80, *, width: int = 5, band
     )
     band = classes.select("node", F.explode("bands").alias("band"))
     shared = band.groupBy("band").agg(F.count("*").alias("times"), F.min("node").alias("b")).where("times > 1")
-    groups = components(band.join(shared, "band").select(F.col("node").alias("a"), "b").distinct())
+    shared = written(band.join(shared.select("band", "b"), "band"), "bands")
+    groups = components(shared.select(F.col("node").alias("a"), "b").distinct())
+    member = groups.withColumnRenamed("label", "group").join(classes.select("node", "rep", "n"), "node")
+    linked = _linked_groups(source, member, shared.select("band", "node"), per_cent, width, cell_shingles, cell_sets)
 
-    member = groups.join(classes.select("node", "rep", "n"), "node")
-    load = member.groupBy("label").agg(F.sum("n").alias("total"), F.count("*").alias("sets"))
-    load = load.withColumn("parts", F.ceil(F.greatest(F.col("total") / cell_shingles, F.col("sets") / cell_sets)).cast("long"))
-    small = load.where("parts = 1").agg(F.sum("total").alias("t"), F.sum("sets").alias("s")).first()
-    pooled = max(48, math.ceil(2 * max((small.t or 0) / cell_shingles, (small.s or 0) / cell_sets)))
-    member = member.join(load, "label").select(
-        F.col("rep").alias("doc_id"),
-        "node",
-        F.when(F.col("parts") > 1, F.col("label")).otherwise(F.pmod(F.xxhash64("label"), F.lit(pooled))).alias("cell"),
-        "parts",
-        F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).alias("part"),
-    )
-    member = written(member, "members")
-    if member.count() <= _BROADCAST_ROWS:
-        member = F.broadcast(member)
-    sets = source.join(member, source["doc_id"].eqNullSafe(member["doc_id"])).select("text", "node", "cell", "parts", "part").mapInArrow(_sets(width), _SETS_SQL)
-    edges = sets.groupBy("c1", "c2", "c3").applyInArrow(_linked(per_cent), "a long, b long")
-    linked = components(edges)
-
-    of = classes.select("node", "rep").join(linked, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
+    of = classes.select("node", "rep").join(linked, "node", "left").select("node", "rep", F.coalesce("mark", "node").alias("label"))
     least = of.groupBy("label").agg(F.min("rep").alias("component_id"))
     of = of.join(least, "label").select("node", "component_id")
     out = sketched.select("doc_id", "n_shingles", "node").join(of, "node", "left")

@@ -78,3 +78,49 @@ def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(100, 101), (103, 101), (7, 7)], "a long, b long")
     got = {r.node: r.label for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(21)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_verified_edges_grow_with_the_group_not_its_square(spark, monkeypatch):
+    """One group of m near copies: candidate edges are 28 a document at most, verified ones a few."""
+    import random
+
+    from fairweave.llm import near_dedup
+
+    made = {}
+
+    def counted(edges):
+        made.setdefault(m, []).append(edges.count())
+        return components(edges)
+
+    monkeypatch.setattr(near_dedup, "components", counted)
+    for m in (250, 1000):
+        rng = random.Random(m)
+        base, data = prose(rng, 80).split(), []
+        for i in range(m):
+            text = list(base)
+            text[rng.randrange(len(text))] = f"w{rng.randrange(10**6)}"
+            data.append((i, " ".join(text), "en", "s", None, "", "", "", ""))
+        got = near_duplicates(frame(spark, data), 85, cell_sets=64).collect()
+        assert {r.component_id for r in got} == {0}
+        candidates, *verified = made[m]
+        assert candidates <= 28 * m and sum(verified) <= 4 * m
+
+
+def test_labels_that_meet_across_parts(spark):
+    """Chains and clusters at the threshold in cells of a few sets: the second round finds what the first left."""
+    import random
+
+    for seed in (5, 6):
+        rng = random.Random(seed)
+        data, i = [], 0
+        for family in range(3):
+            base = prose(rng, 100).split()
+            for _ in range(30):
+                text = list(base)
+                for _ in range(rng.choice([0, 1, 2, 2, 3, 4])):
+                    text[rng.randrange(len(text))] = f"w{rng.randrange(10**6)}"
+                data.append((i, " ".join(text), "en", "s", None, "", "", "", ""))
+                i += 1
+                if rng.random() < 0.3:
+                    base[rng.randrange(100)] = f"drift{i}"
+        check(spark, data, cell_sets=3, cell_shingles=300)
