@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the setting is absent, as in local tests, a fresh temporary folder is
-    set for the session.
+    Where the setting is absent in local mode, as in tests, a fresh temporary folder is
+    set for the session; on a cluster its absence is an error, as executors would not see
+    a folder of the driver.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="fairweave-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -34,6 +37,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes, as JSON text, up to which a table is broadcast.
+_BROADCAST_BYTES = 24 << 20
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` (a written table) with a broadcast hint if all its rows, written as JSON, are small enough;
+    else Spark shuffles the join."""
+    total = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if total <= _BROADCAST_BYTES else df
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """``crc32`` of the id as text, modulo ``n``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

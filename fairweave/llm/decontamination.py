@@ -1,12 +1,15 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-Every benchmark item is cut into windows of consecutive words.  Postings (document,
-position and the words around) are stored for each window's rarest word only, rarest by
-its count over the whole corpus; a window with a word that the corpus lacks cannot occur.
-A window's posting list, shifted by the word's offset, gives the places where the window
-would start; there the words are compared, which is the intersection of the offset-adjusted
-lists of all its words.  Places that hold nearly all words of a window, close together, are
-proximity matches.
+Every benchmark item is cut into windows of consecutive words.  The corpus is tokenized once.
+A window's words are ranked by their counts over the whole corpus; the index stores postings
+(document, position and the words around) of all words that are among the rarest of any window.
+
+Exact matches: the posting lists of a window's two rarest words, each shifted by the word's
+offset, are intersected; at places in both lists the other words are compared.  Proximity
+matches: a stretch of words a little longer than the window that holds nearly all its distinct
+words, in any order.  Such a stretch holds at least one of the window's rarest words (as many
+as may be missing, and one more), so it is found from their lists; a word that the corpus
+lacks counts as missing.
 
 DataFrame functions only.
 """
@@ -16,13 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairweave.llm._shared import written
+from fairweave.llm._shared import sized, written
 
 #: Between words: everything in ASCII but digits and lower-case letters.
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows up to which words or windows of the benchmark are broadcast.
-_BROADCAST_ROWS = 100_000
+#: Words that may stand between those of a proximity match, besides those that stand for missing ones.
+_SLACK = 3
 
 
 def ascii_lower(text: Column) -> Column:
@@ -32,8 +35,11 @@ def ascii_lower(text: Column) -> Column:
 
 def index_words(text: Column) -> Column:
     """The words of a text; none if it is null."""
-    found = F.filter(F.split(ascii_lower(text), _BETWEEN, -1), lambda w: w != "")
-    return F.coalesce(found, F.array().cast("array<string>"))
+    found = F.split(ascii_lower(text), _BETWEEN, -1)
+    # only the first and the last piece can be empty
+    lead = (F.get(found, F.lit(0)) == "").cast("int")
+    tail = ((F.size(found) > 1) & (F.element_at(found, -1) == "")).cast("int")
+    return F.coalesce(F.slice(found, lead + 1, F.size(found) - lead - tail), F.array().cast("array<string>"))
 
 
 def benchmark_windows(items: DataFrame, width: int) -> DataFrame:
@@ -43,33 +49,36 @@ def benchmark_windows(items: DataFrame, width: int) -> DataFrame:
     return words.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("words", i, width))).alias("window")).distinct()
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
-
-
-def rarest_words(windows: DataFrame, docs: DataFrame) -> DataFrame:
-    """(window, term, back): each distinct window that can occur, its rarest word and the words before that."""
-    place = windows.select("window").distinct().select("window", F.posexplode("window").alias("back", "term"))
-    vocabulary = _sized(written(place.select("term").distinct(), "benchmark-words"))
-    counts = docs.select(F.explode(index_words(F.col("text"))).alias("term")).join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("times"))
-    best = place.join(counts, "term", "left").groupBy("window").agg(F.min(F.struct("times", "term", "back")).alias("best"), F.count("times").alias("found"))
-    return best.where(F.col("found") == F.size("window")).select("window", "best.term", "best.back")
+def rarest_words(windows: DataFrame, tokens: DataFrame, near: float) -> DataFrame:
+    """(wid, window, size, need, term, back, rank): the rarest words of each window that the corpus has.
 
-
-def postings(docs: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
-    """(doc_id, digest, term, at, before, around): where the terms stand, with ``reach`` words on either side."""
-    words = docs.select("doc_id", "digest", index_words(F.col("text")).alias("words"))
-    placed = words.select("doc_id", "digest", "words", F.posexplode("words").alias("at", "term")).join(terms, "term")
+    ``back`` is how many words stand before the term in the window, ``need`` how many distinct
+    words of the window make a proximity match.
+    """
+    place = windows.select("wid", F.posexplode("window").alias("back", "term")).groupBy("wid", "term").agg(F.min("back").alias("back"))
+    vocabulary = sized(written(place.select("term").distinct(), "benchmark-words"))
+    counts = written(tokens.select(F.explode("words").alias("term")).join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("times")), "benchmark-counts")
+    times = F.coalesce("times", F.lit(0))
+    ranked = place.join(sized(counts), "term", "left").withColumn("times", times)
+    ranked = ranked.withColumns({"rank": F.row_number().over(Window.partitionBy("wid").orderBy("times", "term")), "distinct": F.count("*").over(Window.partitionBy("wid"))})
+    need = F.ceil(near * F.col("distinct")).cast("int")
+    ranked = ranked.withColumn("need", need).where("times > 0 and rank <= greatest(2, `distinct` - need + 1)")
+    return ranked.join(windows, "wid").select("wid", "window", F.size("window").alias("size"), F.least("distinct", F.lit(2)).alias("lists"), "need", "term", "back", "rank")
+
+
+def postings(tokens: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
+    """(doc, digest, term, at, before, around): where the terms stand, with ``reach`` words on either side."""
+    placed = tokens.select("doc", "digest", "words", F.posexplode("words").alias("at", "term")).join(terms, "term")
     before = F.least(F.col("at"), F.lit(reach))
-    return placed.select("doc_id", "digest", "term", "at", before.alias("before"), F.slice("words", F.col("at") - before + 1, before + reach + 1).alias("around"))
+    return placed.select("doc", "digest", "term", "at", before.alias("before"), F.slice("words", F.col("at") - before + 1, before + reach + 1).alias("around"))
 
 
 def _covered(matches: DataFrame) -> DataFrame:
-    """(doc_id, digest, n_hit): words that lie in any match."""
-    order = Window.partitionBy("doc_id", "digest").orderBy("start", "stop")
+    """(doc, digest, n_hit): words that lie in any match."""
+    order = Window.partitionBy("doc", "digest").orderBy("start", "stop")
     earlier = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.greatest(F.col("stop") - F.greatest(F.col("start"), F.coalesce(earlier, F.lit(0))), F.lit(0))
-    return matches.withColumn("new", new).groupBy("doc_id", "digest").agg(F.sum("new").alias("n_hit"))
+    return matches.withColumn("new", new).groupBy("doc", "digest").agg(F.sum("new").alias("n_hit"))
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, *, width: int = 13, near: float = 0.9, share: int = 20) -> DataFrame:
@@ -80,32 +89,43 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, width: int = 13, ne
 
     Returns one row per input row of ``docs``: doc_id, n_words, n_hit, n_items (items with occurring
     windows), items_sha256 (of their ids as strings, sorted and joined by commas), contaminated
-    (n_hit > 0 and ``share`` * n_hit >= n_words) and n_near (windows that do not occur, but of whose
-    distinct words a share of ``near`` stands within ``width`` words of the rarest).  A null text has no words;
-    a null item has no window and a null item_id counts as empty text.  Repeated rows get the same
-    result.  With no documents there are no rows, with no items no hits.
+    (n_hit > 0 and ``share`` * n_hit >= n_words) and n_near (windows that do not occur in the document,
+    but of whose distinct words a share of ``near`` stands within a stretch of three words more than
+    the window has).  A null text has no words; a null item has no window and a null item_id counts as
+    empty text.  Repeated rows get the same result, and a null doc_id is kept.  With no documents there
+    are no rows, with no items no hits.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
-    windows = written(benchmark_windows(items.fillna("", ["item_id"]) if dict(items.dtypes)["item_id"] == "string" else items.withColumn("item_id", F.coalesce(F.col("item_id").cast("string"), F.lit(""))), width), "windows")
-    rarest = written(rarest_words(windows, source), "rarest-words")
-    terms = _sized(rarest.select("term").distinct())
-    index = written(postings(source.where("text is not null"), terms, width - 1).distinct(), "postings")
-    asked = index.join(_sized(rarest), "term")
-    size, first = F.size("window"), F.col("before") - F.col("back") + 1
-    exact = (first >= 1) & (F.slice("around", F.greatest(first, F.lit(1)), size) == F.col("window"))
-    held = F.size(F.array_intersect("around", "window"))
+    # a key without nulls: rows of a null id share the number 0, but not the digest
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc"), F.xxhash64("text", F.col("doc_id").isNull()).alias("digest")]
+    tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *key, index_words(F.col("text")).alias("words"))
+    tokens = written(tokens.withColumn("n_words", F.size("words").cast("long")), "tokens")
+    named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
+    of_item = written(benchmark_windows(named, width), "item-windows")
+    windows = written(of_item.select("window").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
+    rarest = written(rarest_words(windows, tokens, near), "rarest-words")
+    terms = sized(written(rarest.select("term").distinct(), "rarest-terms"))
+    index = written(postings(tokens, terms, width + _SLACK - 1).distinct(), "postings")
+
+    asked = index.join(sized(rarest), "term")
+    size, first, stretch = F.col("size"), F.col("before") - F.col("back") + 1, F.col("size") + _SLACK
+    same = (first >= 1) & (F.slice("around", F.greatest(first, F.lit(1)), size) == F.col("window"))
+    held = lambda words: F.size(F.array_intersect(words, "window")) >= F.col("need")
+    # stretches that hold the posting start up to ``stretch`` - 1 words before it
+    from_, to = F.greatest(F.col("before") - stretch + 2, F.lit(1)), F.col("before") + 1
+    close = F.when(held("around"), F.exists(F.sequence(from_, to), lambda i: held(F.slice("around", i, stretch)))).otherwise(False)
     start = F.col("at") - F.col("back")
-    asked = asked.select("doc_id", "digest", "window", start.alias("start"), (start + size).alias("stop"), exact.alias("exact"), (held >= F.ceil(near * F.size(F.array_distinct("window")))).alias("close"))
-    asked = written(asked.where("exact or close"), "matches")
-    hits = _covered(asked.where("exact").select("doc_id", "digest", "start", "stop").distinct())
-    occurring = asked.where("exact").select("doc_id", "digest", "window").distinct().join(_sized(windows), "window")
-    found = occurring.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    by_window = asked.groupBy("doc_id", "digest", "window").agg(F.max("exact").alias("exact"))
-    close = by_window.where("not exact").groupBy("doc_id", "digest").agg(F.count("*").alias("n_near"))
-    per_doc = hits.join(found, ["doc_id", "digest"]).join(close, ["doc_id", "digest"], "full")
-    per_doc = per_doc.withColumnsRenamed({"doc_id": "d", "digest": "g"})
-    base = source.select("doc_id", "digest", F.size(index_words(F.col("text"))).cast("long").alias("n_words"))
-    out = base.join(per_doc, base["doc_id"].eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g")), "left")
+    asked = asked.select("doc", "digest", "wid", "lists", "rank", start.alias("start"), (start + size).alias("stop"), same.alias("same"), close.alias("close"))
+    # a place stays if it is in the shifted lists of both rarest words, or is close to a match
+    places = asked.groupBy("doc", "digest", "wid", "start", "stop", "lists").agg(F.count_distinct(F.when(F.col("rank") <= 2, F.col("rank"))).alias("met"), F.bool_and("same").alias("same"), F.bool_or("close").alias("close"))
+    exact = (F.col("met") == F.col("lists")) & F.col("same")
+    matches = written(places.withColumn("exact", exact).where("exact or close").select("doc", "digest", "wid", "start", "stop", "exact"), "matches")
+    hits = _covered(matches.where("exact").select("doc", "digest", "start", "stop").distinct())
+    occurring = matches.where("exact").select("doc", "digest", "wid").distinct().join(windows, "wid").join(of_item, "window")
+    found = occurring.groupBy("doc", "digest").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    by_window = matches.groupBy("doc", "digest", "wid").agg(F.bool_or("exact").alias("exact"))
+    near_by = by_window.where("not exact").groupBy("doc", "digest").agg(F.count("*").alias("n_near"))
+    per_doc = hits.join(found, ["doc", "digest"]).join(near_by, ["doc", "digest"], "full")
+    out = tokens.select("doc_id", "doc", "digest", "n_words").join(per_doc, ["doc", "digest"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     ids = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
@@ -120,8 +140,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, width: int = 13, ne
 
 
 def op4_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
-    """All ``documents`` against all of ``benchmark``; n_near is left out of the query."""
-    return find_contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("n_near")
+    """All ``documents`` against all of ``benchmark``."""
+    return find_contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 OP4_SQL = """
@@ -136,8 +156,19 @@ ds AS (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM w
 dw AS (SELECT doc_id, i, n, array_to_string(words[i : i + n - 1], ' ') AS phrase FROM ds),
 m AS (SELECT d.doc_id, d.i, d.n, b.item_id FROM dw d JOIN bw b ON d.phrase = b.phrase AND d.n = b.n),
 h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
-t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id),
+nw AS (SELECT DISTINCT words[i : least(i + 12, len(words))] AS win FROM bs),
+nt AS (SELECT win, unnest(list_distinct(win)) AS term FROM nw),
+tok AS (SELECT doc_id, unnest(words) AS term FROM w),
+cnt AS (SELECT term, count(*) AS times FROM tok GROUP BY term),
+rk AS (SELECT nt.win, nt.term, row_number() OVER (PARTITION BY nt.win ORDER BY coalesce(times, 0), nt.term) AS r FROM nt LEFT JOIN cnt ON nt.term = cnt.term),
+nd AS (SELECT win, len(list_distinct(win)) AS k FROM nw),
+cand AS (SELECT DISTINCT tok.doc_id, rk.win FROM rk JOIN nd ON rk.win = nd.win JOIN tok ON tok.term = rk.term WHERE r <= k - ceil(0.9 * k) + 1),
+place AS (SELECT c.doc_id, c.win, w.words, unnest(range(1, len(w.words) + 1)) AS i FROM cand c JOIN w ON c.doc_id = w.doc_id),
+near AS (SELECT DISTINCT doc_id, win FROM place JOIN nd USING (win) WHERE list_contains(win, words[i]) AND len(list_intersect(words[i : i + len(win) + 2], win)) >= ceil(0.9 * k)),
+ex AS (SELECT DISTINCT doc_id, phrase FROM m JOIN dw USING (doc_id, i, n)),
+nn AS (SELECT doc_id, count(*) AS n_near FROM near WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.doc_id = near.doc_id AND ex.phrase = array_to_string(near.win, ' ')) GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
-FROM w LEFT JOIN h ON w.doc_id = h.doc_id LEFT JOIN t ON w.doc_id = t.doc_id
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM w LEFT JOIN h ON w.doc_id = h.doc_id LEFT JOIN t ON w.doc_id = t.doc_id LEFT JOIN nn ON w.doc_id = nn.doc_id
 """
