@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairweave.llm._shared import written
+from fairweave.llm._shared import sized, written
 
 #: Kinds in order: name, pattern, least length (of group 2 for assign), role, base or weak, and
 #: lower-case strings of which a text must hold one to be searched.
@@ -27,35 +27,31 @@ KINDS = [
     ("key", r"(?i)(passphrase|pwd|private_?key|auth_?key|credential)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 8, "secret", False, ["passphrase", "pwd", "key", "credential"]),
     ("endpoint", r"(?i)(https?|jdbc:[a-z]+|postgres|mysql|mongodb|redis|ftp)://([A-Za-z0-9@:%/_.?=&-]+)", 4, "endpoint", False, ["://"]),
 ]
-_SPAN_ROWS = 200_000
+_PIECES = "array<struct<ord:int,i:int,piece:int,match:int,value:int>>"
 
 
-def _found(text: Column, kind: tuple) -> Column:
-    """Arrays (pieces between matches, matches) of one kind in a text."""
-    name, pattern, least, _, _, needs = kind
+def _found(text: Column, order: int, kind: tuple) -> Column:
+    """Lengths of the pieces between matches of one kind, of the matches and of their values."""
+    name, pattern, _, _, _, needs = kind
     low = F.lower(text)
-    worth = F.lit(True) if name == "hex" else F.lit(False)
+    worth = F.lit(False)
     if name == "hex":
         worth = text.rlike(pattern)
     for need in needs:
         worth = worth | low.contains(need)
-    pieces = F.when(worth, F.split(text, pattern, -1))
-    return F.arrays_zip(pieces.alias("piece"), F.when(worth, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("match"))
+    both = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
+    value = lambda m: F.length(F.regexp_extract(m, pattern, 2) if "(" in pattern.replace("(?i)", "") else m)
+    one = lambda x, i: F.struct(F.lit(order).alias("ord"), i.alias("i"), F.length(x["piece"]).alias("piece"), F.length(x["match"]).alias("match"), value(x["match"]).alias("value"))
+    return F.when(worth, F.transform(both, one)).otherwise(F.array().cast(_PIECES))
 
 
 def parts(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, ord, name, role, base, start, stop) of all matches that are long enough.
 
-    Repeated rows of a text give its matches once.
+    One scan of the texts.  Repeated rows of a text give its matches once.
     """
-    out = None
-    for order, kind in enumerate(KINDS):
-        pattern = kind[1]
-        rows = docs.select("doc_id", "digest", F.posexplode(_found(F.col("text"), kind)).alias("i", "m"))
-        match = F.length("m.match")
-        value = F.length(F.regexp_extract("m.match", pattern, 2)) if "(" in pattern.replace("(?i)", "") else match
-        rows = rows.select("doc_id", "digest", F.lit(order).alias("ord"), "i", F.length("m.piece").alias("piece"), match.alias("match"), value.alias("value"))
-        out = rows if out is None else out.unionByName(rows)
+    rows = F.concat(*[_found(F.col("text"), order, kind) for order, kind in enumerate(KINDS)])
+    out = docs.select("doc_id", "digest", F.explode(rows).alias("m")).select("doc_id", "digest", "m.*")
     upto = Window.partitionBy("doc_id", "digest", "ord").orderBy("i")
     out = out.repartition("doc_id", "digest").dropDuplicates(["doc_id", "digest", "ord", "i"])
     start = F.sum("piece").over(upto.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce(F.sum("match").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -110,8 +106,7 @@ def find_secrets(docs: DataFrame, scope: int = 200) -> DataFrame:
     """
     source = _source(docs)
     listed = written(_listed(linked_spans(source.where("text is not null"), scope)), "spans").withColumnsRenamed({"doc_id": "d", "digest": "g"})
-    if listed.count() <= _SPAN_ROWS:
-        listed = F.broadcast(listed)
+    listed = sized(listed)
     out = source.drop("text").join(listed, source["doc_id"].eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g")), "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<start:bigint,ord:int,stop:bigint,name:string,base:boolean>>"))
     label = lambda s: F.concat_ws(":", s["name"], s["start"].cast("string"), s["stop"].cast("string"))
@@ -133,8 +128,7 @@ def redact_secrets(docs: DataFrame, scope: int = 200, mark: str = "[REDACTED]")
     """
     source = _source(docs)
     listed = written(_listed(linked_spans(source.where("text is not null"), scope)), "spans").withColumnsRenamed({"doc_id": "__d", "digest": "__g", "spans": "__spans"})
-    if listed.count() <= _SPAN_ROWS:
-        listed = F.broadcast(listed)
+    listed = sized(listed)
     text = F.col("text")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
