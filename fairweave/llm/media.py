@@ -24,13 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import U64, byte_names, runs, text_buffer
-from fairweave.llm._shared import written
+from fairweave.llm._shared import sized, written
 
 UNIT = 576
 _PIECE = 1 << 19
 _GEAR = byte_names(0x6EA2)
-#: Rows up to which the list of payloads with borrowed chunks is broadcast.
-_BROADCAST_ROWS = 200_000
 _LIST = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n_bytes", pa.int64()), ("digests", pa.list_(pa.binary()))])
 _LIST_SQL = "doc_id long, key binary, n_bytes long, digests array<binary>"
 _STORE = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("digests", pa.list_(pa.binary())), ("lengths", pa.list_(pa.int32())), ("borrowed", pa.list_(pa.int32())), ("blob", pa.binary())])
@@ -177,11 +175,6 @@ def _read_mixed(key, stored, lent):
     return pa.Table.from_batches([_record([_features(row, chunks)], _FEATURES)])
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if it is small enough; else Spark shuffles the join."""
-    return F.broadcast(df) if df.count() <= _BROADCAST_ROWS else df
-
-
 def store_media(docs: DataFrame, *, bits: int = 11, least: int = 512, most: int = 8192) -> DataFrame:
     """Store every text's payload in content-defined chunks, read it back and describe it.
 
@@ -209,13 +202,13 @@ def store_media(docs: DataFrame, *, bits: int = 11, least: int = 512, most: int
     copies = kept.where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "key").distinct()
     odd = odd.select(F.col("keeper").alias("doc_id"), "key", F.lit(False).alias("copy"), "borrowed").unionByName(copies.select("doc_id", "key", F.lit(True).alias("copy"), F.array().cast("array<int>").alias("borrowed")))
     odd = written(odd.groupBy("doc_id").agg(F.collect_list(F.struct("key", "copy", "borrowed")).alias("odd")), "odd-payloads")
-    small = _sized(odd)
+    small = sized(odd)
     stored = source.join(small, source["doc_id"].eqNullSafe(small["doc_id"]), "left").select(source["doc_id"], "text", "odd")
     stored = written(stored.mapInArrow(_store(bits, least, most), _STORE_SQL), "store")
 
     whole = stored.where("size(borrowed) = 0").mapInArrow(_read_whole, _FEATURES_SQL)
     lenders = borrowed.groupBy(F.col("owner.keeper").alias("lender"), F.col("owner.key").alias("lender_key")).agg(F.collect_set("owner.k").alias("lent"))
-    lenders = _sized(written(lenders, "lenders"))
+    lenders = sized(written(lenders, "lenders"))
     lent = stored.join(lenders, (F.col("key") == F.col("lender_key")) & F.col("doc_id").eqNullSafe(F.col("lender"))).drop("lender", "lender_key")
     lent = lent.mapInArrow(_lend, "digest binary, data binary").dropDuplicates(["digest"])
     wanted = borrowed.select("key", "digest").distinct().join(lent, "digest")
