@@ -6,7 +6,8 @@ each with a weight) is learned from labelled texts; the others have short fixed
 lists.  The composed machine reads a clause from left to right.  Its state says whether a
 target has been named, how many words ago a negation stood, and whether the clause reports
 speech; the weight of an insult or threat depends on that state.  A clause's weight counts
-only when the clause matches, that is, holds an insult, or a threat with a target.  A
+only when the clause matches, that is, holds an insult, or a threat with a target; an insult
+needs no target, but weighs more with one, and less when negated or reported.  A
 logistic function fitted on the same labelled texts turns the sum over clauses to a score.
 """
 
@@ -20,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairweave.llm._shared import remainder, written
+from fairweave.llm._shared import remainder, sized, written
+from fairweave.llm.near_dedup import near_duplicates
 
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n\"“”«»]")
 _BREAKS = frozenset('.!?;:\n"“”«»')
@@ -33,8 +35,6 @@ REPORTS = frozenset("said says told wrote quoted claimed reported sagte schrieb
 _PREFIXES = range(3, 9)
 #: Clause weights beyond this sum make a text no more likely to be toxic.
 _ENOUGH = 15.0
-#: Characters at the start of a text that copies and near copies share.
-_FAMILY = 60
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
 
@@ -168,8 +168,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[flo
 def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int = 1, sample_docs: int = 12000, lexicon_size: int = 4000) -> SimpleNamespace:
     """The lexicon and the logistic curve, from at most about ``sample_docs`` labelled training texts.
 
-    Texts that start alike count once.  A feature enters the lexicon if so many of its texts are toxic, and so few are not, that
-    chance gives about one such feature in a lexicon.
+    Copies and near copies (classes of ``near_duplicates``) count once.  A feature enters the lexicon if so many of its
+    texts are toxic, and so few are not, that chance gives about one such feature in a lexicon; of more than
+    ``lexicon_size`` features the least likely to be chance are taken.
     """
     label = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("long")).alias("toxic"))
     label = label.where(remainder(F.col("doc_id"), folds) != held_out)
@@ -178,9 +179,10 @@ def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int =
         part = int(1_000_000 * sample_docs / n)
         label = label.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < part)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(label), "doc_id").where("text is not null")
-    # copies and near copies say the same only once: texts of one beginning are a family
-    sample = sample.select("text", "toxic", F.xxhash64(F.substring("text", 1, _FAMILY)).alias("family"))
     sample = written(sample, "toxicity-sample")
+    # copies and near copies say the same only once: texts of one class are a family
+    family = near_duplicates(sample).groupBy("doc_id").agg(F.min("component_id").alias("family"))
+    sample = written(sample.join(sized(written(family, "families")), "doc_id").select("text", "toxic", "family"), "toxicity-families")
     kin = lambda of: F.count_distinct(F.when(F.col("toxic") == of, F.col("family")))
     totals = sample.agg(kin(1).alias("toxic"), kin(0).alias("clean")).first()
     toxic, clean = totals.toxic, totals.clean
@@ -194,26 +196,27 @@ def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int =
     tail = F.col("t") * F.log(share / q) + F.when(F.col("c") > 0, F.col("c") * F.log((1 - share) / (1 - q))).otherwise(0.0)
     best = counted.withColumns({"gain": gain, "tail": tail}).where((F.col("gain") > 2.5) & (F.col("tail") > F.lit(float(np.log(2e5))))).orderBy(F.desc("tail"), "feature").limit(lexicon_size)
     lexicon = {r.feature: float(r.gain) for r in best.select("feature", "gain").collect()}
-    weighed = sample.mapInArrow(_weights(lexicon), "x double, toxic long").groupBy(F.round("x", 1).alias("x"), "toxic").count().limit(100_000).collect()
+    weighed = sample.mapInArrow(_weights(lexicon), "x double, toxic long").groupBy(F.round(F.least("x", F.lit(_ENOUGH)), 1).alias("x"), "toxic").count().collect()  # on a grid of 0.1 up to _ENOUGH
     x = np.repeat([r.x for r in weighed], [r["count"] for r in weighed])
     y = np.repeat([float(r.toxic) for r in weighed], [r["count"] for r in weighed])
-    bias, slope = fit_logistic(np.minimum(x, _ENOUGH), y)
+    bias, slope = fit_logistic(x, y)
     return SimpleNamespace(lexicon=lexicon, bias=bias, slope=slope)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int = 1, threshold: float = 0.7, sample_docs: int = 12000) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int = 1, threshold: float = 0.7, sample_docs: int = 12000, lexicon_size: int = 4000) -> DataFrame:
     """Score every text for toxicity.
 
     ``docs`` needs ``doc_id`` (integer) and ``text``, ``labels`` needs ``doc_id`` and ``toxic``; other
     columns are ignored.  Rows whose crc32 of the id, as text, leaves ``held_out`` when divided by
-    ``folds`` are never learned from.  ``sample_docs`` bounds the labelled texts that are learned from.
+    ``folds`` are never learned from.  ``sample_docs`` bounds the labelled texts that are learned from,
+    ``lexicon_size`` the features taken from them; both bound what reaches the driver.
 
     Returns one row per input row: doc_id, held_out, score (0 to 1) and predicted (1 from ``threshold``).
     A null or empty text matches nothing and has the score of such texts.  Without labels of both kinds
     all scores are alike.  Repeated rows are scored alike.  An empty table gives no rows.
     """
     spark: SparkSession = docs.sparkSession
-    model = learn(docs, labels, folds=folds, held_out=held_out, sample_docs=sample_docs)
+    model = learn(docs, labels, folds=folds, held_out=held_out, sample_docs=sample_docs, lexicon_size=lexicon_size)
     model.threshold = threshold
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id"), folds) == held_out).alias("held_out"), "text")
     return source.mapInArrow(_scores(spark.sparkContext.broadcast(model)), "doc_id long, held_out boolean, score double, predicted int")

@@ -49,3 +49,58 @@ def test_clauses_are_weighed_by_their_words():
     assert g.weigh("kill the process.") == 0.0
     assert g.weigh("we will kill you.") > 0.0
     assert g.weigh("nothing here. at all") == g.weigh("") == 0.0
+
+
+def test_repeated_rows_long_texts_and_common_openings(spark):
+    """A header that all texts share, copies, and a word far into a long text."""
+    docs, labels = labelled(200, seed=6)
+    header = "Welcome to the archive of letters, kept by the society for all readers since the first year of its being. "
+    docs = [(i, header + t, *rest) for i, t, *rest in docs]
+    long = (2000, header + "plain words here and there. " * 40_000 + "what a grobnik, a vexling, a grobnik this is.", *[None] * 7)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = score_toxicity(frame(spark, [*docs, *docs[:9], long, long]), table).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add((r.score, r.predicted))
+    assert len(got) == 211 and all(len(v) == 1 for v in by.values())
+    held = [(i, t) for i, t in labels if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum(next(iter(by[i]))[1] == t for i, t in held) >= 0.97 * len(held)
+    assert next(iter(by[2000]))[1] == 1
+
+
+def brute_weight(text, lexicon):
+    """The grammar by its rules, clause by clause."""
+    import re
+
+    from fairweave.llm.toxicity import NEGATIONS, REPORTS, TARGETS, THREATS
+
+    total, reported = 0.0, False
+    parts = re.split('([.!?;:\n"“”«»])', text.lower())
+    for clause, stop in zip(parts[::2], [*parts[1::2], "."]):
+        words = re.findall(r"[^\W\d_]+", clause)
+        insult = threat = 0.0
+        told = reported
+        for i, w in enumerate(words):
+            weight = max([lexicon.get(f, 0.0) for f in [w[:n] for n in range(3, 9) if n <= len(w)] + [w + "$"]])
+            listed = not weight
+            kind = "insult" if weight else "threat" if w in THREATS else ""
+            told = told or listed and not kind and w not in TARGETS and w not in NEGATIONS and w in REPORTS
+            if kind:
+                negated = any(x in NEGATIONS and not max(lexicon.get(f, 0.0) for f in [x[:n] for n in range(3, 9) if n <= len(x)] + [x + "$"]) for x in words[max(0, i - 3) : i])
+                own = (weight or 2.0) * (0.5 if negated else 1.0) * (0.5 if told else 1.0)
+                insult, threat = insult + own * (kind == "insult"), threat + own * (kind == "threat")
+        target = any(w in TARGETS and not max(lexicon.get(f, 0.0) for f in [w[:n] for n in range(3, 9) if n <= len(w)] + [w + "$"]) for w in words)
+        if insult or threat and target:
+            total += (insult + (threat if target else 0.0)) * (1.25 if target and not told else 1.0)
+        reported = (told or stop in '"“”«»') and stop in '":“”«»'
+    return total
+
+
+def test_weights_against_brute_force():
+    rng = random.Random(4)
+    lexicon = {"gro": 1.5, "grob": 3.0, "vex$": 2.0}
+    words = ["grob", "grobnik", "groat", "vex", "vexed", "kill", "you", "they", "not", "never", "said", "wrote", "plain", "word", "du"]
+    g = Grammar(lexicon)
+    for _ in range(400):
+        text = " ".join(rng.choice(words) + rng.choice([""] * 6 + [".", "!", ":", ' "', "\n", ";"]) for _ in range(rng.randint(0, 25)))
+        assert abs(g.weigh(text) - brute_weight(text, lexicon)) < 1e-9, text
