@@ -25,6 +25,9 @@ from fairweave.llm._shared import remainder
 LANE = 1024
 _PIECE = 1 << 20
 _BLANK = 0
+#: Symbols whose arcs lie in a table; arcs of the others are searched.
+_COMMON = 94
+_SYMBOL_BITS = 21
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
@@ -33,8 +36,8 @@ def letters_only(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions (states x width, -1: none) of the automaton of all substrings of ``symbols``."""
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Arcs (symbol -> state) of each state of the automaton of all substrings of ``symbols``; state 0 is the root."""
     link, length, arcs, last = [-1], [0], [{}], 0
     for s in symbols:
         cur = len(arcs)
@@ -59,39 +62,47 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = copy
         last = cur
-    out = np.full((len(arcs), width), -1, np.int32)
-    for state, to in enumerate(arcs):
-        for s, target in to.items():
-            out[state, s] = target
-    return out
+    return arcs
 
 
 def build_model(samples: dict[str, str]) -> SimpleNamespace:
-    """Automata of all languages in one table, and the alphabet."""
+    """Automata of all languages, one after another, and the alphabet of all letters in the samples.
+
+    Arcs of the most common symbols lie in a table (states x width, -1: none), the others in sorted keys.
+    """
     count: dict[str, int] = {}
     for text in samples.values():
         for c in text:
             count[c] = count.get(c, 0) + 1
     count.pop(" ", None)
-    letters = sorted(sorted(count), key=lambda c: -count[c])[:94]
-    # code point -> symbol: 0 blank, 1 a letter that no sample has, then the samples' letters
-    symbol = {ord(c): i + 2 for i, c in enumerate(letters)}
-    width, tables, weight, roots, at = len(letters) + 2, [], [], [], 0
+    # code point -> symbol: 0 blank, 1 a letter that no sample has, then the samples' letters, common ones first
+    symbol = {ord(c): i + 2 for i, c in enumerate(sorted(sorted(count), key=lambda c: -count[c]))}
+    width, tables, keys, targets, weight, roots, at = min(len(symbol), _COMMON) + 2, [], [], [], [], [], 0
     for language in sorted(samples):
-        symbols = [_BLANK if c == " " else symbol.get(ord(c), 1) for c in samples[language]]
-        table = suffix_automaton(symbols, width)
-        tables.append(np.where(table >= 0, table + at, -1).astype(np.int32))
+        symbols = [_BLANK if c == " " else symbol[ord(c)] for c in samples[language]]
+        arcs = suffix_automaton(symbols)
+        table = np.full((len(arcs), width), -1, np.int32)
+        for state, to in enumerate(arcs):
+            for s, target in to.items():
+                if s < width:
+                    table[state, s] = target + at
+                else:
+                    keys.append((state + at) << _SYMBOL_BITS | s)
+                    targets.append(target + at)
+        tables.append(table)
         roots.append(at)
-        at += len(table)
+        at += len(arcs)
         weight.append(float(np.log2(max(2, len(symbols)))))
     table = np.concatenate(tables).reshape(-1) if tables else np.zeros(0, np.int32)
-    return SimpleNamespace(languages=sorted(samples), symbol=symbol, width=width, table=table, roots=np.array(roots, np.int32), weight=weight)
+    keys, targets = np.array(keys, np.int64), np.array(targets, np.int32)
+    order = np.argsort(keys)
+    return SimpleNamespace(languages=sorted(samples), symbol=symbol, width=width, table=table, keys=keys[order], targets=targets[order], roots=np.array(roots, np.int32), weight=weight)
 
 
 def _points(model: SimpleNamespace) -> np.ndarray:
     """Code point -> symbol, for all of Unicode."""
     alpha = np.fromiter((unicodedata.category(chr(i))[0] == "L" for i in range(0x110000)), bool, 0x110000)
-    out = np.where(alpha, 1, _BLANK).astype(np.uint8)
+    out = np.where(alpha, 1, _BLANK).astype(np.int32)
     for point, s in model.symbol.items():
         out[point] = s
         for other in (chr(point).upper(), chr(point).title()):
@@ -100,6 +111,19 @@ def _points(model: SimpleNamespace) -> np.ndarray:
     return out
 
 
+def _step(model: SimpleNamespace, state: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """The states (languages x lanes) reached by a symbol for each lane, -1 where there is no arc."""
+    common = s < model.width
+    if common.all():
+        return model.table[state * np.int32(model.width) + s]
+    to = np.full(state.shape, -1, np.int32)
+    to[:, common] = model.table[state[:, common] * np.int32(model.width) + s[common]]
+    asked = state[:, ~common].astype(np.int64) << _SYMBOL_BITS | s[~common]
+    at = np.minimum(np.searchsorted(model.keys, asked), len(model.keys) - 1)
+    to[:, ~common] = np.where(model.keys[at] == asked, model.targets[at], -1)
+    return to
+
+
 def phrases(model: SimpleNamespace, lanes: np.ndarray, size: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     """Phrases (languages x lanes) in the lanes that start at ``lanes`` in ``symbols``."""
     order = np.argsort(-size, kind="stable")
@@ -112,12 +136,14 @@ def phrases(model: SimpleNamespace, lanes: np.ndarray, size: np.ndarray, symbols
     active = n - np.searchsorted(left[::-1], np.arange(left[0] if n else 0), "right")
     for m in active:
         s = symbols[at[:m]].astype(np.int32)
-        to = model.table[state[:, :m] * np.int32(model.width) + s]
+        to = _step(model, state[:, :m], s)
         miss = to < 0
-        count[:, :m] += miss
-        state[:, :m] = np.where(miss, begin[:, s], to)
+        # a lane at the root starts a phrase; so does one whose phrase can't go on
+        count[:, :m] += miss | (state[:, :m] == root[:, :m])
+        # where a phrase ends the symbol starts the next one, at the root if the sample lacks it
+        first = begin[:, s] if (s < model.width).all() else np.maximum(_step(model, root[:, :m], s), root[:, :m])
+        state[:, :m] = np.where(miss, first, to)
         at[:m] += 1
-    count += 1
     out = np.empty_like(count)
     out[:, order] = count
     return out

@@ -1,7 +1,9 @@
 import random
 import zlib
 
-from fairweave.llm.language_id import build_model, identify_languages, letters_only, suffix_automaton
+import numpy as np
+
+from fairweave.llm.language_id import LANE, build_model, identify_languages, letters_only, phrases, suffix_automaton
 
 from .corpus import frame, rows
 
@@ -44,13 +46,13 @@ def test_labels_of_a_row_do_not_change_its_prediction(spark):
 def test_automaton_has_all_substrings_and_no_other():
     s = letters_only("Abra, cadabra!").replace(" ", "")
     model = build_model({"x": s})
-    table = suffix_automaton([model.symbol[ord(c)] for c in s], model.width)
+    arcs = suffix_automaton([model.symbol[ord(c)] for c in s])
 
     def reads(word):
         state = 0
         for c in word:
-            state = table[state, model.symbol[ord(c)]]
-            if state < 0:
+            state = arcs[state].get(model.symbol[ord(c)])
+            if state is None:
                 return False
         return True
 
@@ -58,3 +60,40 @@ def test_automaton_has_all_substrings_and_no_other():
     for _ in range(500):
         w = "".join(rng.choices("abrcd", k=rng.randint(1, 5)))
         assert reads(w) == (w in s)
+
+
+def brute_phrases(text, sample):
+    """Longest matches from left to right; a letter that the sample lacks is a phrase of its own."""
+    n, at = 0, 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and text[at : at + size + 1] in sample and text[at : at + size] in sample:
+            size += 1
+        at, n = at + size, n + 1
+    return n
+
+
+def test_phrases_against_brute_force():
+    """Alphabets of a few and of several hundred letters."""
+    rng = random.Random(7)
+    small, large = "abcdef ", "".join(chr(0x4E00 + i) for i in range(300)) + " "
+    for letters in (small, large):
+        samples = {x: "".join(rng.choices(letters[k::2] if letters is large else letters, k=900)) for k, x in enumerate("xy")}
+        model = build_model(samples)
+        texts = ["".join(rng.choices(letters, k=rng.randint(1, LANE))) for _ in range(20)] + [samples["x"][100:400], "z" + samples["y"][5:50] + "zz"]
+        symbols = np.array([0 if c == " " else model.symbol.get(ord(c), 1) for t in texts for c in t])
+        size = np.array([len(t) for t in texts])
+        got = phrases(model, np.cumsum(size) - size, size, symbols)
+        for k, x in enumerate("xy"):
+            assert got[k].tolist() == [brute_phrases(t, samples[x]) for t in texts]
+
+
+def test_languages_of_many_letters(spark):
+    """Two languages that share an alphabet of 400 letters, beside one of a few letters."""
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + i) for i in range(400)]
+    words = {lang: ["".join(rng.choices(letters, k=rng.randint(1, 3))) for _ in range(150)] for lang in ("p", "q")} | {"aa": SYLLABLES["aa"]}
+    data = [(i, "".join(rng.choices(words[lang := rng.choice(["p", "q", "aa"])], k=60)), lang, *[None] * 6) for i in range(240)]
+    got = {r.doc_id: r for r in identify_languages(frame(spark, data)).collect()}
+    held = [r for r in data if got[r[0]].held_out]
+    assert sum(got[r[0]].lang_pred == r[2] for r in held) >= 0.97 * len(held)
