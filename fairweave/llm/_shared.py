@@ -6,6 +6,8 @@ import math
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,23 +62,24 @@ def hash_chunk(df: DataFrame, chunk_bytes: int, least: int = 48) -> tuple[DataFr
     return df.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(n))), n
 
 
-def range_chunk(df: DataFrame, chunk_bytes: int, least: int = 48) -> tuple[DataFrame, int]:
+def range_chunk(df: DataFrame, chunk_bytes: int, least: int = 48, most: int = 1_000_000) -> tuple[DataFrame, int]:
     """Add ``chunk``: numbers that rise with ``doc_id``, about ``chunk_bytes`` of text each.
 
-    Only the chunks' first ids reach the driver, found as approximate quantiles.
-    A null id goes to the first chunk.
+    The chunks' first ids, found as approximate quantiles, are broadcast: 8 bytes for each of at most
+    ``most`` chunks, which grow beyond ``chunk_bytes`` after that.  Rows without an id come after all
+    others, dealt to chunks of their own by a hash of their text.
     """
-    total = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(least, math.ceil(total / chunk_bytes))
-    edges = df.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n) if total else []
-    edges = sorted({int(x) for x in edges})
-    if not edges:
-        return df.withColumn("chunk", F.lit(0).cast("long")), 1
-    step = max(1, math.isqrt(len(edges)))
-    rows = [edges[i : i + step] for i in range(0, len(edges), step)]
-    longs = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
-    under = lambda xs: F.size(F.filter(xs, lambda e: e <= F.col("doc_id")))
-    row = F.greatest(under(longs([r[0] for r in rows])), F.lit(1))
-    inner = F.element_at(F.array(*[longs(r) for r in rows]), row)
-    chunk = (row - 1) * step + under(inner)
-    return df.withColumn("chunk", F.coalesce(chunk.cast("long"), F.lit(0).cast("long"))), len(edges) + 1
+    size = F.octet_length("text")
+    total, nameless = (x or 0 for x in df.agg(F.sum(size), F.sum(F.when(F.col("doc_id").isNull(), size))).first())
+    n = min(most, max(least, math.ceil(total / chunk_bytes)))
+    edges = df.approxQuantile("doc_id", [i / n for i in range(1, n)], max(0.2 / n, 1e-6)) if total else []
+    first = df.sparkSession.sparkContext.broadcast(np.array(sorted({int(x) for x in edges}), np.int64))
+    rest = max(1, math.ceil(nameless / max(1, total) * n))
+
+    @F.pandas_udf("long")
+    def under(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(first.value, ids.to_numpy(), "right"))
+
+    own = under(F.coalesce("doc_id", F.lit(0).cast("long")))
+    last = F.lit(len(first.value) + 1) + F.pmod(F.xxhash64("text"), F.lit(rest))
+    return df.withColumn("chunk", F.when(F.col("doc_id").isNull(), last).otherwise(own)), len(first.value) + 1 + rest

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import NOT_SPACE, U64, _power_tables, mix, runs, text_buffer, words
 from fairweave.llm._shared import range_chunk
-from fairweave.llm.substring_dedup import _ROWS_SQL, _answer_positions, _asked, _joined
+from fairweave.llm.substring_dedup import _ROWS_SQL, _answer_positions, _asked, _joined, distinct_names
 
 _PIECE = 1 << 20
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_sentences", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.string())])
@@ -86,11 +86,11 @@ def _inner_ends(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sentence_spans(raw: np.ndarray, offsets: np.ndarray, span_words: int, long_words: int):
-    """Sentences as (text, first byte, end byte), and spans as (name, first sentence, last sentence)."""
+    """Sentences as (text, first byte, end byte), and spans as (name, 32 more bits of it, first sentence, last sentence)."""
     doc, start, name = words(raw, offsets, cuts=_inner_ends(raw, offsets))
     none = np.zeros(0, np.int64)
     if not len(doc):
-        return none, none, none, np.zeros(0, U64), none, none
+        return none, none, none, np.zeros(0, U64), np.zeros(0, np.uint32), none, none
     limit = np.append(start[1:], len(raw))
     limit = np.minimum(limit, offsets[doc + 1])  # where the next word, or the text's end, is
     gaps = np.concatenate(([0], np.cumsum(~NOT_SPACE[raw])))
@@ -119,11 +119,14 @@ def sentence_spans(raw: np.ndarray, offsets: np.ndarray, span_words: int, long_w
     ok[ok] &= owner[until[ok]] == owner[at[ok]]
     at, until = at[ok], until[ok]
     up, down = _power_tables(len(name) + 1)
-    total = np.zeros(len(name) + 1, U64)
-    np.cumsum(name * up[: len(name)], out=total[1:])
     a, b = first[at], last[until]
-    span = mix((total[b] - total[a]) * down[a] + (b - a).astype(U64))
-    return owner, from_byte, to_byte, span, at, until
+
+    def spans(of: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(of) + 1, U64)
+        np.cumsum(of * up[: len(of)], out=total[1:])
+        return mix((total[b] - total[a]) * down[a] + (b - a).astype(U64))
+
+    return owner, from_byte, to_byte, spans(name), (spans(mix(name)) >> U64(32)).astype(np.uint32), at, until
 
 
 class _Chunk:
@@ -133,16 +136,17 @@ class _Chunk:
         parts, sentences = [], 0
         for i, j in runs(self.offsets, _PIECE):
             base = self.offsets[i]
-            owner, a, b, span, s, e = sentence_spans(self.raw[base : self.offsets[j]], self.offsets[i : j + 1] - base, span_words, long_words)
-            parts.append((owner + i, a + base, b + base, span, s + sentences, e + sentences))
+            owner, a, b, span, more, s, e = sentence_spans(self.raw[base : self.offsets[j]], self.offsets[i : j + 1] - base, span_words, long_words)
+            parts.append((owner + i, a + base, b + base, span, more, s + sentences, e + sentences))
             sentences += len(owner)
-        self.owner, self.begin, self.end, self.span, self.first, self.last = (np.concatenate(p) for p in zip(*parts))
-        self.names, self.where, self.number = np.unique(self.span, return_index=True, return_inverse=True)
+        self.owner, self.begin, self.end, self.span, self.more, self.first, self.last = (np.concatenate(p) for p in zip(*parts))
+        self.where, self.number = distinct_names(self.span, self.more)
 
 
 def _ask(span_words: int, long_words: int, buckets: int):
     def ask(key, table):
-        return _asked(key[0].as_py(), 1, _Chunk(table, span_words, long_words).names, buckets)
+        c = _Chunk(table, span_words, long_words)
+        return _asked(key[0].as_py(), 1, c.span[c.where], buckets, c.more[c.where])
 
     return ask
 
@@ -152,7 +156,7 @@ def _finish(span_words: int, long_words: int):
         if not len(docs):
             return _OUT.empty_table()
         c = _Chunk(docs, span_words, long_words)
-        repeated = _joined(answers, 1, len(c.names)).astype(bool)[c.number]
+        repeated = _joined(answers, 1, len(c.where)).astype(bool)[c.number]
         later = np.ones(len(c.span), bool)
         later[c.where] = False
         repeated |= later
@@ -186,8 +190,8 @@ def remove_repeated_sentences(docs: DataFrame, *, span_words: int = 20, long_wor
 
     Returns one row per input row: doc_id, n_sentences, n_removed, n_spans (repeated spans), kept_sha256
     and text (what is left).  A null or empty text has no sentence and its kept text is empty.  Rows of
-    the same id are taken in the order of their texts; a null id comes last in the first chunk.  An empty
-    table gives no rows.  Spans are told apart by 64-bit names.
+    the same id are taken in the order of their texts; rows of a null id come last, in the order of a hash of
+    their texts, then their texts.  An empty table gives no rows.  Spans are told apart by 96-bit names.
     """
     chunked, n_chunks = range_chunk(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), chunk_bytes)
     buckets = max(48, math.ceil(n_chunks * chunk_bytes / 60 / bucket_names))

@@ -119,10 +119,9 @@ class _Chunk:
         self.repeat = np.ones(len(keys), bool)
         self.repeat[self.first] = False
 
-    def positions(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct threshold-long names in the wanted blocks: (sorted names, where each comes first),
-        and all positions with the number of their name."""
-        where, names = [], []
+    def positions(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, name, 32 more bits of the name) of each threshold-long string in the wanted blocks."""
+        where, names, more = [], [], []
         take = np.sort(wanted)
         for i, j in runs(self.offsets, _PIECE):
             base, stop = self.offsets[i], self.offsets[j]
@@ -133,10 +132,22 @@ class _Chunk:
             at = np.repeat(self.start[own] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
             _, wide = _doubled(self.raw[base:stop])
             where.append(at)
-            names.append(pair(wide[at - base], mix(wide[at - base + self.threshold - 64])))
+            head, tail = wide[at - base], wide[at - base + self.threshold - 64]
+            names.append(pair(head, mix(tail)))
+            more.append((pair(tail, mix(head)) >> U64(32)).astype(np.uint32))
         if not where:
-            return np.zeros(0, np.int64), np.zeros(0, U64)
-        return np.concatenate(where), np.concatenate(names)
+            return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.uint32)
+        return np.concatenate(where), np.concatenate(names), np.concatenate(more)
+
+
+def distinct_names(names: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct name (of both parts) comes first, in the order of names, and the number of each one's name."""
+    order = np.lexsort((more, names))
+    new = np.ones(len(order), bool)
+    new[1:] = (names[order][1:] != names[order][:-1]) | (more[order][1:] != more[order][:-1])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
 
 def _asked(chunk: int, kind: int, names: np.ndarray, buckets: int, extra: np.ndarray | None = None) -> pa.Table:
@@ -198,9 +209,10 @@ def _ask_positions(threshold: int, buckets: int):
         chunk = key[0].as_py()
         c = _Chunk(docs, threshold)
         got = _joined(answers, 0, len(c.keys))
-        _, names = c.positions(c.first[got == 2])
+        _, names, more = c.positions(c.first[got == 2])
+        first, _ = distinct_names(names, more)
         settled = pa.table([[chunk], [-1 - chunk], [0], [got.tobytes()]], schema=_ROWS)
-        return pa.concat_tables([settled, _asked(chunk, 1, np.unique(names), buckets)])
+        return pa.concat_tables([settled, _asked(chunk, 1, names[first], buckets, more[first])])
 
     return ask
 
@@ -210,14 +222,13 @@ def _answer_positions(key, table):
     if key[0].as_py() < 0:
         return table.select(_ROWS.names)
     table, blobs = _gathered(table)
-    parts = [unplanes(b) for b in blobs]
-    names = np.concatenate(parts)
-    order = np.argsort(names, kind="stable")
-    later = np.zeros(len(names), bool)
-    later[1:] = names[order][1:] == names[order][:-1]
-    answer = np.empty(len(names), np.uint8)
-    answer[order] = later
-    return _answers(table, answer, [len(p) for p in parts])
+    sizes = [len(b) // 12 for b in blobs]
+    names = np.concatenate([unplanes(b[: 8 * n]) for b, n in zip(blobs, sizes)])
+    more = np.concatenate([unplanes(b[8 * n :], np.uint32) for b, n in zip(blobs, sizes)])
+    first, _ = distinct_names(names, more)
+    answer = np.ones(len(names), np.uint8)
+    answer[first] = 0
+    return _answers(table, answer, sizes)
 
 
 def _removed(threshold: int, with_text: bool):
@@ -231,9 +242,9 @@ def _removed(threshold: int, with_text: bool):
         # starts of repeated strings, as ranges [from, to)
         gone = c.repeat.copy()
         gone[c.first[got == 1]] = True
-        where, names = c.positions(c.first[got == 2])
-        distinct, first, number = np.unique(names, return_index=True, return_inverse=True) if len(names) else (names, where, where)
-        repeated = _joined(answers, 1, len(distinct)).astype(bool)[number] if len(names) else np.zeros(0, bool)
+        where, names, more = c.positions(c.first[got == 2])
+        first, number = distinct_names(names, more)
+        repeated = _joined(answers, 1, len(first)).astype(bool)[number] if len(names) else np.zeros(0, bool)
         if len(names):
             later = np.ones(len(names), bool)
             later[first] = False
@@ -266,10 +277,12 @@ def remove_repeated_substrings(docs: DataFrame, threshold: int = 100, *, with_te
     Returns one row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with
     ``with_text``, the kept bytes.  A null text is empty: nothing is removed and the digest is
     that of no bytes.  Rows of the same id are taken in the order of their texts, as if the
-    later ones had greater ids; a null id comes last in the first chunk.  An empty table gives no rows.
+    later ones had greater ids; rows of a null id come last, in the order of a hash of their texts, then
+    their texts.  An empty table gives no rows.
 
-    ``threshold`` is 96 to 128.  Names have 64 bits; a string is also tied to the bucket of its
-    least name.  ``chunk_bytes`` bounds what a task holds, ``bucket_names`` what a bucket sorts.
+    ``threshold`` is 96 to 128.  Blocks are told apart by 128 bits, strings by 96.  ``chunk_bytes``
+    bounds what a task holds (but for rows of one id), ``bucket_names`` what a bucket sorts.  A chunk sends
+    only to buckets for which it has a name, so messages never outnumber names.
     """
     if not 96 <= threshold <= 128:
         raise ValueError("threshold must be from 96 to 128")

@@ -37,3 +37,49 @@ def test_kept_bytes_and_empty_table(spark):
     assert remove_repeated_substrings(frame(spark, [])).collect() == []
     with pytest.raises(ValueError):
         remove_repeated_substrings(frame(spark), 40)
+
+
+def test_rows_without_an_id_come_last(spark):
+    one, two = ("".join(f"{k} {i} " for i in range(60)) for k in "ab")
+    data = [(None, one), (5, one), *[(None, two)] * 3, (None, ""), *[(None, f"{i} {two}") for i in range(40)]]
+    got = remove_repeated_substrings(frame(spark, [(*r, *[None] * 7) for r in data]), chunk_bytes=500).collect()
+    assert [r.n_removed for r in got if r.doc_id == 5] == [0]
+    nameless = [r for r in got if r.doc_id is None]
+    assert sum(r.n_removed == len(one) for r in nameless if r.n_bytes == len(one)) >= 3
+    # of the texts that hold b, one keeps it
+    assert sum(r.n_bytes - r.n_removed >= len(two) for r in nameless) == 1
+    assert len(got) == len(data)
+
+
+def doubled_ranks(docs, threshold):
+    """Plain prefix doubling by Spark: (doc_id, at, rank) of all strings of the threshold's length that repeat.
+
+    A rank is the least place of the string; a place whose string is unique leaves, and a string of twice the
+    length can only repeat if both its halves do.
+    """
+    from pyspark.sql import functions as F
+
+    raw = F.encode("text", "utf-8")
+    place = F.struct("doc_id", "at")
+    rank = docs.where("length(text) > 0").select("doc_id", F.posexplode(F.split(F.hex(raw), "(?<=\\G..)")).alias("at", "rank"))
+    rank, size = rank.where("rank <> ''"), 1
+    while True:
+        least = rank.groupBy("rank").agg(F.min(place).alias("least"), F.count("*").alias("times")).where("times > 1")
+        rank = rank.join(least, "rank").select("doc_id", "at", F.col("least").alias("rank")).checkpoint()
+        if size == threshold:
+            return rank
+        step = min(size, threshold - size)
+        ahead = rank.select("doc_id", (F.col("at") - step).alias("at"), F.col("rank").alias("next"))
+        rank, size = rank.join(ahead, ["doc_id", "at"]).select("doc_id", "at", F.struct("rank", "next").alias("rank")), size + step
+
+
+def test_same_bytes_as_plain_prefix_doubling(spark):
+    """The strings that go are those that sorted position-rank pairs at growing offsets find."""
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    docs = frame(spark, [r for i, r in enumerate(rows()) if r[0] != 13 and len(r[1] or "") < 2000][:40]).dropDuplicates(["doc_id"])
+    ranks = doubled_ranks(docs, 100)
+    gone = {}
+    for r in ranks.where("rank <> struct(doc_id, at)").collect():
+        gone.setdefault(r.doc_id, set()).update(range(r["at"], r["at"] + 100))
+    got = {r.doc_id: r.n_removed for r in remove_repeated_substrings(docs, 100).collect()}
+    assert got == {d: len(gone.get(d, ())) for d in got} and any(got.values())
