@@ -39,6 +39,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, spread over all cores where its scan has fewer partitions than that."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 #: Bytes, as JSON text, up to which a table is broadcast.
 _BROADCAST_BYTES = 24 << 20
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairweave.llm._shared import sized, written
+from fairweave.llm._shared import sized, table, written
 
 #: Between words: everything in ASCII but digits and lower-case letters.
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -141,7 +141,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, width: int = 13, ne
 
 def op4_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` against all of ``benchmark``."""
-    return find_contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return find_contamination(table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 OP4_SQL = """

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import runs, text_buffer
-from fairweave.llm._shared import remainder
+from fairweave.llm._shared import remainder, table
 
 LANE = 1024
 _PIECE = 1 << 20
@@ -219,4 +219,4 @@ def identify_languages(docs: DataFrame, *, folds: int = 3, held_out: int = 1, sa
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
     """The languages of all ``documents``."""
-    return identify_languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return identify_languages(table(spark, sf_dir, "documents"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import U64, bucket_edges, pair, planes, runs, text_buffer, unplanes, words
-from fairweave.llm._shared import hash_chunk, remainder
+from fairweave.llm._shared import hash_chunk, remainder, table
 
 _END, _START = U64(0xE0D0E0D0E0D0E0D1), U64(0x57A127B75A127B75)
 _PIECE = 1 << 20
@@ -262,4 +262,4 @@ def score_texts(docs: DataFrame, *, folds: int = 10, strength: float = 400.0, pa
 
 def op1_lm_scoring(spark, sf_dir: str) -> DataFrame:
     """Scores of all ``documents``."""
-    return score_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return score_texts(table(spark, sf_dir, "documents"))

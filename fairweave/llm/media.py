@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import U64, byte_names, runs, text_buffer
-from fairweave.llm._shared import sized, written
+from fairweave.llm._shared import sized, table, written
 
 UNIT = 576
 _PIECE = 1 << 19
@@ -219,4 +219,4 @@ def store_media(docs: DataFrame, *, bits: int = 11, least: int = 512, most: int
 
 def op7_media_columns(spark, sf_dir: str) -> DataFrame:
     """The payloads of all ``documents``."""
-    return store_media(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return store_media(table(spark, sf_dir, "documents"))

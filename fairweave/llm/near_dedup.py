@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import U64, mix, pair, runs, text_buffer, words
-from fairweave.llm._shared import written
+from fairweave.llm._shared import table, written
 from fairweave.llm.graph import components
 
 _PIECE = 1 << 19
@@ -328,4 +328,4 @@ def near_duplicates(docs: DataFrame, per_cent: int = 80, *, width: int = 5, band
 
 def op3_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all ``documents`` at a similarity of 0.85."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), 85)
+    return near_duplicates(table(spark, sf_dir, "documents"), 85)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import U64, mix
-from fairweave.llm._shared import written
+from fairweave.llm._shared import table, written
 
 _PIECE = 1 << 19
 _ROWS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("partition", pa.int64()), ("ids", pa.binary())])
@@ -333,4 +333,4 @@ def op8_packing(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of 2048 tokens."""
     import public_tokenizers
 
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairweave.llm._shared import sized, written
+from fairweave.llm._shared import sized, table, written
 
 #: Kinds in order: name, pattern, least length (of group 2 for assign), role, base or weak, and
 #: lower-case strings of which a text must hold one to be searched.
@@ -147,7 +147,7 @@ def redact_secrets(docs: DataFrame, scope: int = 200, mark: str = "[REDACTED]")
 
 def op2_secret_scans(spark, sf_dir: str) -> DataFrame:
     """Secrets in all ``documents``."""
-    return find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return find_secrets(table(spark, sf_dir, "documents"))
 
 
 def _sql() -> str:

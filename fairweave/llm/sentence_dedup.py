@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import NOT_SPACE, U64, _power_tables, mix, runs, text_buffer, words
-from fairweave.llm._shared import range_chunk
+from fairweave.llm._shared import range_chunk, table
 from fairweave.llm.substring_dedup import _ROWS_SQL, _answer_positions, _asked, _joined, distinct_names
 
 _PIECE = 1 << 20
@@ -202,4 +202,4 @@ def remove_repeated_sentences(docs: DataFrame, *, span_words: int = 20, long_wor
 
 def op6_sentence_dedup(spark, sf_dir: str) -> DataFrame:
     """Repeated runs of two or more sentences of all ``documents``."""
-    return remove_repeated_sentences(spark.read.parquet(f"{sf_dir}/documents.parquet"), span_words=0)
+    return remove_repeated_sentences(table(spark, sf_dir, "documents"), span_words=0)

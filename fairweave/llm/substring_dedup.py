@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import U64, bucket_edges, byte_names, mix, pair, planes, runs, text_buffer, unplanes
-from fairweave.llm._shared import range_chunk
+from fairweave.llm._shared import range_chunk, table
 
 GRAM = 32
 _PIECE = 1 << 19
@@ -300,4 +300,4 @@ def remove_repeated_substrings(docs: DataFrame, threshold: int = 100, *, with_te
 
 def op10_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     """Repeated 100-byte strings of all ``documents``."""
-    return remove_repeated_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"), 100)
+    return remove_repeated_substrings(table(spark, sf_dir, "documents"), 100)

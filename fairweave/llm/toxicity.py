@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairweave.llm._shared import remainder, sized, written
+from fairweave.llm._shared import remainder, sized, table, written
 from fairweave.llm.near_dedup import near_duplicates
 
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n\"“”«»]")
@@ -224,4 +224,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_o
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:
     """Toxicity of all ``documents``, learned from ``labels``."""
-    return score_toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
