@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fairweave.functions.location import extract_state
 from fairweave.functions.predicates import event_days, is_out_of_region
 from fairweave.functions.text import normalize_title, title_tokens
+from fairweave.operators.store import stored
 
 
 def _place(c: str = "clean_location") -> Column:
@@ -64,21 +65,25 @@ def is_recurring(dates: Column) -> Column:
 
 
 def merge_series(df: DataFrame, shown: int = 8) -> DataFrame:
-    """D3: rows of one title and place in a recurring cadence become the first of them.
+    """D3: rows of one source, title and place in a recurring cadence become the first of them.
 
-    Its title is marked, and ``series_dates`` has the first ``shown`` dates.  Rows that are part of no
-    series, and undated ones, stay as they are.
+    Its title is marked, ``series_dates`` has the first ``shown`` dates, and a ``description``, where there is
+    one, gets them in words, with how many more there are and until when.  Rows that are part of no series,
+    and undated ones, stay as they are.
     """
-    key = [normalize_title("title").alias("__t"), _place().alias("__p"), F.col("source")]
-    dated = df.where("start_ts is not null").select("*", *key[:2])
-    w = Window.partitionBy("__t", "__p", "source")
-    series = dated.groupBy("__t", "__p", "source").agg(F.sort_array(F.collect_list(F.to_date("start_ts"))).alias("__d"))
-    series = series.where(is_recurring(F.col("__d")))
-    first = F.row_number().over(w.orderBy("start_ts", "row_id"))
-    ranked = dated.withColumn("__n", first).join(series, ["__t", "__p", "source"], "left")
-    kept = ranked.where("__d is null or __n = 1")
-    title = F.when(F.col("__d").isNotNull(), F.concat(F.col("title"), F.lit(" (RECURRING)"))).otherwise(F.col("title"))
-    out = kept.select(*[title.alias("title") if c == "title" else F.col(c) for c in df.columns], F.slice("__d", 1, shown).alias("series_dates"))
+    key = ["source", "title", "__p"]
+    dated = df.where("start_ts is not null").select("*", _place().alias("__p"))
+    series = dated.groupBy(*key).agg(F.sort_array(F.collect_list(F.to_date("start_ts"))).alias("__d"))
+    series = series.where(is_recurring(F.col("__d"))).withColumnsRenamed({"source": "__s", "title": "__t", "__p": "__q"})
+    same = F.col("source").eqNullSafe(F.col("__s")) & F.col("title").eqNullSafe(F.col("__t")) & (F.col("__p") == F.col("__q"))
+    first = F.row_number().over(Window.partitionBy(*key).orderBy("start_ts", "row_id"))
+    kept = dated.withColumn("__n", first).join(series, same, "left").where("__d is null or __n = 1")
+    day = lambda d: F.date_format(d, "d MMM yyyy")
+    more = F.size("__d") - shown
+    words = F.concat(F.array_join(F.transform(F.slice("__d", 1, shown), day), ", "), F.when(more > 0, F.concat(F.lit(", … "), more.cast("string"), F.lit(" more through "), day(F.element_at("__d", -1)))).otherwise(F.lit("")))
+    told = F.concat(F.regexp_replace(F.coalesce(F.col("description") if "description" in df.columns else F.lit(""), F.lit("")), r"\s+$", ""), F.lit(" [RECURRING — also on: "), words, F.lit("]"))
+    new = {"title": F.concat("title", F.lit(" (RECURRING)")), "description": told}
+    out = kept.select(*[F.when(F.col("__d").isNotNull(), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in df.columns], F.slice("__d", 1, shown).alias("series_dates"))
     return out.unionByName(df.where("start_ts is null").withColumn("series_dates", F.lit(None).cast("array<date>")))
 
 
@@ -102,14 +107,18 @@ def _similar(a: Column, b: Column) -> Column:
 def _without_copies(df: DataFrame, candidate: Column, original: Column) -> DataFrame:
     """Anti join: candidates that an original of the same day resembles in title and venue go.
 
-    Distinct (day, tokens, venue) are compared, not rows, so popular titles stay cheap.
+    Distinct (day, tokens, venue) are compared, not rows, so popular titles stay cheap.  Two titles can only
+    be alike if they share half of the larger set of tokens, so each side is looked up under the first
+    tokens in order only (half of them and one more): one of these must be common to both.
     """
     keyed = df.withColumns({"__day": F.to_date("start_ts"), "__tok": F.array_sort(title_tokens("title")), "__loc": normalize_title("clean_location")})
-    left = keyed.where(candidate).select("__day", "__tok", "__loc").distinct()
-    right = keyed.where(original).select(F.col("__day").alias("d"), F.col("__tok").alias("t"), F.col("__loc").alias("l")).distinct()
-    copies = left.join(right, (F.col("__day") == F.col("d")) & _similar(F.col("__tok"), F.col("t")) & venues_meet(F.col("__loc"), F.col("l")), "left_semi")
-    copies = copies.withColumn("__copy", F.lit(True))
-    out = keyed.withColumn("__cand", candidate).join(copies.withColumn("__cand", F.lit(True)), ["__day", "__tok", "__loc", "__cand"], "left")
+    under = F.explode(F.slice("__tok", F.lit(1), F.size("__tok") - F.ceil(F.size("__tok") / 2).cast("int") + 1)).alias("__key")
+    side = lambda which: keyed.where(which).select("__day", "__tok", "__loc").distinct().where("size(__tok) > 0").select("*", under)
+    right = side(original).withColumnsRenamed({"__day": "d", "__tok": "t", "__loc": "l", "__key": "k"})
+    alike = (F.col("__day") == F.col("d")) & (F.col("__key") == F.col("k")) & _similar(F.col("__tok"), F.col("t")) & venues_meet(F.col("__loc"), F.col("l"))
+    copies = side(candidate).join(right, alike, "left_semi").select("__day", "__tok", "__loc").distinct()
+    copies = copies.withColumns({"__copy": F.lit(True), "__cand": F.lit(True)})
+    out = keyed.withColumn("__cand", candidate).join(copies, ["__day", "__tok", "__loc", "__cand"], "left")
     return out.where("__copy is null").select(df.columns)
 
 
@@ -139,39 +148,61 @@ def modal_dates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _marquee_matches(df: DataFrame, events: DataFrame, min_days: float) -> DataFrame:
-    """Listings that name an event, by the least event_seq; with the year."""
+    """(row_id, event_seq, host, year, calendar_type, source, first, last, start_ts) of listings that name an event.
+
+    An event is looked up by the first word of a keyword; of several the least event_seq counts.
+    """
     title = F.concat(F.lit(" "), normalize_title("title"), F.lit(" "))
-    named = df.where(event_days(F.col("start_ts"), F.col("end_ts")) >= min_days).join(
-        F.broadcast(events.select(F.col("event_seq"), F.col("name"), F.explode("keywords").alias("kw"), F.col("host"), F.col("place"))),
-        F.expr("true") & title.contains(F.concat(F.lit(" "), F.col("kw"), F.lit(" "))),
-    )
-    return preferred(named, [F.col("row_id")], [F.col("event_seq")]).drop("kw").withColumn("year", F.year("start_ts"))
+    long = df.where(event_days(F.col("start_ts"), F.col("end_ts")) >= min_days)
+    first, last = F.to_date("start_ts"), F.to_date(F.coalesce("end_ts", "start_ts"))
+    long = long.select("row_id", "calendar_type", "source", "start_ts", first.alias("first"), F.to_date("end_ts").alias("end"), last.alias("last"), F.year("start_ts").alias("year"), title.alias("__title"))
+    words = long.select("*", F.explode(F.array_distinct(F.split(F.trim("__title"), " "))).alias("__word"))
+    keys = events.select("event_seq", "host", F.explode("keywords").alias("kw")).withColumn("__word", F.split("kw", " ")[0])
+    named = words.join(keys, "__word").where(F.col("__title").contains(F.concat(F.lit(" "), F.col("kw"), F.lit(" "))))
+    of = named.groupBy("row_id").agg(F.min(F.struct("event_seq", "host")).alias("e"))
+    return long.join(of, "row_id").select("row_id", "e.event_seq", "e.host", "year", "calendar_type", "source", "first", "end", "last", "start_ts")
 
 
 def marquee_merge(df: DataFrame, events: DataFrame, min_days: float = 3) -> DataFrame:
     """All listings of a large event in a year become one row.
 
     The dates are those of the host region's first listing, else the most common ones, the earliest
-    of a tie.  Local listings join if they overlap these dates.  Longest description, event's place.
+    of a tie.  Local listings join if they overlap these dates.  The row has the fullest description of
+    all its listings and, where ``events`` has them, the event's host, place, pin (lat, lng) and link (website);
+    a hand-set pin has the status "override" and no note on its precision.  Columns that ``df`` lacks are left out.
     """
-    named = _marquee_matches(df, events, min_days)
+    named = stored(_marquee_matches(df, events, min_days), "large-events")
+    group = ["event_seq", "year"]
     region = named.where("calendar_type = 'kingdom'")
-    modal = modal_dates(region, ["event_seq", "year"])
-    modal = modal.select(F.col("event_seq").alias("me"), F.col("year").alias("my"), "d1", "d2")
-    same = (F.col("event_seq") == F.col("me")) & (F.col("year") == F.col("my")) & (F.to_date("start_ts") == F.col("d1")) & F.to_date("end_ts").eqNullSafe(F.col("d2"))
-    region = region.join(modal, same, "left")
-    own, agreed = F.col("source").eqNullSafe(F.col("host")), F.col("me").isNotNull()
-    order = [F.when(own, 0).when(agreed, 1).otherwise(2), F.when(~own, F.col("start_ts")), F.col("row_id")]
-    chosen = preferred(region, [F.col("event_seq"), F.col("year")], order)
-    span = chosen.select(F.col("event_seq").alias("es"), F.col("year").alias("yr"), F.to_date("start_ts").alias("s"), F.to_date(F.coalesce("end_ts", "start_ts")).alias("e"))
-    local = named.where("calendar_type <> 'kingdom'").join(F.broadcast(span), (F.col("event_seq") == F.col("es")) & (F.to_date("start_ts") <= F.col("e")) & (F.to_date(F.coalesce("end_ts", "start_ts")) >= F.col("s")))
-    members = region.select("event_seq", "year", "row_id", "source").unionByName(local.select("event_seq", F.col("yr").alias("year"), "row_id", "source"))
-    counts = members.groupBy("event_seq", "year").agg(F.count_distinct("row_id").alias("merged"), F.count_distinct("source").alias("sources"))
-    event = chosen.join(counts, ["event_seq", "year"]).select(
-        *[F.coalesce(F.nullif("host", F.lit("")), "source").alias("source") if c == "source" else F.coalesce(F.nullif("place", F.lit("")), "clean_location").alias(c) if c == "clean_location" else F.lit("kingdom").alias(c) if c == "calendar_type" else F.lit(False).alias(c) if c == "is_virtual" else F.col(c) for c in df.columns],
-        "merged",
-        "sources",
-    )
+    modal = modal_dates(region.select(*group, F.col("first").alias("start_ts"), F.col("end").alias("end_ts")), group).select(*group, F.col("d1").alias("first"), F.col("d2").alias("end"), F.lit(True).alias("agreed"))
+    modal = modal.withColumnsRenamed({c: f"m_{c}" for c in (*group, "first", "end")})
+    same = (F.col("event_seq") == F.col("m_event_seq")) & (F.col("year") == F.col("m_year")) & (F.col("first") == F.col("m_first")) & F.col("end").eqNullSafe(F.col("m_end"))
+    own = F.col("source").eqNullSafe(F.col("host"))
+    order = F.struct(F.when(own, 0).when(F.col("agreed"), 1).otherwise(2), F.when(~own, F.col("start_ts")), F.col("row_id"))
+    chosen = region.join(modal, same, "left").groupBy(*group).agg(F.min_by(F.struct("row_id", "first", "last"), order).alias("c")).select(*group, F.col("c.row_id").alias("chosen"), "c.first", "c.last")
+    # all years of an event are compared by their dates: a listing may start the year before
+    span = chosen.withColumnsRenamed({"first": "s", "last": "e", "year": "yr"}).drop("chosen")
+    local = named.where("calendar_type <> 'kingdom'").join(span, "event_seq").where("first <= e and last >= s")
+    members = stored(region.select(*group, "row_id", "source").unionByName(local.select("event_seq", F.col("yr").alias("year"), "row_id", "source")), "large-event-members")
+    text = F.col("description") if "description" in df.columns else F.lit(None).cast("string")
+    told = members.join(df.select("row_id", F.coalesce(text, F.lit("")).alias("__text")), "row_id")
+    counts = told.groupBy(*group).agg(F.count_distinct("row_id").alias("merged"), F.count_distinct("source").alias("sources"), F.max_by("__text", F.struct(F.length("__text"), -F.col("row_id"))).alias("__fullest"))
+
+    given = [c for c in ("place", "lat", "lng", "website") if c in events.columns]
+    about = events.select("event_seq", "host", *[F.col(c).alias(f"__{c}") for c in given])
+    some = lambda c: F.nullif(F.col(c), F.lit(""))
+    placed = F.col("__lat").isNotNull() & F.col("__lng").isNotNull() if "lat" in given else F.lit(False)
+    new = {"source": F.coalesce(some("host"), "source"), "calendar_type": F.lit("kingdom"), "is_virtual": F.lit(False), "description": F.col("__fullest"), "address_confidence": F.lit("high"), "dates_approximate": F.lit("")}
+    if "place" in given:
+        new |= {c: F.coalesce(some("__place"), "clean_location") for c in ("location", "clean_location")}
+    if "lat" in given:
+        new |= {c: F.when(placed, F.col(f"__{c}")).otherwise(F.col(c)) for c in ("lat", "lng") if c in df.columns}
+        new |= {c: F.when(placed, v).otherwise(F.col(c)) for c, v in (("geocode_status", "override"), ("location_specificity", "")) if c in df.columns}
+    if "website" in given:
+        linked = F.coalesce(some("__website"), F.lit("")) != ""
+        new |= {c: F.when(linked, v).otherwise(F.col(c)) for c, v in (("event_url", F.col("__website")), ("facebook_url", F.lit(""))) if c in df.columns}
+    one = counts.join(chosen, group).join(about, "event_seq").drop("first", "last", "year")
+    event = df.join(one, F.col("row_id") == F.col("chosen")).select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns], "merged", "sources")
     rest = df.join(members.select("row_id").distinct(), "row_id", "left_anti").select(*df.columns, F.lit(1).cast("long").alias("merged"), F.lit(1).cast("long").alias("sources"))
     return event.unionByName(rest)
 
@@ -184,7 +215,7 @@ def placeholders(events: DataFrame, listed: DataFrame, as_of: date | str) -> Dat
     """
     today = F.lit(as_of).cast("date")
     years = events.where("from_month is not null").select("*", F.explode(F.array(F.year(today), F.year(today) + 1)).alias("year"))
-    open_ = years.join(F.broadcast(listed.select("event_seq", "year").distinct()), ["event_seq", "year"], "left_anti")
+    open_ = years.join(listed.select("event_seq", "year").distinct(), ["event_seq", "year"], "left_anti")
     out = open_.select("event_seq", "name", F.make_date("year", "from_month", "from_day").alias("start_date"), F.make_date("year", "to_month", "to_day").alias("end_date"))
     return out.where(F.col("end_date") >= today)
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairweave.functions.location import address_from_description, clean_location, map_link_coords, miles_between, published_coords
+from fairweave.functions.location import address_from_description, clean_location, map_link_coords, miles_between, postal_code, published_coords
 from fairweave.functions.text import group_key, last_parenthetical, normalize_title, short_group_key
 
 
 def lookup_seat(df: DataFrame, name: str, seats: DataFrame, default: str | None = None) -> DataFrame:
     """``seat`` by a name but for case and punctuation, else the default."""
     s = seats.groupBy(group_key("name").alias("__k")).agg(F.min("seat").alias("__seat"))
-    out = df.withColumn("__k", group_key(name)).join(F.broadcast(s), "__k", "left")
+    out = df.withColumn("__k", group_key(name)).join(s, "__k", "left")
     return out.withColumn("seat", F.coalesce("__seat", F.lit(default))).drop("__k", "__seat")
 
 
@@ -55,36 +55,68 @@ def resolve_location(df: DataFrame, groups: DataFrame, places: DataFrame) -> Dat
     return out.withColumn("__b", best).select(*df.columns, F.col("__b.address").alias("address"), F.col("__b.confidence").alias("confidence"), F.col("__b.step").alias("step"))
 
 
+def simplified_places(address: Column) -> Column:
+    """Core place names in a vague description: what is "known as", "centred around", a "greater … area", or first in a list."""
+    text = F.trim(address)
+    known = F.regexp_extract(text, r"(?i)\bthe \w+ (?:mundanely |currently )?known as (?:the greater )?(.+)$", 1)
+    base = F.when(known != "", F.trim(known)).otherwise(text)
+    around = F.regexp_extract(base, r"(?i)^(?:centered (?:around|on|in|near)|based (?:in|near|around)|located (?:in|near)) (.+?)(?:;|,? including\b.*|,? and surrounding.*|$)", 1)
+    area = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract(base, r"(?i)^(.*?)(?: and .*)?$", 1), r"(?i)\b(?:greater|metro(?:politan)?)\b\s*", ""), r"(?i)\s*\barea\b.*$", ""))
+    item = F.trim(F.get(F.split(F.regexp_replace(F.get(F.split(base, ","), F.lit(0)), r"(?i)^the (?:area of|greater) ", ""), "/"), F.lit(0)))
+    found = F.array(F.when(known != "", base), F.nullif(around, F.lit("")), F.when(F.lower(area) != F.lower(base), area), item, F.regexp_replace(item, r"(?i)\s+count(?:y|ies)$", ""))
+    clean = F.array_distinct(F.transform(found, lambda c: F.regexp_replace(c, r"[,.;]+$", "")))
+    return F.filter(clean, lambda c: c.rlike("^[A-Z]") & (F.length(c) >= 4) & (F.lower(c) != F.lower(text)))
+
+
 def query_ladder(address: Column, state: Column | None = None) -> Column:
-    """Ordered array of struct(step, query): whole, postal code, without the venue, last three and two parts, with a state."""
+    """Ordered array of struct(step, query).
+
+    Whole; a Canadian postal code, its area, and the address's tail without it; without the venue; the last three
+    and two parts; with a ``state``; the ZIP code; simplified place names.
+    """
     parts = F.filter(F.transform(F.split(address, ","), lambda p: F.trim(p)), lambda p: p != "")
-    n = F.size(parts)
-    tail = lambda k: F.array_join(F.slice(parts, F.greatest(n - (k - 1), F.lit(1)), F.lit(k)), ", ")
+    n, whole = F.size(parts), F.array_join(parts, ", ")
+    tail = lambda xs, k: F.array_join(F.slice(xs, F.greatest(F.size(xs) - (k - 1), F.lit(1)), F.lit(k)), ", ")
+    postal = postal_code(address)
+    bare = F.filter(parts, lambda p: postal_code(p).isNull())
     zip_ = F.regexp_extract(address, r"\b\d{5}(?:-\d{4})?\b", 0)
-    rungs = [
-        F.struct(F.lit("full").alias("step"), F.array_join(parts, ", ").alias("query")),
-        F.struct(F.lit("no_venue").alias("step"), F.when(n > 2, F.array_join(F.slice(parts, 2, 1_000), ", ")).alias("query")),
-        F.struct(F.lit("last3").alias("step"), F.when(n > 3, tail(3)).alias("query")),
-        F.struct(F.lit("last2").alias("step"), F.when(n > 2, tail(2)).alias("query")),
-        F.struct(F.lit("zip").alias("step"), F.nullif(zip_, F.lit("")).alias("query")),
+    steps = [
+        ("full", whole),
+        ("postal", F.concat(postal, F.lit(", Canada"))),
+        ("postal_area", F.concat(F.substring(postal, 1, 3), F.lit(", Canada"))),
+        ("city_tail", F.when(postal.isNotNull() & (F.size(bare) >= 3), tail(bare, 3))),
+        ("no_venue", F.when(n > 2, F.array_join(F.slice(parts, 2, 1_000), ", "))),
+        ("last3", F.when(n > 3, tail(parts, 3))),
+        ("last2", F.when(n > 2, tail(parts, 2))),
+        ("with_state", F.when(~address.contains(state), F.concat_ws(", ", whole, state)) if state is not None else F.lit(None).cast("string")),
+        ("zip", F.nullif(zip_, F.lit(""))),
     ]
-    if state is not None:
-        rungs.insert(1, F.struct(F.lit("with_state").alias("step"), F.when(~address.contains(state), F.concat_ws(", ", F.array_join(parts, ", "), state)).alias("query")))
-    return F.filter(F.array(*rungs), lambda r: r["query"].isNotNull() & (r["query"] != ""))
+    rungs = F.array(*[F.struct(F.lit(k).alias("step"), q.alias("query")) for k, q in steps])
+    vague = F.transform(simplified_places(address), lambda c: F.struct(F.lit("simplified").alias("step"), c.alias("query")))
+    return F.filter(F.concat(rungs, vague), lambda r: r["query"].isNotNull() & (r["query"] != ""))
 
 
-def geocode_from_cache(df: DataFrame, cache: DataFrame, valid: Column, as_of_days: Column | None = None) -> DataFrame:
+def geocode_from_cache(df: DataFrame, cache: DataFrame, valid: Column, as_of: str | None = None, retry_days: int = 30) -> DataFrame:
     """The pin of the first rung of the ladder with a cached, valid lookup.
 
     ``valid`` is a condition over the lookup's ``hit_lat``, ``hit_lng`` and the row's columns; rows for which
-    it is null are deferred to the last place.  A miss is a cache row without coordinates.
+    it is null are deferred to the last place.  A miss is a cache row without coordinates.  ``geo_status`` is ok,
+    ok_retry or, without a pin, failed; given ``as_of``, rows with a rung that was never looked up, or missed
+    (``looked_up``) more than ``retry_days`` before it, are open instead.
     """
     rung = df.select("row_id", F.posexplode(query_ladder(F.col("clean_location"))).alias("rung", "r"))
-    known = cache.where("lat is not null").select(F.lower("query").alias("q"), F.col("lat").alias("hit_lat"), F.col("lng").alias("hit_lng"))
-    hit = rung.join(known, F.lower("r.query") == F.col("q")).join(df.withColumnsRenamed({"lat": "own_lat", "lng": "own_lng"}), "row_id")
+    old = F.datediff(F.lit(as_of).cast("date"), F.to_date("looked_up")) > retry_days if as_of else F.lit(False)
+    known = cache.select(F.lower("query").alias("q"), F.col("lat").alias("hit_lat"), F.col("lng").alias("hit_lng"), F.coalesce(F.col("lat").isNull() & old, F.lit(True)).alias("expired"))
+    asked = rung.join(known, F.lower("r.query") == F.col("q"), "left")
+    hit = asked.where("hit_lat is not null").join(df.withColumnsRenamed({"lat": "own_lat", "lng": "own_lng"}), "row_id")
     hit = hit.withColumn("ok", valid).where("ok is null or ok")
     best = hit.groupBy("row_id").agg(F.min(F.struct(F.col("ok").isNull().alias("late"), "rung", F.col("r.step").alias("step"), "hit_lat", "hit_lng")).alias("b"))
-    return df.join(best, "row_id", "left").select(*df.columns, F.col("b.hit_lat").alias("geo_lat"), F.col("b.hit_lng").alias("geo_lng"), F.when(F.col("b").isNull(), "failed").when(F.col("b.rung") == 0, "ok").otherwise("ok_retry").alias("geo_status"))
+    out = df.join(best, "row_id", "left")
+    none = F.lit("failed")
+    if as_of:
+        open_ = asked.where("q is null or expired").select("row_id").distinct().withColumn("__open", F.lit(True))
+        out, none = out.join(open_, "row_id", "left"), F.when(F.col("__open"), "").otherwise("failed")
+    return out.select(*df.columns, F.col("b.hit_lat").alias("geo_lat"), F.col("b.hit_lng").alias("geo_lng"), F.when(F.col("b").isNull(), none).when(F.col("b.rung") == 0, "ok").otherwise("ok_retry").alias("geo_status"))
 
 
 def geocode_worklist(df: DataFrame, cache: DataFrame, limit: int, retry_failed: bool = False) -> DataFrame:
@@ -102,15 +134,33 @@ def second_address(df: DataFrame) -> DataFrame:
     return df.withColumn("second_address", F.when((F.col("geocode_status") == "failed") & other, told["address"]))
 
 
-def pin_at_host_group(df: DataFrame, groups: DataFrame) -> DataFrame:
-    """Failed rows in person take a group's pin: their own, else one of their region that the title names, longest name first."""
-    g = groups.select(F.col("group_name").alias("gn"), F.col("kingdom").alias("gk"), F.col("lat").alias("g_lat"), F.col("lng").alias("g_lng"), group_key("group_name").alias("gf"))
+def _word_runs(text: Column, most: int) -> Column:
+    """All runs of one to ``most`` words of a text in the form of ``group_key``."""
+    words = F.filter(F.split(text, " "), lambda w: w != "")
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)))
+    runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.lit(most)), lambda n: F.array_join(F.slice(words, i, n), " "))))
+    return F.array_distinct(runs)
+
+
+def pin_at_host_group(df: DataFrame, groups: DataFrame, most_words: int = 8) -> DataFrame:
+    """Failed rows in person take a group's pin: their own, else one of their region that they name.
+
+    Names in the title's parentheses come first, then those in the title, then full names in the description;
+    the longest name wins.  Short names (four letters or more) count in titles only.  Names are looked up as
+    runs of at most ``most_words`` words, so the join has keys.
+    """
+    pin = F.struct(F.col("group_name").alias("gn"), F.col("lat").alias("g_lat"), F.col("lng").alias("g_lng"))
+    g = groups.select("kingdom", group_key("group_name").alias("full"), short_group_key("group_name").alias("short"), pin.alias("pin"))
+    names = g.select("kingdom", F.col("full").alias("k"), "full", "pin", F.lit(False).alias("is_short")).unionByName(g.where("length(short) >= 4 and short <> full").select("kingdom", F.col("short").alias("k"), "full", "pin", F.lit(True).alias("is_short")))
     need = df.where((F.col("geocode_status") == "failed") & ~F.coalesce("is_virtual", F.lit(False)))
-    own = need.join(F.broadcast(g), group_key("source") == F.col("gf")).select("row_id", F.lit(0).alias("p"), F.lit(0).alias("neg"), "gn", "g_lat", "g_lng")
-    texts = need.select("row_id", "kingdom", F.posexplode(F.array(group_key(last_parenthetical("title")), group_key("title"))).alias("p", "t"))
-    named = texts.join(F.broadcast(g), (F.col("kingdom") == F.col("gk")) & F.col("t").contains(F.col("gf"))).select("row_id", (F.col("p") + 1).alias("p"), (-F.length("gf")).alias("neg"), "gn", "g_lat", "g_lng")
-    best = own.unionByName(named).groupBy("row_id").agg(F.min(F.struct("p", "neg", "gn", "g_lat", "g_lng")).alias("b"))
-    return df.join(best, "row_id", "left").select(*df.columns, F.col("b.g_lat").alias("group_lat"), F.col("b.g_lng").alias("group_lng"), F.when(F.col("b").isNotNull(), "ok_group").otherwise(F.col("geocode_status")).alias("group_status"))
+    best = lambda p, neg: F.struct(p.alias("p"), neg.alias("neg"), F.col("pin"))
+    own = need.withColumn("full", group_key("source")).join(g.select("full", "pin"), "full").select("row_id", best(F.lit(0), F.lit(0)).alias("b"))
+    told = F.col("description") if "description" in df.columns else F.lit("")
+    texts = F.array(group_key(last_parenthetical("title")), group_key("title"), group_key(F.coalesce(told, F.lit(""))))
+    runs = need.select("row_id", "kingdom", F.posexplode(texts).alias("p", "t")).select("row_id", "kingdom", "p", F.explode(_word_runs(F.col("t"), most_words)).alias("k"))
+    named = runs.join(names, ["kingdom", "k"]).where("p < 2 or not is_short").select("row_id", best(F.col("p") + 1, -F.length("full")).alias("b"))
+    first = own.unionByName(named).groupBy("row_id").agg(F.min("b").alias("b"))
+    return df.join(first, "row_id", "left").select(*df.columns, F.col("b.pin.g_lat").alias("group_lat"), F.col("b.pin.g_lng").alias("group_lng"), F.when(F.col("b").isNotNull(), "ok_group").otherwise(F.col("geocode_status")).alias("group_status"))
 
 
 def pin_local_fallback(df: DataFrame, groups: DataFrame) -> DataFrame:

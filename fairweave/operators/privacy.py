@@ -22,7 +22,7 @@ def load_private(df: DataFrame) -> DataFrame:
     lat, lng = F.col("lat").try_cast("double"), F.col("lng").try_cast("double")
     good = lat.between(-90, 90) & lng.between(-180, 180)
     out = df.where(F.col("fingerprint").rlike("^[0-9a-f]{64}$")).withColumns({"words": F.col("words").try_cast("int"), "lat": F.when(good, lat), "lng": F.when(good, lng)}).where("words > 0")
-    own = find_private(out.select(F.monotonically_increasing_id().alias("row_id"), F.col("replace_with").alias("text"), "fingerprint"), out.select("fingerprint", "words"), ["text"])
+    own = find_private(out.select(F.xxhash64("fingerprint", "replace_with").alias("row_id"), F.col("replace_with").alias("text"), "fingerprint"), out.select("fingerprint", "words"), ["text"])
     return out.join(own.select("fingerprint").distinct(), "fingerprint", "left_anti")
 
 
@@ -30,28 +30,29 @@ def find_private(df: DataFrame, rules: DataFrame, columns: list[str]) -> DataFra
     """(row_id, column, fingerprint, start, stop) of phrases with a rule's fingerprint.
 
     Only white space, commas and dots may stand between the words.  ``start`` counts from 1.
-    Windows are built for the lengths that rules have; the fingerprints are broadcast, as hand-kept.
+    Windows are built for the lengths that rules have; the fingerprints are broadcast, as hand-kept.  ``row_id`` is unique.
     """
-    sizes = [r.words for r in rules.select("words").distinct().collect()]
+    known = rules.select("words", "fingerprint").distinct()
+    sizes = [r.words for r in known.select("words").distinct().collect()]
     texts = df.select("row_id", F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit("")).alias("text")) for c in columns])).alias("x")).select("row_id", "x.*")
+    # a row for each word and rule length carries the phrase alone; only what matches meets its text again
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))
+    phrase = lambda i, n: F.array_join(F.slice("w", i, n), "|")
+    window = lambda n: F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.struct(i.alias("i"), F.lit(n).alias("words"), phrase(i, n).alias("phrase")))
+    none = F.array().cast("array<struct<i:int,words:int,phrase:string>>")
+    every = F.concat(none, *[F.when(F.size("w") >= n, window(n)).otherwise(none) for n in sizes])
+    gram = texts.select("row_id", "column", words.alias("w")).select("row_id", "column", F.explode(every).alias("p"))
+    gram = gram.select("row_id", "column", "p.i", "p.words", F.sha2("p.phrase", 256).alias("fingerprint"))
+    hit = gram.join(F.broadcast(known), ["words", "fingerprint"]).groupBy("row_id", "column").agg(F.collect_set(F.struct("i", "words", "fingerprint")).alias("hits"))
     low = F.lower("text")
-    words, gaps = F.regexp_extract_all(low, F.lit("[a-z0-9]+"), F.lit(0)), F.split(low, "[a-z0-9]+", -1)
-    texts = texts.select("row_id", "column", words.alias("w"), gaps.alias("g"))
+    found = texts.join(hit, ["row_id", "column"]).select("row_id", "column", words.alias("w"), F.split(low, "[a-z0-9]+", -1).alias("g"), F.explode("hits").alias("h"))
     length = lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(x))
-    known = F.broadcast(rules.select("fingerprint", "words").distinct())
-    out = None
-    for n in sizes:
-        prints = F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.sha2(F.array_join(F.slice("w", i, n), "|"), 256))
-        gram = texts.where(F.size("w") >= n).select("row_id", "column", "w", "g", F.posexplode(prints).alias("i", "fingerprint"))
-        # only what matches is measured
-        hit = gram.join(known.where(F.col("words") == n), "fingerprint")
-        inner, first = F.slice("g", F.col("i") + 2, F.lit(n - 1)), F.col("i") + 1
-        hit = hit.where(F.forall(inner, lambda g: g.rlike(r"^[\s,.]+$")))
-        before = length(F.slice("g", F.lit(1), first)) + length(F.slice("w", F.lit(1), F.col("i")))
-        own = length(F.slice("w", first, F.lit(n))) + length(inner)
-        hit = hit.select("row_id", "column", "fingerprint", (before + 1).alias("start"), (before + own).alias("stop"))
-        out = hit if out is None else out.unionByName(hit)
-    return out if out is not None else texts.select("row_id", "column", F.lit("").alias("fingerprint"), F.lit(0).alias("start"), F.lit(0).alias("stop")).limit(0)
+    i, n = F.col("h.i"), F.col("h.words")
+    inner = F.slice("g", i + 1, n - 1)
+    found = found.where(F.forall(inner, lambda g: g.rlike(r"^[\s,.]+$")))
+    before = length(F.slice("g", F.lit(1), i)) + length(F.slice("w", F.lit(1), i - 1))
+    own = length(F.slice("w", i, n)) + length(inner)
+    return found.select("row_id", "column", F.col("h.fingerprint").alias("fingerprint"), (before + 1).alias("start"), (before + own).alias("stop"))
 
 
 def scrub_private(df: DataFrame, rules: DataFrame, columns: list[str]) -> DataFrame:

@@ -22,12 +22,12 @@ def carry_pins(df: DataFrame, prior: DataFrame) -> DataFrame:
 
 
 def carry_forward(df: DataFrame, prior: DataFrame, failed: DataFrame, as_of: date | str) -> DataFrame:
-    """Rows still to come of feeds that failed are taken over from the prior run.
+    """Rows that start on ``as_of`` or later, of feeds that failed, are taken over from the prior run.
 
-    Rows that the new run has (by source, title and start) are not taken twice.
+    Rows that the new run has (by source, title and start) are not taken twice; undated ones are left.
     """
     kept = prior.join(F.broadcast(failed.select("source").distinct()), "source", "left_semi")
-    kept = kept.where(F.to_date(F.coalesce("end_ts", "start_ts")) >= F.lit(as_of).cast("date"))
+    kept = kept.where(F.to_date("start_ts") >= F.lit(as_of).cast("date"))
     kept = kept.join(df.select("source", "title", "start_ts"), ["source", "title", "start_ts"], "left_anti")
     return df.withColumn("carried", F.lit(False)).unionByName(kept.select(df.columns).withColumn("carried", F.lit(True)))
 
@@ -41,7 +41,7 @@ def url_backfill(df: DataFrame, links: DataFrame) -> DataFrame:
 
 def replace_partitions(df: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of refreshed keys replaced by the new ones."""
-    return df.join(F.broadcast(new.select(*keys).distinct()), keys, "left_anti").unionByName(new)
+    return df.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
 def adopt_prior_pins(pins: DataFrame, prior: DataFrame, keys: list[str]) -> DataFrame:
@@ -57,8 +57,17 @@ def upsert_cache(cache: DataFrame, new: DataFrame, least: int = 20) -> DataFrame
     return both.groupBy("url").agg(F.max_by("text", F.struct(F.coalesce("ts", F.lit(0)), "text")).alias("text"), F.max(F.coalesce("ts", F.lit(0))).alias("ts"))
 
 
-def enrich_descriptions(df: DataFrame, pages: DataFrame, needs, least: int = 20) -> DataFrame:
-    """Rows for which ``needs`` holds take their page's text, if there is a real one."""
-    text = pages.groupBy(F.col("url").alias("event_url")).agg(F.max_by("text", F.struct(F.coalesce("ts", F.lit(0)), "text")).alias("__page"))
+def enrich_descriptions(df: DataFrame, pages: DataFrame, needs, least: int = 20, fetched: DataFrame | None = None) -> DataFrame:
+    """Rows for which ``needs`` holds take their page's text, if there is a real one.
+
+    ``pages`` (url, text, ts) holds what earlier runs stored, ``fetched`` (url, text; null for a page that
+    failed) what this run read.  A real text of this run comes first; a stored one, however old, stays where
+    the page failed or came back trivial.
+    """
+    real = lambda c: F.when(F.length(F.trim(c)) >= least, F.trim(c))
+    text = pages.where(real("text").isNotNull()).groupBy(F.col("url").alias("event_url")).agg(F.max_by(real("text"), F.struct(F.coalesce("ts", F.lit(0)), "text")).alias("__page"))
     out = df.join(text, "event_url", "left")
-    return out.withColumn("description", F.when(needs & (F.length("__page") >= least), F.col("__page")).otherwise(F.col("description"))).select(df.columns)
+    new = F.lit(None).cast("string")
+    if fetched is not None:
+        out, new = out.join(fetched.groupBy(F.col("url").alias("event_url")).agg(F.max(real("text")).alias("__new")), "event_url", "left"), F.col("__new")
+    return out.withColumn("description", F.when(needs, F.coalesce(new, "__page", "description")).otherwise(F.col("description"))).select(df.columns)

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fairweave.operators.store import spread
+
 LISTINGS = """
 SELECT o.o_orderkey AS row_id,
   CASE CAST(o.o_orderkey % 12 AS INT)
@@ -58,6 +60,11 @@ def plain(sql: str) -> str:
     return sql.format(**{t: t for t in TABLES})
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, spread over all cores if its file has too few parts for that."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, LISTINGS)
 

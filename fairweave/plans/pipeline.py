@@ -11,6 +11,7 @@ from fairweave.operators.dedup import dedupe_listings, drop_local_copies, marque
 from fairweave.operators.geo import host_region, marquee_host
 from fairweave.operators.privacy import scrub_private
 from fairweave.operators.state import carry_forward
+from fairweave.operators.store import stored
 
 
 def real_listings(df: DataFrame, as_of: date | str) -> DataFrame:
@@ -22,6 +23,6 @@ def real_listings(df: DataFrame, as_of: date | str) -> DataFrame:
 def refresh(df: DataFrame, prior: DataFrame, failed: DataFrame, events: DataFrame, edges: DataFrame, private: DataFrame, as_of: date | str) -> DataFrame:
     """Clean, de-duplicate, carry over, merge large events, tag territories and scrub."""
     kept = drop_local_copies(dedupe_listings(real_listings(df, as_of)))
-    carried = carry_forward(kept, prior, failed, as_of).drop("carried")
+    carried = stored(carry_forward(kept, prior, failed, as_of).drop("carried"), "carried")
     merged = marquee_merge(carried, events).drop("merged", "sources")
     return scrub_private(marquee_host(host_region(merged, edges)), private, ["title", "clean_location"])

@@ -63,12 +63,19 @@ def dedup_audit(spark, sf):
     return df.join(D.dedupe_listings(df).select("row_id"), "row_id", "left_anti").select("row_id", "source", "calendar_type")
 
 
-_VIRTUAL = " OR ".join(f"contains(lower({c}), '{w}')" for c in ("title", "clean_location") for w in P.VIRTUAL_WORDS)
-
-
-@query("virtual_flags", f"SELECT row_id, ({_VIRTUAL}) AS online FROM listings")
+@query(
+    "virtual_flags",
+    """, t AS (SELECT row_id, CASE CAST(row_id % 7 AS INT) WHEN 0 THEN title || ' with livestream' WHEN 1 THEN title || ' (Google Meet)' WHEN 2 THEN title || ' on Microsoft Teams' ELSE title END AS title,
+  CASE CAST(row_id % 5 AS INT) WHEN 0 THEN 'Discord server' WHEN 1 THEN 'Via GoogleMeet' WHEN 2 THEN '' WHEN 3 THEN 'Webex Hall, 5 Main St' ELSE clean_location END AS place,
+  CASE CAST(row_id % 3 AS INT) WHEN 0 THEN 'Register online' ELSE 'Posted to our Discord' END AS told FROM listings)
+SELECT row_id, regexp_matches(lower(title), 'virtual|online|zoom|google ?meet|meet\\.google\\.com|microsoft teams|teams\\.microsoft\\.com') OR place IN ('Discord server', 'Via GoogleMeet') OR (place = '' AND told = 'Register online') AS online FROM t""",
+)
 def virtual_flags(spark, sf):
-    return fx.listings(spark, sf).select("row_id", P.is_virtual("title", "clean_location", F.lit("")).alias("online"))
+    df = fx.listings(spark, sf)
+    title = F.expr("case cast(row_id % 7 as int) when 0 then concat(title, ' with livestream') when 1 then concat(title, ' (Google Meet)') when 2 then concat(title, ' on Microsoft Teams') else title end")
+    place = F.expr("case cast(row_id % 5 as int) when 0 then 'Discord server' when 1 then 'Via GoogleMeet' when 2 then '' when 3 then 'Webex Hall, 5 Main St' else clean_location end")
+    told = F.expr("case cast(row_id % 3 as int) when 0 then 'Register online' else 'Posted to our Discord' end")
+    return df.select("row_id", P.is_virtual(title, place, told).alias("online"))
 
 
 _SERIES = """, d AS (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS d FROM events),
@@ -92,12 +99,15 @@ def series_detect(spark, sf):
 
 @query(
     "series_merge",
-    f"{_SERIES} SELECT e.user_id, e.event_type, CAST(e.d AS VARCHAR) AS first_day, CASE WHEN r.recurring THEN least(8, r.n) ELSE 0 END AS shown FROM d e JOIN r USING (user_id, event_type) WHERE NOT coalesce(r.recurring, FALSE) OR e.d = (SELECT min(x.d) FROM d x WHERE x.user_id = e.user_id AND x.event_type = e.event_type)",
+    f"""{_SERIES}, x AS (SELECT user_id, event_type, list_sort(list(d)) AS ds FROM d GROUP BY user_id, event_type)
+SELECT e.user_id, e.event_type, CAST(e.d AS VARCHAR) AS first_day, CASE WHEN r.recurring THEN least(8, r.n) ELSE 0 END AS shown,
+ CASE WHEN r.recurring THEN 'Come. [RECURRING — also on: ' || array_to_string(list_transform(ds[1:8], lambda v: strftime(v, '%-d %b %Y')), ', ') || CASE WHEN len(ds) > 8 THEN ', … ' || CAST(len(ds) - 8 AS VARCHAR) || ' more through ' || strftime(ds[-1], '%-d %b %Y') ELSE '' END || ']' ELSE 'Come. ' END AS description
+FROM d e JOIN r USING (user_id, event_type) JOIN x USING (user_id, event_type) WHERE NOT coalesce(r.recurring, FALSE) OR e.d = (SELECT min(x.d) FROM d x WHERE x.user_id = e.user_id AND x.event_type = e.event_type)""",
 )
 def series_merge(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet").select("user_id", "event_type", F.to_date("ts").alias("d")).distinct()
-    rows = e.select(F.xxhash64("user_id", "event_type", "d").alias("row_id"), F.concat_ws(" ", F.col("event_type").cast("string"), F.col("user_id").cast("string")).alias("title"), F.col("d").cast("timestamp_ntz").alias("start_ts"), F.col("user_id").cast("string").alias("source"), F.lit("here").alias("clean_location"), "user_id", "event_type")
-    return D.merge_series(rows).select("user_id", "event_type", _day("start_ts").alias("first_day"), F.coalesce(F.size("series_dates"), F.lit(0)).cast("long").alias("shown"))
+    rows = e.select(F.xxhash64("user_id", "event_type", "d").alias("row_id"), F.concat_ws(" ", F.col("event_type").cast("string"), F.col("user_id").cast("string")).alias("title"), F.col("d").cast("timestamp_ntz").alias("start_ts"), F.col("user_id").cast("string").alias("source"), F.lit("here").alias("clean_location"), F.lit("Come. ").alias("description"), "user_id", "event_type")
+    return D.merge_series(rows).select("user_id", "event_type", _day("start_ts").alias("first_day"), F.coalesce(F.size("series_dates"), F.lit(0)).cast("long").alias("shown"), "description")
 
 
 _TOK = "list_distinct(list_transform(list_filter(string_split(" + _NORM + ", ' '), lambda w: w <> '' AND NOT list_contains(['" + "','".join(T.STOP_WORDS) + "'], w)), lambda w: CASE WHEN length(w) > 3 AND suffix(w, 's') THEN left(w, length(w) - 1) ELSE w END))"
@@ -122,41 +132,45 @@ def aggregator_copies(spark, sf):
     return D.drop_aggregator_copies(fx.listings(spark, sf).withColumn("is_aggregator", F.expr("row_id % 10 = 0"))).select("row_id")
 
 
-_WARS = [(1, "Gulf Wars", ["gulf wars"], "Kingdom of ASIA", "Gulf site", None, None, None, None), (2, "Lilies War", ["lilies war"], "Kingdom of EUROPE", "Lilies site", 6, 1, 6, 30)]
+_WARS = [(1, "Gulf Wars", ["gulf wars"], "Kingdom of ASIA", "Gulf site", 31.5, -89.25, "https://gulf.example.org", None, None, None, None), (2, "Lilies War", ["lilies war"], "Kingdom of EUROPE", "Lilies site", 39.0, -94.5, "", 6, 1, 6, 30)]
 
 
 def _events(spark):
-    return spark.createDataFrame(_WARS, "event_seq int, name string, keywords array<string>, host string, place string, from_month int, from_day int, to_month int, to_day int")
+    return spark.createDataFrame(_WARS, "event_seq int, name string, keywords array<string>, host string, place string, lat double, lng double, website string, from_month int, from_day int, to_month int, to_day int")
 
 
 @query(
     "marquee_merge",
-    f""", w AS (SELECT * FROM (VALUES (1, 'gulf wars', 'Kingdom of ASIA', 'Gulf site'), (2, 'lilies war', 'Kingdom of EUROPE', 'Lilies site')) AS t(seq, kw, host, place)),
-m AS (SELECT l.*, w.seq, w.host, w.place, year(start_ts) AS y, CAST(start_ts AS DATE) AS s, CAST(end_ts AS DATE) AS e FROM listings l JOIN w ON contains(' ' || {_NORM} || ' ', ' ' || w.kw || ' ') WHERE date_diff('second', start_ts, end_ts) / 86400.0 >= 3),
+    f""", w AS (SELECT * FROM (VALUES (1, 'gulf wars', 'Kingdom of ASIA', 'Gulf site', 31.5, -89.25, 'https://gulf.example.org'), (2, 'lilies war', 'Kingdom of EUROPE', 'Lilies site', 39.0, -94.5, '')) AS t(seq, kw, host, place, wla, wln, site)),
+told AS (SELECT row_id, repeat('word ', CAST(row_id % 13 AS INT)) || CAST(row_id AS VARCHAR) AS description, 'https://own.example.org/' || CAST(row_id AS VARCHAR) AS event_url FROM listings),
+m AS (SELECT l.*, w.seq, w.host, w.place, w.wla, w.wln, w.site, year(start_ts) AS y, CAST(start_ts AS DATE) AS s, CAST(end_ts AS DATE) AS e FROM listings l JOIN w ON contains(' ' || {_NORM} || ' ', ' ' || w.kw || ' ') WHERE date_diff('second', start_ts, end_ts) / 86400.0 >= 3),
 k AS (SELECT * FROM m WHERE calendar_type = 'kingdom'),
 n AS (SELECT seq, y, s, e, rank() OVER (PARTITION BY seq, y ORDER BY count(*) DESC) AS r FROM k GROUP BY seq, y, s, e),
 c AS (SELECT k.*, row_number() OVER (PARTITION BY k.seq, k.y ORDER BY CASE WHEN k.source = k.host THEN 0 WHEN n.seq IS NOT NULL THEN 1 ELSE 2 END, CASE WHEN k.source <> k.host THEN k.start_ts END, k.row_id) AS rn
   FROM k LEFT JOIN n ON n.r = 1 AND n.seq = k.seq AND n.y = k.y AND n.s = k.s AND n.e = k.e),
 ch AS (SELECT * FROM c WHERE rn = 1),
 mem AS (SELECT seq, y, row_id, source FROM k UNION ALL SELECT ch.seq, ch.y, m.row_id, m.source FROM m JOIN ch ON m.seq = ch.seq AND m.s <= ch.e AND m.e >= ch.s WHERE m.calendar_type <> 'kingdom'),
-cnt AS (SELECT seq, y, count(DISTINCT row_id) AS merged, count(DISTINCT source) AS sources FROM mem GROUP BY seq, y)
-SELECT ch.row_id, ch.host AS source, ch.place AS clean_location, cnt.merged, cnt.sources FROM ch JOIN cnt ON ch.seq = cnt.seq AND ch.y = cnt.y
-UNION ALL SELECT row_id, source, clean_location, 1, 1 FROM listings WHERE row_id NOT IN (SELECT row_id FROM mem)""",
+cnt AS (SELECT seq, y, count(DISTINCT row_id) AS merged, count(DISTINCT source) AS sources, arg_max(description, (length(description), -row_id)) AS description FROM mem JOIN told USING (row_id) GROUP BY seq, y)
+SELECT ch.row_id, ch.host AS source, ch.place AS clean_location, cnt.merged, cnt.sources, CAST(ch.wla AS DOUBLE) AS lat, CAST(ch.wln AS DOUBLE) AS lng, CASE WHEN ch.site <> '' THEN ch.site ELSE told.event_url END AS event_url, cnt.description, 'override' AS geocode_status FROM ch JOIN cnt ON ch.seq = cnt.seq AND ch.y = cnt.y JOIN told ON told.row_id = ch.row_id
+UNION ALL SELECT l.row_id, l.source, l.clean_location, 1, 1, l.lat, l.lng, told.event_url, told.description, 'ok' FROM listings l JOIN told ON told.row_id = l.row_id WHERE l.row_id NOT IN (SELECT row_id FROM mem)""",
 )
 def marquee_merge(spark, sf):
-    return D.marquee_merge(fx.listings(spark, sf), _events(spark)).select("row_id", "source", "clean_location", "merged", "sources")
+    own = {"description": F.expr("concat(repeat('word ', cast(row_id % 13 as int)), cast(row_id as string))"), "event_url": F.expr("concat('https://own.example.org/', cast(row_id as string))"), "geocode_status": F.lit("ok")}
+    return D.marquee_merge(fx.listings(spark, sf).withColumns(own), _events(spark)).select("row_id", "source", "clean_location", "merged", "sources", "lat", "lng", "event_url", "description", "geocode_status")
 
 
 @query(
     "marquee_placeholders",
     """SELECT seq AS event_seq, name, CAST(make_date(y, 6, 1) AS VARCHAR) AS start_day, CAST(make_date(y, 6, 30) AS VARCHAR) AS end_day
-FROM (VALUES (2, 'Lilies War', 'lilies war')) AS w(seq, name, kw), (VALUES (1998), (1999)) AS t(y)
-WHERE NOT EXISTS (SELECT 1 FROM listings WHERE contains(lower(title), kw) AND CAST(o_year AS INT) = y) AND make_date(y, 6, 30) >= DATE '1998-07-01'""".replace("CAST(o_year AS INT)", "year(start_ts)").replace("FROM listings WHERE contains", "FROM listings WHERE row_id % 5 = 0 AND start_ts < TIMESTAMP '1998-03-01' AND contains"),
+FROM (VALUES (2, 'Lilies War', 'lilies war')) AS w(seq, name, kw), (SELECT max(year(start_ts)) AS y FROM listings UNION ALL SELECT max(year(start_ts)) + 1 FROM listings)
+WHERE NOT EXISTS (SELECT 1 FROM listings WHERE contains(lower(title), kw) AND year(start_ts) = y)""",
 )
 def marquee_placeholders(spark, sf):
-    df = fx.listings(spark, sf).where("row_id % 5 = 0 and start_ts < timestamp_ntz'1998-03-01'")
+    """As of the first day of the last year that has listings."""
+    df = fx.listings(spark, sf)
     named = df.join(F.broadcast(_events(spark).select("event_seq", F.explode("keywords").alias("kw"))), F.lower("title").contains(F.col("kw"))).select("event_seq", F.year("start_ts").alias("year"))
-    return D.placeholders(_events(spark), named, "1998-07-01").select("event_seq", "name", F.col("start_date").cast("string").alias("start_day"), F.col("end_date").cast("string").alias("end_day"))
+    last = df.agg(F.max(F.year("start_ts"))).first()[0]
+    return D.placeholders(_events(spark), named, f"{last}-01-01").select("event_seq", "name", F.col("start_date").cast("string").alias("start_day"), F.col("end_date").cast("string").alias("end_day"))
 
 
 _PRIOR = "SELECT *, CASE CAST(row_id % 4 AS INT) WHEN 0 THEN 'ok' WHEN 1 THEN 'failed' WHEN 2 THEN 'cached' ELSE '' END AS geocode_status FROM listings WHERE row_id % 5 <> 0"
@@ -177,7 +191,7 @@ def carry_pins(spark, sf):
 
 @query(
     "carry_forward",
-    f", p AS ({_PRIOR}), cur AS (SELECT * FROM listings WHERE row_id % 7 <> 0) SELECT row_id, FALSE AS carried FROM cur UNION ALL SELECT row_id, TRUE FROM p WHERE source = 'Kingdom of ASIA' AND CAST(end_ts AS DATE) >= DATE '1996-01-01' AND NOT EXISTS (SELECT 1 FROM cur WHERE cur.source = p.source AND cur.title = p.title AND cur.start_ts = p.start_ts)",
+    f", p AS ({_PRIOR}), cur AS (SELECT * FROM listings WHERE row_id % 7 <> 0) SELECT row_id, FALSE AS carried FROM cur UNION ALL SELECT row_id, TRUE FROM p WHERE source = 'Kingdom of ASIA' AND CAST(start_ts AS DATE) >= DATE '1996-01-01' AND NOT EXISTS (SELECT 1 FROM cur WHERE cur.source = p.source AND cur.title = p.title AND cur.start_ts = p.start_ts)",
 )
 def carry_forward(spark, sf):
     df = fx.listings(spark, sf)
@@ -311,18 +325,29 @@ def colours(spark, sf):
 
 @query(
     "host_group_pin",
-    """, g AS (SELECT *, lower(regexp_replace(group_name, '[^A-Za-z0-9 ]', '', 'g')) AS gf FROM groups_reg),
-l AS (SELECT row_id, kingdom, source, title || ' (' || CASE CAST(row_id % 3 AS INT) WHEN 0 THEN (SELECT min(group_name) FROM groups_reg x WHERE x.kingdom = listings.kingdom) ELSE 'Nowhere' END || ')' AS title FROM listings WHERE row_id % 4 = 1 AND NOT is_virtual),
-t AS (SELECT row_id, kingdom, 1 AS p, trim(lower(regexp_replace(regexp_extract(title, '.*\\(([^()]+)\\)[^()]*$', 1), '[^A-Za-z0-9 ]', '', 'g'))) AS t FROM l UNION ALL SELECT row_id, kingdom, 2, trim(lower(regexp_replace(title, '[^A-Za-z0-9 ]', '', 'g'))) FROM l),
-c AS (SELECT t.row_id, p, -length(gf) AS neg, group_name, lat, lng FROM t JOIN g ON t.kingdom = g.kingdom AND contains(t.t, gf) UNION ALL SELECT l.row_id, 0, 0, group_name, lat, lng FROM l JOIN g ON lower(regexp_replace(source, '[^A-Za-z0-9 ]', '', 'g')) = gf),
+    """, g AS (SELECT *, trim(lower(regexp_replace(group_name, '[^A-Za-z0-9 ]', '', 'g'))) AS gf FROM groups_reg),
+n AS (SELECT kingdom, gf AS k, gf, group_name, lat, lng, FALSE AS short FROM g UNION ALL SELECT kingdom, regexp_replace(gf, '^(barony|shire|canton|college) of (the )?', ''), gf, group_name, lat, lng, TRUE FROM g),
+f AS (SELECT kingdom, min(group_name) AS first_name, max(group_name) AS last_name FROM groups_reg GROUP BY kingdom),
+l AS (SELECT row_id, l.kingdom, source, title || ' (' || CASE CAST(row_id % 4 AS INT) WHEN 0 THEN first_name WHEN 1 THEN regexp_replace(last_name, '^[A-Za-z]+ of ', '') ELSE 'Nowhere' END || ')' AS title, CASE CAST(row_id % 4 AS INT) WHEN 2 THEN 'Hosted by the ' || last_name || '.' WHEN 3 THEN 'near ' || regexp_replace(last_name, '^[A-Za-z]+ of ', '') ELSE '' END AS description FROM listings l JOIN f ON l.kingdom = f.kingdom WHERE NOT is_virtual),
+t AS (SELECT DISTINCT kingdom, p, t FROM (SELECT kingdom, 1 AS p, trim(lower(regexp_replace(regexp_extract(title, '.*\\(([^()]+)\\)[^()]*$', 1), '[^A-Za-z0-9 ]', '', 'g'))) AS t FROM l UNION ALL SELECT kingdom, 2, trim(lower(regexp_replace(title, '[^A-Za-z0-9 ]', '', 'g'))) FROM l UNION ALL SELECT kingdom, 3, trim(lower(regexp_replace(description, '[^A-Za-z0-9 ]', '', 'g'))) FROM l)),
+tn AS (SELECT t.kingdom, p, t, -length(gf) AS neg, group_name, lat, lng FROM t JOIN n ON t.kingdom = n.kingdom AND (p < 3 OR NOT short) AND contains(' ' || t.t || ' ', ' ' || k || ' ')),
+k AS (SELECT row_id, kingdom, source, trim(lower(regexp_replace(regexp_extract(title, '.*\\(([^()]+)\\)[^()]*$', 1), '[^A-Za-z0-9 ]', '', 'g'))) AS a, trim(lower(regexp_replace(title, '[^A-Za-z0-9 ]', '', 'g'))) AS b, trim(lower(regexp_replace(description, '[^A-Za-z0-9 ]', '', 'g'))) AS c FROM l),
+c AS (SELECT k.row_id, p, neg, group_name, lat, lng FROM k JOIN tn ON k.kingdom = tn.kingdom AND tn.t = CASE p WHEN 1 THEN k.a WHEN 2 THEN k.b ELSE k.c END UNION ALL SELECT row_id, 0, 0, group_name, lat, lng FROM k JOIN g ON trim(lower(regexp_replace(source, '[^A-Za-z0-9 ]', '', 'g'))) = gf),
 h AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY p, neg, group_name) AS rn FROM c)
 SELECT l.row_id, round(h.lat, 2) AS group_lat, round(h.lng, 2) AS group_lng, CASE WHEN h.row_id IS NOT NULL THEN 'ok_group' ELSE 'failed' END AS group_status FROM l LEFT JOIN h ON h.rn = 1 AND h.row_id = l.row_id""",
 )
 def host_group_pin(spark, sf):
     groups = fx.groups(spark, sf)
-    first = groups.groupBy("kingdom").agg(F.min("group_name").alias("first_name"))
-    df = fx.listings(spark, sf).where("row_id % 4 = 1 and not is_virtual").join(F.broadcast(first), "kingdom")
-    df = df.withColumns({"title": F.concat("title", F.lit(" ("), F.when(F.expr("row_id % 3 = 0"), F.col("first_name")).otherwise("Nowhere"), F.lit(")")), "geocode_status": F.lit("failed")})
+    ends = groups.groupBy("kingdom").agg(F.min("group_name").alias("first_name"), F.max("group_name").alias("last_name"))
+    df = fx.listings(spark, sf).where("not is_virtual").join(ends, "kingdom")
+    short = "regexp_replace(last_name, '^[A-Za-z]+ of ', '')"
+    df = df.withColumns(
+        {
+            "title": F.expr(f"concat(title, ' (', case cast(row_id % 4 as int) when 0 then first_name when 1 then {short} else 'Nowhere' end, ')')"),
+            "description": F.expr(f"case cast(row_id % 4 as int) when 2 then concat('Hosted by the ', last_name, '.') when 3 then concat('near ', {short}) else '' end"),
+            "geocode_status": F.lit("failed"),
+        }
+    )
     return L.pin_at_host_group(df, groups).select("row_id", F.round("group_lat", 2).alias("group_lat"), F.round("group_lng", 2).alias("group_lng"), "group_status")
 
 
@@ -355,7 +380,7 @@ for _p in (T.URL, T.EMAIL, T.PHONE, T.CONTACT_ROLES, T.PO_BOX, T.CARE_OF, T.EMPT
 
 @query("redact_contacts", f"SELECT doc_id, md5(regexp_replace(regexp_replace({_REDACT}, '\\s{{2,}}', ' ', 'g'), '^[ .,;|]+|[ .,;|]+$', '', 'g')) AS clean_md5 FROM documents".replace("{{", "{").replace("}}", "}"), raw=True)
 def redact_contacts(spark, sf):
-    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.md5(T.redact_contacts("text")).alias("clean_md5"))
+    return fx.table(spark, sf, "documents").select("doc_id", F.md5(T.redact_contacts("text")).alias("clean_md5"))
 
 
 @query(
@@ -371,7 +396,7 @@ SELECT doc_id, count(*) AS hits FROM f JOIN r USING (fp) WHERE tight GROUP BY do
 def private_ngrams(spark, sf):
     words = X.phrase_words(F.col("text"))
     rules = spark.read.parquet(f"{sf}/benchmark.parquet").where(F.size(words) >= 6).select(X.phrase_fingerprint(F.array_join(F.slice(words, 1, 6), " ")).alias("f")).select("f.*").distinct()
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("row_id"), "text")
+    docs = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), "text")
     return X.find_private(docs, rules, ["text"]).groupBy(F.col("row_id").alias("doc_id")).agg(F.count("*").alias("hits"))
 
 
@@ -385,7 +410,7 @@ SELECT page_id, len(h) > 0 AS anchored,
     raw=True,
 )
 def page_links(spark, sf):
-    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    pages = fx.table(spark, sf, "pages")
     anchored = F.size(F.regexp_extract_all("html", F.lit(T.ANCHOR), F.lit(1))) > 0
     links = T.extract_links("html")
     return pages.select("page_id", anchored.alias("anchored"), F.when(anchored, links["event_url"]).alias("event_url"), F.when(anchored, links["facebook_url"]).alias("facebook_url"))
@@ -441,7 +466,7 @@ def _unescape_sql(x: str) -> str:
 
 @query("page_text", f"SELECT page_id, md5(trim(regexp_replace({_unescape_sql(chr(114) + 'egexp_replace(html, ' + chr(39) + '<[^>]+>' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}, '\\s+', ' ', 'g'))) AS text_md5 FROM pages", raw=True)
 def page_text(spark, sf):
-    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", F.md5(T.strip_html("html")).alias("text_md5"))
+    return fx.table(spark, sf, "pages").select("page_id", F.md5(T.strip_html("html")).alias("text_md5"))
 
 
 @query(
@@ -452,7 +477,7 @@ SELECT page_id, reason FROM r WHERE reason IS NOT NULL""",
     raw=True,
 )
 def dead_links(spark, sf):
-    p = spark.read.parquet(f"{sf}/pages.parquet").withColumn("html", F.when(F.expr("page_id % 17 = 0"), F.substring("html", 1, 100)).when(F.expr("page_id % 19 = 0"), F.concat(F.lit("<h1>Page not found</h1>"), "html")).otherwise(F.col("html")))
+    p = fx.table(spark, sf, "pages").withColumn("html", F.when(F.expr("page_id % 17 = 0"), F.substring("html", 1, 100)).when(F.expr("page_id % 19 = 0"), F.concat(F.lit("<h1>Page not found</h1>"), "html")).otherwise(F.col("html")))
     return H.dead_links(p, F.when(F.expr("page_id % 13 = 0"), 404).otherwise(200)).select("page_id", "reason")
 
 
@@ -530,7 +555,7 @@ def refresh_due(spark, sf):
     raw=True,
 )
 def changed_pages(spark, sf):
-    m = spark.read.parquet(f"{sf}/pages.parquet").groupBy("url").agg(F.max(F.expr("cast(page_id % 9 as string)")).alias("lastmod"))
+    m = fx.table(spark, sf, "pages").groupBy("url").agg(F.max(F.expr("cast(page_id % 9 as string)")).alias("lastmod"))
     cache = m.where("lastmod <> '5'").withColumn("lastmod", F.expr("case when lastmod = '3' then '9' else lastmod end"))
     return S.changed_pages(m, cache)[0]
 

@@ -15,6 +15,7 @@ from fairweave.operators import privacy as X
 from fairweave.operators import quality as H
 from fairweave.operators import serve as Q
 from fairweave.operators import state as J
+from fairweave.operators.store import shared_folder
 from fairweave.plans import fixtures as fx
 from fairweave.plans.queries import _CANDIDATES, _NORM, _PRIOR, _TOK, _VENUE, _prior, _unescape_sql, query
 from fairweave.sources import feeds as S
@@ -31,7 +32,7 @@ _ESCAPED = r"replace(replace(replace(replace(text, '\,', ','), '\;', ';'), '\n',
 
 @query("clean_text", f"SELECT doc_id, md5(trim(regexp_replace(regexp_replace({_unescape_sql(_ESCAPED)}, '[\\r\\n]', ' ', 'g'), ' {{2,}}', ' ', 'g'))) AS clean_md5 FROM documents".replace("{{", "{").replace("}}", "}"), raw=True)
 def clean_text(spark, sf):
-    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.md5(T.clean_text("text")).alias("clean_md5"))
+    return fx.table(spark, sf, "documents").select("doc_id", F.md5(T.clean_text("text")).alias("clean_md5"))
 
 
 @query("group_keys", "SELECT group_id, trim(lower(regexp_replace(group_name, '[^A-Za-z0-9 ]', '', 'g'))) AS full_key, regexp_replace(trim(lower(regexp_replace(group_name, '[^A-Za-z0-9 ]', '', 'g'))), '^(barony|shire|canton|college) of (the )?', '') AS short_key FROM groups_reg")
@@ -57,7 +58,7 @@ def promote_local(spark, sf):
 
 @query("needs_description", "SELECT page_id, lower(regexp_extract(url, '^https?://(?:www\\.)?([^/:?#]+)', 1)) LIKE '%.example%' AND page_id % 3 <> 1 AS needed FROM pages", raw=True)
 def needs_description(spark, sf):
-    p = spark.read.parquet(f"{sf}/pages.parquet")
+    p = fx.table(spark, sf, "pages")
     text = F.when(F.expr("page_id % 3 = 0"), "No description yet").when(F.expr("page_id % 3 = 1"), "A description that is long enough to be of use to readers").otherwise(F.col("url"))
     eligible = P.url_host("url").contains(".example")
     return p.withColumn("text", text).select("page_id", P.needs_description("text", "url", eligible).alias("needed"))
@@ -131,11 +132,11 @@ def organizer_pins(spark, sf):
     return L.organizer_pin(df, organizers, groups, (24, 50, -125, -66)).select("row_id", "geocode_status", F.round("lat", 2).alias("lat"))
 
 
-@query("nearest_group", """, m AS (SELECT l.row_id, g.group_id, 2 * 3958.7613 * asin(sqrt(least(1.0, pow(sin(radians(g.lat - l.lat) / 2), 2) + cos(radians(l.lat)) * cos(radians(g.lat)) * pow(sin(radians(g.lng - l.lng) / 2), 2)))) AS miles FROM listings l JOIN groups_reg g ON abs(l.lat - g.lat) < 2.5 WHERE l.row_id % 8 = 0),
+@query("nearest_group", """, m AS (SELECT l.row_id, g.group_id, 2 * 3958.7613 * asin(sqrt(least(1.0, pow(sin(radians(g.lat - l.lat) / 2), 2) + cos(radians(l.lat)) * cos(radians(g.lat)) * pow(sin(radians(g.lng - l.lng) / 2), 2)))) AS miles FROM listings l JOIN groups_reg g ON abs(l.lat - g.lat) < 2.5),
 r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY miles, group_id) AS rn FROM m WHERE miles <= 100) SELECT row_id, group_id AS site_id, round(miles, 3) AS miles FROM r WHERE rn = 1""")
 def nearest_group(spark, sf):
     sites = fx.groups(spark, sf).select(F.col("group_id").alias("site_id"), "lat", "lng")
-    return L.nearest(fx.listings(spark, sf).where("row_id % 8 = 0"), sites, 100).select("row_id", "site_id", F.round("miles", 3).alias("miles"))
+    return L.nearest(fx.listings(spark, sf), sites, 100).select("row_id", "site_id", F.round("miles", 3).alias("miles"))
 
 
 @query("groups_in_view", "SELECT group_id FROM groups_reg WHERE lat BETWEEN 30 AND 40 AND lng BETWEEN -110 AND -80")
@@ -216,10 +217,9 @@ def feed_registry(spark, sf):
 @query("calendar_text", "SELECT row_id, title, CAST(CAST(start_ts AS DATE) AS VARCHAR) AS start_day, clean_location AS location FROM listings WHERE row_id % 3 <> 0")
 def calendar_text(spark, sf):
     """Listings written as calendar files into the shared folder, and read back; a third without a start are rejects."""
-    import tempfile
     import uuid
 
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='fairweave-')}/ics-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/ics-{uuid.uuid4().hex}"
     escaped = lambda c: F.replace(F.col(c), F.lit(","), F.lit("\\,"))
     start = F.when(F.expr("row_id % 3 <> 0"), F.concat(F.lit("DTSTART:"), F.date_format("start_ts", "yyyyMMdd'T'HHmmss"), F.lit("\n"))).otherwise("")
     event = F.concat(F.lit("BEGIN:VEVENT\nUID:"), F.col("row_id").cast("string"), F.lit("\n"), start, F.lit("SUMMARY:"), escaped("title"), F.lit("\nLOCATION:"), escaped("clean_location"), F.lit("\nEND:VEVENT"))
@@ -241,7 +241,7 @@ def date_ranges(spark, sf):
 
 @query("page_list_events", """SELECT 'Fair ' || CAST(page_id AS VARCHAR) AS title, CAST(DATE '2026-01-01' + CAST(page_id % 90 AS INT) AS VARCHAR) AS start_day, page_id FROM pages""", raw=True)
 def page_list_events(spark, sf):
-    p = spark.read.parquet(f"{sf}/pages.parquet")
+    p = fx.table(spark, sf, "pages")
     line = F.concat(F.lit("<li>"), F.date_add(F.lit("2026-01-01").cast("date"), F.expr("cast(page_id % 90 as int)")).cast("string"), F.lit(": Fair "), F.col("page_id").cast("string"), F.lit("</li>"))
     events, _ = S.page_events(p.withColumn("html", F.concat("html", line)), "list")
     return events.select("title", F.to_date("start_ts").cast("string").alias("start_day"), "page_id")
@@ -249,7 +249,7 @@ def page_list_events(spark, sf):
 
 @query("body_kinds", "SELECT page_id, CASE CAST(page_id % 4 AS INT) WHEN 0 THEN 'ics' WHEN 1 THEN 'json' WHEN 2 THEN 'empty' ELSE 'html' END AS kind FROM pages", raw=True)
 def body_kinds(spark, sf):
-    p = spark.read.parquet(f"{sf}/pages.parquet")
+    p = fx.table(spark, sf, "pages")
     body = F.when(F.expr("page_id % 4 = 0"), F.concat(F.lit("BEGIN:VCALENDAR\n"), "html")).when(F.expr("page_id % 4 = 1"), F.concat(F.lit("{"), "html")).when(F.expr("page_id % 4 = 2"), "").otherwise(F.concat(F.lit("<html>"), "html"))
     return p.select("page_id", S.body_kind(body)["kind"].alias("kind"))
 
@@ -278,7 +278,7 @@ def located_groups(spark, sf):
 
 @query("cached_texts", "SELECT url, max_by(t, ts) AS text_key, max(ts) AS ts FROM (SELECT url, 'p' || CAST(page_id AS VARCHAR) AS t, page_id AS ts FROM pages WHERE page_id % 4 <> 0) GROUP BY url", raw=True)
 def cached_texts(spark, sf):
-    p = spark.read.parquet(f"{sf}/pages.parquet")
+    p = fx.table(spark, sf, "pages")
     text = F.when(F.expr("page_id % 4 = 0"), "short").otherwise(F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(" and more than twenty letters")))
     rows = p.select("url", text.alias("text"), F.col("page_id").alias("ts"))
     return J.upsert_cache(rows.where("ts % 2 = 0"), rows.where("ts % 2 = 1")).select("url", F.substring_index("text", " ", 1).alias("text_key"), "ts")
