@@ -33,8 +33,8 @@ from fairweave.llm._shared import hash_chunk, remainder, table
 
 _END, _START = U64(0xE0D0E0D0E0D0E0D1), U64(0x57A127B75A127B75)
 _PIECE = 1 << 20
-#: Bits that names of pairs and triples lack, and the kind of the rows with totals.
-_SHORT, _TOTALS = U64(8), 9
+#: The kind of the rows with totals.
+_TOTALS = 9
 _ROWS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("kind", pa.int64()), ("blob", pa.binary())])
 _ROWS_SQL = "chunk long, bucket long, kind long, blob binary"
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -44,7 +44,8 @@ _OUT_SQL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_to
 class _Chunk:
     """Tokens, word pairs and triples of a chunk's documents, numbered by distinct name."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, short: int):
+        """``short``: the bits that names of pairs and triples lack."""
         self.ids = table.column("doc_id").to_pylist()
         self.held_out = np.array(table.column("held_out").to_pylist(), bool)
         raw, offsets = text_buffer(table.column("text"))
@@ -65,18 +66,19 @@ class _Chunk:
         self.third[self.first] = False
         self.third = np.flatnonzero(self.third)
         train = np.repeat(~self.held_out, self.size)
-        self.grams = [self._numbered(token, train), self._numbered(two >> _SHORT, train), self._numbered(pair(two[self.third - 1], token[self.third]) >> _SHORT, train[self.third])]
+        three = pair(two[self.third - 1], token[self.third]) >> U64(short)
+        self.grams = [self._numbered(token, train), self._numbered(two >> U64(short), train), self._numbered(three, train[self.third])]
 
     @staticmethod
     def _numbered(names, train):
         """Sorted distinct names, their counts in training texts, and the number of each token's name."""
         distinct, number = np.unique(names, return_inverse=True)
-        return distinct, np.bincount(number[train], minlength=len(distinct)), number
+        return distinct, np.bincount(number[train], minlength=len(distinct)).astype(np.uint32), number.astype(np.int32)
 
     def triples(self) -> tuple[np.ndarray, np.ndarray]:
         """For each distinct triple the pair that is its history and the pair that it ends with."""
         number, of = self.grams[2][2], self.grams[1][2]
-        left, right = (np.zeros(len(self.grams[2][0]), np.int64) for _ in range(2))
+        left, right = (np.zeros(len(self.grams[2][0]), np.int32) for _ in range(2))
         left[number], right[number] = of[self.third - 1], of[self.third]
         return left, right
 
@@ -86,30 +88,30 @@ class _Chunk:
         return elsewhere[left] & elsewhere[right]
 
 
-def _messages(chunk: int, kind: int, names: np.ndarray, counts: np.ndarray, buckets: int) -> list[tuple]:
-    edges = bucket_edges(names if not kind else names << _SHORT, buckets)
-    return [(chunk, b, kind, planes(names[i:j]) + planes(counts[i:j].astype(np.uint32))) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
+def _messages(chunk: int, kind: int, names: np.ndarray, counts: np.ndarray, buckets: int, short: int) -> list[tuple]:
+    edges = bucket_edges(names << U64(short) if kind else names, buckets)
+    return [(chunk, b, kind, planes(names[i:j]) + planes(counts[i:j])) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i]
 
 
 def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), _ROWS.types)], schema=_ROWS) if rows else _ROWS.empty_table()
 
 
-def _ask(buckets: int):
+def _ask(buckets: int, short: int):
     def ask(key, table):
-        c = _Chunk(table)
-        return _rows([m for kind in (0, 1) for m in _messages(key[0].as_py(), kind, *c.grams[kind][:2], buckets)])
+        c = _Chunk(table, short)
+        return _rows([m for kind in (0, 1) for m in _messages(key[0].as_py(), kind, *c.grams[kind][:2], buckets, short)])
 
     return ask
 
 
-def _ask_triples(buckets: int):
+def _ask_triples(buckets: int, short: int):
     def ask(key, table, answers):
         if not len(table):
             return _ROWS.empty_table()
-        c = _Chunk(table)
+        c = _Chunk(table, short)
         asked = c.shared_triples(_counts(answers, 1)[1])
-        return _rows(_messages(key[0].as_py(), 2, c.grams[2][0][asked], c.grams[2][1][asked], buckets))
+        return _rows(_messages(key[0].as_py(), 2, c.grams[2][0][asked], c.grams[2][1][asked], buckets, short))
 
     return ask
 
@@ -179,7 +181,7 @@ def _automaton(c: _Chunk, seen: np.ndarray, pairs: np.ndarray, triples: np.ndarr
     before = np.empty_like(word)
     before[1:] = word[:-1]
     before[c.first] = len(seen) + 1
-    come_from, come_to = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+    come_from, come_to = np.zeros(len(pairs), np.int32), np.zeros(len(pairs), np.int32)
     come_from[two], come_to[two] = before, word
     words_strength, pairs_strength = strengths
     after_word = (pairs + words_strength * p[come_to]) / (times[come_from] + words_strength)
@@ -191,7 +193,7 @@ def _automaton(c: _Chunk, seen: np.ndarray, pairs: np.ndarray, triples: np.ndarr
         known=seen > 0,
         root_weight=np.log10(p),
         fail=np.log10((k := np.repeat(strengths, [len(seen) + 2, len(pairs)])) / (times + k)),
-        link=np.concatenate((np.full(len(seen) + 2, len(seen)), come_to)),
+        link=np.concatenate((np.full(len(seen) + 2, len(seen), np.int32), come_to)),
         pair_there=pairs > 0,
         pair_weight=np.log10(after_word),
         triple_there=pad(triples > 0, False),
@@ -199,18 +201,19 @@ def _automaton(c: _Chunk, seen: np.ndarray, pairs: np.ndarray, triples: np.ndarr
     )
 
 
-def _score(strengths: tuple[float, float]):
+def _score(strengths: tuple[float, float], short: int):
     def score(key, table, answers):
         if not len(table):
             return _OUT.empty_table()
-        c = _Chunk(table)
+        c = _Chunk(table, short)
         n, v = (int(x) for x in answers.filter(pa.compute.equal(answers.column("kind"), _TOTALS)).column("blob")[0].as_py().split(b","))
-        (seen, _), (pairs, elsewhere), triples = _counts(answers, 0), _counts(answers, 1), c.grams[2][1].copy()
+        (seen, _), (pairs, elsewhere), triples = _counts(answers, 0), _counts(answers, 1), c.grams[2][1].astype(np.int64)
         triples[c.shared_triples(elsewhere)] = _counts(answers, 2)[0]
         word, two, third = (g[2] for g in c.grams)
-        three = np.full(len(word), -1)
+        three = np.full(len(word), -1, np.int32)
         three[c.third] = third
         automaton = _automaton(c, seen, pairs, triples, n, v, strengths)
+        del answers, pairs, elsewhere, triples
         scores = _traverse(c.first, c.size, word, two, three, automaton)
         return pa.table(
             [
@@ -228,7 +231,7 @@ def _score(strengths: tuple[float, float]):
     return score
 
 
-def score_texts(docs: DataFrame, *, folds: int = 10, strength: float = 400.0, pair_strength: float = 10.0, chunk_bytes: int = 16 << 20, bucket_names: int = 1 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, *, folds: int = 10, strength: float = 400.0, pair_strength: float = 10.0, chunk_bytes: int = 8 << 20, bucket_names: int = 1 << 20) -> DataFrame:
     """Score every text by a trigram backoff automaton learned from the texts not held out.
 
     ``docs`` needs ``doc_id`` (integer) and ``text``; other columns are ignored.  A row is held
@@ -242,22 +245,25 @@ def score_texts(docs: DataFrame, *, folds: int = 10, strength: float = 400.0, pa
     unknown: N and V are 0 and all probabilities 1.  An empty table gives no rows.
 
     ``strength`` is the prior's k after a word, ``pair_strength`` after a pair.  ``chunk_bytes`` and ``bucket_names`` bound what a task holds.
-    Words are told apart by 64-bit names, pairs and triples by 56-bit ones.
+    Words are told apart by 64-bit names; those of pairs and triples have as many bits (48 to 64) as keep
+    the chance that one is taken for another below about one in 500,000 at the size of the input.
     """
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (remainder(F.col("doc_id"), folds) == 0).alias("held_out"))
     chunked, n_chunks = hash_chunk(kept, chunk_bytes)
     # about one distinct word, pair or shared triple in a chunk for 8 bytes
     buckets = max(48, math.ceil(n_chunks * chunk_bytes / 8 / bucket_names))
+    # at most a pair or triple for each of n_chunks * chunk_bytes bytes, and 19 bits more
+    short = min(16, max(0, 64 - 19 - math.ceil(math.log2(max(2, n_chunks * chunk_bytes)))))
     dealt = chunked.groupBy("chunk")
-    answered = dealt.applyInArrow(_ask(buckets), _ROWS_SQL).groupBy("bucket", "kind").applyInArrow(_answer, _ROWS_SQL)
+    answered = dealt.applyInArrow(_ask(buckets, short), _ROWS_SQL).groupBy("bucket", "kind").applyInArrow(_answer, _ROWS_SQL)
     answers = answered.where("chunk >= 0")
-    triples = dealt.cogroup(answers.groupBy("chunk")).applyInArrow(_ask_triples(buckets), _ROWS_SQL).groupBy("bucket", "kind").applyInArrow(_answer, _ROWS_SQL)
+    triples = dealt.cogroup(answers.groupBy("chunk")).applyInArrow(_ask_triples(buckets, short), _ROWS_SQL).groupBy("bucket", "kind").applyInArrow(_answer, _ROWS_SQL)
     # all training tokens and the distinct ones: one row for each chunk
     totals = answered.where("chunk < 0").agg(F.sum("bucket").alias("n"), F.sum("kind").alias("v"))
     block = totals.select(F.concat_ws(",", "n", "v").cast("binary").alias("blob"), F.explode(F.sequence(F.lit(0), F.lit((n_chunks - 1) // 1000))).alias("thousand"))
     block = block.select("blob", "thousand", F.explode(F.sequence(F.lit(0), F.lit(999))).alias("one"))
     each = block.select((F.col("thousand") * 1000 + F.col("one")).cast("long").alias("chunk"), F.lit(-1).cast("long").alias("bucket"), F.lit(_TOTALS).cast("long").alias("kind"), "blob").where(F.col("chunk") < n_chunks)
-    return dealt.cogroup(answers.unionByName(triples).unionByName(each).groupBy("chunk")).applyInArrow(_score((strength, pair_strength)), _OUT_SQL)
+    return dealt.cogroup(answers.unionByName(triples).unionByName(each).groupBy("chunk")).applyInArrow(_score((strength, pair_strength), short), _OUT_SQL)
 
 
 def op1_lm_scoring(spark, sf_dir: str) -> DataFrame:

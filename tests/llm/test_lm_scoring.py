@@ -85,7 +85,7 @@ def test_messages_do_not_outnumber_names(spark):
 
     chunk = frame(spark).toArrow().select(["doc_id", "text"])
     table = chunk.append_column("held_out", [[False] * len(chunk)])
-    few, many = (_ask(n)([chunk.column("doc_id")[1]], table) for n in (8, 1_000_000))
+    few, many = (_ask(n, 8)([chunk.column("doc_id")[1]], table) for n in (8, 1_000_000))
     names = sum(len(x) // 12 for x in few.column("blob").to_pylist())
     assert len(few) == 16 and len(many) <= names == sum(len(x) // 12 for x in many.column("blob").to_pylist())
 
