@@ -39,7 +39,7 @@ def dedupe_listings(df: DataFrame, hosts: DataFrame | None = None) -> DataFrame:
         home = F.col("source") == F.col("kingdom")
         src = df
     else:
-        src = df.withColumn("__state", extract_state("clean_location")).join(F.broadcast(hosts.select(F.col("state").alias("__state"), F.col("region").alias("__host"))), "__state", "left")
+        src = df.withColumn("__state", extract_state("clean_location")).join(hosts.select(F.col("state").alias("__state"), F.col("region").alias("__host")), "__state", "left")
         home = F.col("source") == F.col("__host")
     order = [is_out_of_region("title").cast("int"), F.when(home, 0).otherwise(1), F.when(F.col("calendar_type") == "kingdom", 0).otherwise(1), F.col("row_id")]
     kept = preferred(src.where(placed), [day, _place(), F.col("calendar_type")], order).select(df.columns)

@@ -50,11 +50,11 @@ def territory_join(points: DataFrame, edges: DataFrame, layer: str | None = None
     box = box.select("*", cells("xa", "xb").alias("cx")).select("*", cells("ya", "yb").alias("cy"))
     spot = points.select("lat", "lng").where("lat is not null and lng is not null").distinct()
     spot = spot.withColumns({"cx": F.floor(F.col("lng") / CELL), "cy": F.floor(F.col("lat") / CELL)})
-    near = spot.join(F.broadcast(box), ["cx", "cy"]).where(F.col("lng").between(F.col("xa"), F.col("xb")) & F.col("lat").between(F.col("ya"), F.col("yb"))).select("lat", "lng", "poly_id")
+    near = spot.join(box, ["cx", "cy"]).where(F.col("lng").between(F.col("xa"), F.col("xb")) & F.col("lat").between(F.col("ya"), F.col("yb"))).select("lat", "lng", "poly_id")
     e = edges.select("poly_id", "kingdom", "ring", "x1", "y1", "x2", "y2", order.alias("layer"))
     # a polygon's edges stay in one array, so the join keeps one row for a point and polygon
     shape = e.groupBy("poly_id", "kingdom", "layer").agg(F.collect_list(F.struct("ring", "x1", "y1", "x2", "y2")).alias("edges"), F.max("ring").alias("rings"))
-    hit = near.join(F.broadcast(shape), "poly_id")
+    hit = near.join(shape, "poly_id")
 
     def odd(ring: Column) -> Column:
         def cross(n: Column, s: Column) -> Column:
@@ -88,19 +88,20 @@ def clip_polygons(edges: DataFrame, box: tuple[float, float, float, float], poly
     bounds = edges.groupBy("poly_id").agg(F.min("x1").alias("a"), F.max("x1").alias("b"), F.min("y1").alias("c"), F.max("y1").alias("d"))
     meets = (F.col("b") >= xa) & (F.col("a") <= xb) & (F.col("d") >= ya) & (F.col("c") <= yb)
     listed = F.col("poly_id").isin(polys) if polys is not None else F.lit(True)
-    return edges.join(F.broadcast(bounds.where(meets | ~listed).select("poly_id")), "poly_id", "left_semi")
+    return edges.join(bounds.where(meets | ~listed).select("poly_id"), "poly_id", "left_semi")
 
 
 def assign_countries(polys: DataFrame, assignment: DataFrame, names: list[str]) -> DataFrame:
     """The region of a polygon by the first of its name fields that is assigned."""
     tried = polys.select("poly_id", F.posexplode(F.array(*[F.col(n) for n in names])).alias("i", "name"))
-    hit = tried.join(F.broadcast(assignment.select("name", "region")), "name")
+    hit = tried.join(assignment.select("name", "region"), "name")
     best = hit.groupBy("poly_id").agg(F.min_by("region", "i").alias("region"))
     return polys.join(best, "poly_id", "left")
 
 
 def box_state(df: DataFrame, boxes: DataFrame) -> DataFrame:
     """The first box, in table order (``ord``), that holds a row's pin; null if none."""
+    # no key to join by; some fifty boxes kept by hand
     b = F.broadcast(boxes.select("ord", "state", "lat_min", "lat_max", "lng_min", "lng_max"))
     spots = df.select("lat", "lng").distinct()
     hit = spots.join(b, F.col("lat").between(F.col("lat_min"), F.col("lat_max")) & F.col("lng").between(F.col("lng_min"), F.col("lng_max")))
@@ -115,8 +116,8 @@ def validate_pins(df: DataFrame, boxes: DataFrame, homes: DataFrame, state: Colu
     none of its acceptable states (``homes``: source, states).  Defer: a region's row outside them.
     """
     placed = box_state(df, boxes).withColumn("__named", state)
-    named = F.broadcast(boxes.select(F.col("state").alias("__named"), F.struct("lat_min", "lat_max", "lng_min", "lng_max").alias("__box")).groupBy("__named").agg(F.first("__box").alias("__box")))
-    out = placed.join(named, "__named", "left").join(F.broadcast(homes.select("source", F.col("states").alias("__states"))), "source", "left")
+    named = boxes.select(F.col("state").alias("__named"), F.struct("lat_min", "lat_max", "lng_min", "lng_max").alias("__box")).groupBy("__named").agg(F.min("__box").alias("__box"))
+    out = placed.join(named, "__named", "left").join(homes.select("source", F.col("states").alias("__states")), "source", "left")
     in_named = F.col("lat").between(F.col("__box.lat_min"), F.col("__box.lat_max")) & F.col("lng").between(F.col("__box.lng_min"), F.col("__box.lng_max"))
     away = F.col("__states").isNotNull() & ~F.array_contains("__states", F.col("box_state"))
     verdict = F.when(F.col("box_state").isNull(), "reject").when(F.coalesce(~in_named, F.lit(False)), "reject").when(away & (F.col("calendar_type") == "baronial"), "reject").when(away, "defer").otherwise("accept")

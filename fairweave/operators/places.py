@@ -24,9 +24,9 @@ def group_location(df: DataFrame, groups: DataFrame, stop: list[str] = ["event",
     tag, host = group_key(last_parenthetical("title")), group_key(F.regexp_extract(F.coalesce("description", F.lit("")), r"(?i)hosted by:?\s+([^.|\n]+)", 1))
     out = df.withColumns({"__tag": tag, "__host": host})
     for key, to in (("__tag", "__a"), ("__host", "__b")):
-        out = out.join(F.broadcast(by.select(F.col("k").alias(key), F.col("loc").alias(to))), key, "left")
+        out = out.join(by.select(F.col("k").alias(key), F.col("loc").alias(to)), key, "left")
     words = df.select("row_id", F.explode(F.split(normalize_title("title"), " ")).alias("short"))
-    named = words.join(F.broadcast(word), "short").groupBy("row_id").agg(F.min("loc").alias("__c"))
+    named = words.join(word, "short").groupBy("row_id").agg(F.min("loc").alias("__c"))
     out = out.join(named, "row_id", "left")
     return out.withColumn("group_place", F.coalesce("__a", "__b", "__c")).select(*df.columns, "group_place")
 
@@ -35,7 +35,7 @@ def geographic_fallback(df: DataFrame, places: DataFrame, column: str = "locatio
     """``fallback_place`` for a bare state code or region name (``places``: key, place), with or without "the"."""
     k = F.regexp_replace(group_key(column), r"^the ", "")
     p = places.groupBy(F.regexp_replace(group_key("key"), r"^the ", "").alias("__k")).agg(F.min("place").alias("fallback_place"))
-    return df.withColumn("__k", k).join(F.broadcast(p), "__k", "left").drop("__k")
+    return df.withColumn("__k", k).join(p, "__k", "left").drop("__k")
 
 
 def resolve_location(df: DataFrame, groups: DataFrame, places: DataFrame) -> DataFrame:
@@ -166,7 +166,7 @@ def pin_at_host_group(df: DataFrame, groups: DataFrame, most_words: int = 8) ->
 def pin_local_fallback(df: DataFrame, groups: DataFrame) -> DataFrame:
     """Vague rows take their group's pin; the flag goes where the group is unknown; overrides stay."""
     g = groups.select(group_key("group_name").alias("__k"), F.col("lat").alias("__lat"), F.col("lng").alias("__lng")).dropDuplicates(["__k"])
-    out = df.withColumn("__k", group_key("source")).join(F.broadcast(g), "__k", "left")
+    out = df.withColumn("__k", group_key("source")).join(g, "__k", "left")
     vague = (F.col("location_specificity") == "vague") & (F.coalesce("geocode_status", F.lit("")) != "override")
     hit = vague & F.col("__lat").isNotNull()
     new = {
@@ -183,7 +183,7 @@ def organizer_pin(df: DataFrame, organizers: DataFrame, groups: DataFrame, box:
     g = groups.where(F.col("lat").between(box[0], box[1]) & F.col("lng").between(box[2], box[3]))
     g = g.select(F.explode(F.array(group_key("group_name"), short_group_key("group_name"))).alias("k"), F.struct("lat", "lng").alias("pin")).groupBy("k").agg(F.min("pin").alias("pin"))
     o = organizers.groupBy(F.col("url").alias("event_url")).agg(F.min("organizer").alias("organizer"))
-    out = df.join(o, "event_url", "left").withColumn("k", group_key("organizer")).join(F.broadcast(g), "k", "left")
+    out = df.join(o, "event_url", "left").withColumn("k", group_key("organizer")).join(g, "k", "left")
     hit = (F.col("location_specificity") == "vague") & F.col("pin").isNotNull()
     new = {"lat": F.when(hit, F.col("pin.lat")).otherwise(F.col("lat")), "lng": F.when(hit, F.col("pin.lng")).otherwise(F.col("lng")), "geocode_status": F.when(hit, "ok_organizer").otherwise(F.col("geocode_status"))}
     return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])

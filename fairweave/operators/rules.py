@@ -28,8 +28,8 @@ def apply_event_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
     pin = valid_coords(F.col("lat").cast("string"), F.col("lng").cast("string"))
     r = rules.select("rule_seq", F.nullif("url", F.lit("")).alias("u"), F.col("source").alias("s"), normalize_title("title").alias("t"), F.col("on_date").alias("d"), F.nullif("address", F.lit("")).alias("new_address"), pin.alias("new_pin"), F.nullif("link", F.lit("")).alias("new_link"))
     keyed = df.select("row_id", "event_url", "source", normalize_title("title").alias("tt"), F.to_date("start_ts").alias("dd"))
-    by_link = keyed.join(F.broadcast(r.where("u is not null")), F.col("event_url") == F.col("u"))
-    by_title = keyed.join(F.broadcast(r.where("u is null")), (F.col("source") == F.col("s")) & (F.col("tt") == F.col("t")) & (F.col("d").isNull() | (F.col("d") == F.col("dd"))))
+    by_link = keyed.join(r.where("u is not null"), F.col("event_url") == F.col("u"))
+    by_title = keyed.join(r.where("u is null"), (F.col("source") == F.col("s")) & (F.col("tt") == F.col("t")) & (F.col("d").isNull() | (F.col("d") == F.col("dd"))))
     hit = by_link.unionByName(by_title).groupBy("row_id")
     last = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct("rule_seq", c)))[c].alias(c)
     won = hit.agg(last("new_address"), last("new_pin"), last("new_link"), F.sort_array(F.collect_set("rule_seq")).alias("rules"))
@@ -47,7 +47,7 @@ def apply_event_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
 def keyword_join(df: DataFrame, rules: DataFrame, text: Column) -> DataFrame:
     """Each row with the first rule of its source whose keyword its text contains."""
     r = rules.select("rule_seq", F.col("source"), F.lower("keyword").alias("keyword"), F.struct(*[c for c in rules.columns if c not in ("rule_seq", "source", "keyword")]).alias("rule"))
-    hit = df.join(F.broadcast(r), "source").where(F.lower(text).contains(F.col("keyword")))
+    hit = df.join(r, "source").where(F.lower(text).contains(F.col("keyword")))
     first = F.row_number().over(Window.partitionBy("row_id").orderBy("rule_seq"))
     return hit.withColumn("__n", first).where("__n = 1").drop("__n")
 

@@ -69,7 +69,7 @@ def listings_per_site(df: DataFrame) -> DataFrame:
 
 def colour_of(df: DataFrame, colours: DataFrame, default: str = "#888888") -> DataFrame:
     """Q6: the effective region's colour, of events or of practices."""
-    out = df.join(F.broadcast(colours), "kingdom", "left")
+    out = df.join(colours, "kingdom", "left")
     pick = F.when(F.col("calendar_type") == "kingdom", F.col("event_color")).otherwise(F.col("practice_color"))
     return out.select(*df.columns, F.coalesce(pick, F.lit(default)).alias("colour"))
 
@@ -78,7 +78,7 @@ def local_online_in_view(df: DataFrame, groups: DataFrame, box: tuple[float, flo
     """Q7: online listings: a region's always, a local one if its group lies in (lat, lat, lng, lng)."""
     seen = groups.where(F.col("lat").between(box[0], box[1]) & F.col("lng").between(box[2], box[3])).select(F.col("group_name").alias("source"))
     online = df.where("is_virtual")
-    return online.where("calendar_type = 'kingdom'").unionByName(online.where("calendar_type <> 'kingdom'").join(F.broadcast(seen.distinct()), "source", "left_semi"))
+    return online.where("calendar_type = 'kingdom'").unionByName(online.where("calendar_type <> 'kingdom'").join(seen.distinct(), "source", "left_semi"))
 
 
 def coverage_horizon(df: DataFrame) -> DataFrame:

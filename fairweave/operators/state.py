@@ -26,7 +26,7 @@ def carry_forward(df: DataFrame, prior: DataFrame, failed: DataFrame, as_of: dat
 
     Rows that the new run has (by source, title and start) are not taken twice; undated ones are left.
     """
-    kept = prior.join(F.broadcast(failed.select("source").distinct()), "source", "left_semi")
+    kept = prior.join(failed.select("source").distinct(), "source", "left_semi")
     kept = kept.where(F.to_date("start_ts") >= F.lit(as_of).cast("date"))
     kept = kept.join(df.select("source", "title", "start_ts"), ["source", "title", "start_ts"], "left_anti")
     return df.withColumn("carried", F.lit(False)).unionByName(kept.select(df.columns).withColumn("carried", F.lit(True)))

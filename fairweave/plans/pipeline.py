@@ -1,16 +1,19 @@
-"""The refresh as one lazy plan.  The order of steps matters: pins before large events, privacy last."""
+"""The refresh as one plan.  The order of steps matters: pins before large events, privacy last."""
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from fairweave.functions.predicates import is_cancelled, is_non_event, upcoming
-from fairweave.operators.dedup import dedupe_listings, drop_local_copies, marquee_merge
+from fairweave.functions.predicates import is_cancelled, is_non_event, needs_description, promote_local, upcoming
+from fairweave.operators.dedup import dedupe_listings, drop_aggregator_copies, drop_local_copies, marquee_merge, merge_series
 from fairweave.operators.geo import host_region, marquee_host
+from fairweave.operators.places import resolve_location
 from fairweave.operators.privacy import scrub_private
-from fairweave.operators.state import carry_forward
+from fairweave.operators.rules import apply_event_rules, apply_keyword_rules
+from fairweave.operators.state import carry_forward, enrich_descriptions, url_backfill
 from fairweave.operators.store import stored
 
 
@@ -20,9 +23,43 @@ def real_listings(df: DataFrame, as_of: date | str) -> DataFrame:
     return upcoming(df.where(~is_non_event("title") & ~is_cancelled("title", description)), as_of)
 
 
-def refresh(df: DataFrame, prior: DataFrame, failed: DataFrame, events: DataFrame, edges: DataFrame, private: DataFrame, as_of: date | str) -> DataFrame:
-    """Clean, de-duplicate, carry over, merge large events, tag territories and scrub."""
-    kept = drop_local_copies(dedupe_listings(real_listings(df, as_of)))
-    carried = stored(carry_forward(kept, prior, failed, as_of).drop("carried"), "carried")
-    merged = marquee_merge(carried, events).drop("merged", "sources")
-    return scrub_private(marquee_host(host_region(merged, edges)), private, ["title", "clean_location"])
+def clean(df: DataFrame, as_of: date | str, *, groups: DataFrame | None = None, places: DataFrame | None = None, links: DataFrame | None = None, rules: DataFrame | None = None, keywords: DataFrame | None = None) -> DataFrame:
+    """Raw rows to located, corrected and de-duplicated ones, with the columns of ``df`` but for ``is_aggregator``.
+
+    With ``groups`` and ``places`` the address is resolved from ``location`` and ``description``, and online rows
+    of a region that name one of its groups become local.  ``links`` fill blank links, ``rules`` and ``keywords``
+    correct rows.  Each of them may be left out.
+    """
+    out = real_listings(df, as_of)
+    if groups is not None:
+        if places is not None:
+            out = resolve_location(out.drop("clean_location"), groups, places).withColumnRenamed("address", "clean_location").select(df.columns)
+        out = promote_local(out, groups.select(F.col("kingdom").alias("region"), "group_name"))
+    if links is not None:
+        out = url_backfill(out, links)
+    if rules is not None:
+        out = apply_event_rules(out, rules).select(df.columns)
+    if keywords is not None:
+        out = apply_keyword_rules(out, keywords).select(df.columns)
+    # the steps from here on look at the rows several times
+    out = dedupe_listings(stored(out, "corrected"))
+    if "is_aggregator" in df.columns:
+        out = drop_aggregator_copies(out)
+    return drop_local_copies(stored(out, "single"))
+
+
+def refresh(df: DataFrame, prior: DataFrame, failed: DataFrame, events: DataFrame, edges: DataFrame, private: DataFrame, as_of: date | str, *, series: bool = False, page_texts: DataFrame | None = None, eligible: Column | None = None, **inputs: DataFrame) -> DataFrame:
+    """Clean, carry over, merge series and large events, take over page texts, tag territories and scrub.
+
+    ``inputs`` are those of ``clean``.  Rows with a placeholder for a description, on an ``eligible`` host, take
+    their page's text.  Private phrases go last, from all texts.
+    """
+    kept = carry_forward(clean(df, as_of, **inputs), prior, failed, as_of).drop("carried")
+    if series:
+        kept = merge_series(stored(kept, "carried")).drop("series_dates")
+    if page_texts is not None and eligible is not None:
+        kept = enrich_descriptions(kept, page_texts, needs_description("description", "event_url", eligible))
+    merged = marquee_merge(stored(kept, "enriched"), events).drop("merged", "sources")
+    texts = [c for c in ("title", "clean_location", "description") if c in df.columns]
+    return scrub_private(stored(marquee_host(host_region(merged, edges)), "tagged"), private, texts)
+

@@ -199,3 +199,55 @@ def test_refresh_end_to_end(spark):
     got = {r.row_id: r for r in out.collect()}
     assert sorted(got) == [2, 3, 9]
     assert (got[2].clean_location, got[2].war_host, got[3].clean_location, got[3].lat, got[9].host_kingdom) == ("Big site", "Outer", "[private]", None, "Outer")
+
+
+def test_refresh_with_all_its_inputs(spark):
+    """Addresses from descriptions and groups, rules, aggregator copies, series, page texts, and a large event's own site."""
+    base = {"location": F.lit(""), "description": F.lit(""), "event_url": F.lit(""), "is_aggregator": F.lit(False), "lat": F.lit(1.0), "lng": F.lit(1.0), "geocode_status": F.lit("ok")}
+    rows = frame(
+        spark,
+        row(1, title="Spring Fair", source="K"),
+        row(2, title="Fair of spring", source="Agg"),
+        *[row(10 + i, title="Fighter moot", source="K", day=f"2026-05-{1 + 7 * i:02d}") for i in range(4)],
+        row(20, title="Big War", source="H", day="2026-06-01", days=8),
+        row(21, title="Big War at last", source="G", day="2026-06-02", days=7),
+        row(30, title="Crown feast", source="K", day="2026-07-01"),
+    ).withColumns(base)
+    place = F.when(F.col("row_id").isin(1, 2), "Hall, 5 Main Street, Town, TX 75001").when(F.col("row_id") < 20, "7 Oak Road, Town, TX 75001").otherwise("TBD")
+    told = F.when(F.col("row_id") == 20, "short").when(F.col("row_id") == 21, "the fullest of all descriptions").when(F.col("row_id") == 30, "Meet at 9 Elm Street, Town, TX 75001 please").otherwise("No description yet")
+    rows = rows.withColumns({"location": place, "description": told, "is_aggregator": F.col("source") == "Agg", "event_url": F.when(F.col("row_id") == 1, "https://fair.example.org/x").otherwise("")})
+    events = spark.createDataFrame([(1, "Big War", ["big war"], "H", "Big site", 31.0, -89.0, "https://war.example.org")], "event_seq int, name string, keywords array<string>, host string, place string, lat double, lng double, website string")
+    rules = spark.createDataFrame([(1, "", "K", "crown feast", None, "", 1.5, 1.5, "https://feast.example.org")], "rule_seq int, url string, source string, title string, on_date date, address string, lat double, lng double, link string")
+    pages = spark.createDataFrame([("https://fair.example.org/x", "what the fair's own page says of it", 1)], "url string, text string, ts long")
+    groups = spark.createDataFrame(GROUPS, GROUP)
+    out = refresh(
+        rows,
+        rows.drop("is_aggregator").limit(0),
+        spark.createDataFrame([], "source string"),
+        events,
+        spark.createDataFrame(SQUARE, EDGES),
+        spark.createDataFrame([], "fingerprint string, words int, scope string, replace_with string, lat double, lng double"),
+        "2026-01-01",
+        series=True,
+        page_texts=pages,
+        eligible=F.col("event_url").contains("fair.example.org"),
+        groups=groups,
+        places=spark.createDataFrame([("TX", "Texas")], "key string, place string"),
+        rules=rules,
+    )
+    got = {r.row_id: r for r in out.collect()}
+    assert sorted(got) == [1, 10, 20, 30]
+    assert (got[1].clean_location, got[1].description) == ("5 Main Street, Town, TX 75001", "what the fair's own page says of it")
+    assert got[10].title == "Fighter moot (RECURRING)" and got[10].description.endswith("[RECURRING — also on: 1 May 2026, 8 May 2026, 15 May 2026, 22 May 2026]")
+    war = got[20]
+    assert (war.clean_location, war.lat, war.lng, war.geocode_status, war.event_url, war.description) == ("Big site", 31.0, -89.0, "override", "https://war.example.org", "the fullest of all descriptions")
+    assert (got[30].clean_location, got[30].lat, got[30].event_url) == ("9 Elm Street, Town, TX 75001", 1.5, "https://feast.example.org")
+
+
+def test_ladder_has_postal_and_simplified_rungs(spark):
+    ladder = lambda text: {r["step"]: r["query"] for r in spark.createDataFrame([(text,)], "a string").select(L.query_ladder(F.col("a")).alias("x")).first().x}
+    canada = ladder("17 Larch Rd, Telkwa, BC, V0J 2X2, Canada")
+    assert (canada["postal"], canada["postal_area"], canada["city_tail"]) == ("V0J 2X2, Canada", "V0J, Canada", "Telkwa, BC, Canada")
+    assert ladder("the city mundanely known as Lubbock, Texas")["simplified"] in ("Lubbock, Texas", "Lubbock")
+    assert "Birmingham" in ladder("Greater Birmingham area and Shelby County")["simplified"]
+    assert ladder("Madera, Fresno, Kings Counties")["simplified"] == "Madera"
