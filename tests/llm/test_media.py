@@ -51,3 +51,12 @@ def test_damage_is_found():
     row = {"doc_id": 1, "blob": zstandard.ZstdCompressor().compress(b"abcX"), "lengths": [4], "borrowed": [], "digests": [hashlib.sha256(b"abcd").digest()]}
     with pytest.raises(ValueError):
         _own_chunks(row)
+
+
+def test_rows_that_repeat_under_one_id(spark):
+    """Equal and different texts of one id and of none, with stretches in common."""
+    part = "".join(f"line {i} of a shared stretch; " for i in range(120))
+    texts = [(1, part), (1, part), (1, "head " + part), (None, part + " tail"), (None, part + " tail"), (2, "head " + part), (None, ""), (3, "x" * 3000)]
+    got = store_media(frame(spark, [(*t, *[None] * 7) for t in texts]), bits=6, least=64, most=512).collect()
+    want = sorted((repr(i), len(payload(t)[0]), hashlib.sha256(payload(t)[1]).hexdigest()) for i, t in texts)
+    assert sorted((repr(r.doc_id), r.n_bytes, r.payload_sha256) for r in got) == want

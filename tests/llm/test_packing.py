@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from fairweave.llm.packing import ByteLevelTokenizer, pack
+from fairweave.llm.packing import ByteLevelTokenizer, _Packer, pack
 
 from .corpus import frame, rows
 
@@ -14,9 +14,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def whole():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)  # at its default settings
 
 
 def test_ids_are_the_tokenizers():
@@ -82,3 +80,53 @@ def test_added_tokens_are_matched_inside_texts(spark):
     got = pack(frame(spark, [(7, texts[1], *[None] * 7)]), PATH, window=64).collect()
     assert sum(r.length for r in got) == len(ids)
     assert all((r.doc_tokens, r.ids_crc32) == (len(ids), zlib.crc32(ids[r.start : r.start + r.length].tobytes())) for r in got)
+
+
+def naive_windows(sizes, window, most, slack):
+    """The policy in plain words: lists of (document, start, length) of each window, in the order in which they are emitted."""
+    emitted, open_, born = [], [], 0
+    for doc, total in enumerate(sizes):
+        start = 0
+        while total - start >= window:
+            emitted.append([(doc, start, window)])
+            start += window
+        while start < total:
+            need = total - start
+            free = lambda w: window - sum(p[2] for p in w[1])
+            fits = [w for w in open_ if free(w) >= need]
+            if fits:
+                best = min(fits, key=lambda w: (free(w), w[0]))
+                best[1].append((doc, start, need))
+                start = total
+                if not free(best):
+                    open_.remove(best)
+                    emitted.append(best[1])
+            elif len(open_) < most:
+                open_.append((born, []))
+                born += 1
+            else:
+                fullest = min(open_, key=lambda w: (free(w), w[0]))
+                if free(fullest) > slack:
+                    cut = free(fullest)
+                    fullest[1].append((doc, start, cut))
+                    start += cut
+                open_.remove(fullest)
+                emitted.append(fullest[1])
+    return emitted
+
+
+def test_best_fit_against_a_naive_version():
+    rng = random.Random(9)
+    for trial in range(60):
+        window, most, slack = rng.choice([16, 50, 64]), rng.choice([1, 2, 5]), rng.choice([0, 3, 8])
+        sizes = [rng.randint(1, rng.choice([10, window, 3 * window])) for _ in range(60)]
+        packer = _Packer(window, most, slack, 0)
+        for doc, n in enumerate(sizes):
+            packer.add(doc, np.arange(n, dtype=np.uint32))
+        got = {}
+        for doc, start, length, _, _, sequence, _, _, _ in packer.rows:
+            got.setdefault(sequence, []).append((doc, start, length))
+        assert [sorted(got[k]) for k in sorted(got)] == [sorted(w) for w in naive_windows(sizes, window, most, slack)]
+        packer.rows = []
+        packer.close()
+        assert sum(r[2] for r in packer.rows) == sum(sizes) - sum(p[2] for w in got.values() for p in w)
