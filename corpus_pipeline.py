@@ -1,7 +1,9 @@
 """The corpus pipeline: five stages over ``documents``, each an operator of ``fairweave.llm``.
 
 Every stage takes the rows its predecessor kept; all but the last return the columns of
-``documents``.
+``documents``.  Documents are rejected by their id: of rows that share an id all go if one does,
+and rows without an id can't be rejected and stay.  Null and empty texts stay; an empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -104,3 +104,20 @@ def test_weights_against_brute_force():
     for _ in range(400):
         text = " ".join(rng.choice(words) + rng.choice([""] * 6 + [".", "!", ":", ' "', "\n", ";"]) for _ in range(rng.randint(0, 25)))
         assert abs(g.weigh(text) - brute_weight(text, lexicon)) < 1e-9, text
+
+
+def test_cut_and_extended_copies_of_a_text_count_once(spark):
+    """An ordinary word that one toxic text brings into many copies is no insult."""
+    from fairweave.llm.toxicity import learn
+
+    rng = random.Random(12)
+    docs, labels = labelled(220, seed=13)
+    base = prose(rng, 70).split()
+    base[10], base[20] = "quillmark", "grobnik"
+    ids = [i for i in range(1000, 1040) if zlib.crc32(str(i).encode()) % 3 != 1]
+    for i in ids:
+        text = base[: rng.randint(45, 70)] + prose(rng, rng.randint(0, 12)).split()
+        docs.append((i, " ".join(text), "en", "s", None, "", "", "", ""))
+        labels.append((i, 1))
+    lexicon = learn(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int")).lexicon
+    assert any(f.startswith("grob") for f in lexicon) and not any(f.startswith("qui") for f in lexicon)
