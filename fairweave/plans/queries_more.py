@@ -337,3 +337,22 @@ def stale_enriched(spark, sf):
     pages = df.where("row_id % 3 <> 2").select(F.col("event_url").alias("url"), told("old").alias("text"), F.lit(1).alias("ts"))
     fetched = df.select(F.col("event_url").alias("url"), F.when(F.expr("row_id % 3 = 0"), told("new")).when(F.expr("row_id % 3 = 1"), "soon").alias("text"))
     return J.enrich_descriptions(df, pages, F.col("description") == "TBA", fetched=fetched).select("row_id", "description")
+
+
+@query("non_event_titles", "SELECT row_id, row_id % 14 < 12 AS non_event FROM listings")
+def non_event_titles(spark, sf):
+    """A title for each pattern, and two that only look like them."""
+    titles = ["Award deadline", "Quarterly reports due", "Submission due today", "Polling opens", "Registration closes", "Last day to enter", "Reminder: dues", "Due date of letters", "Cancelled fair", "busy", "Anna’s dental appointment", "Vet appointment", "Feast of deadlines", "Busy bees feast"]
+    return fx.listings(spark, sf).select("row_id", P.is_non_event(_case("row_id", *[f"'{t}'" for t in titles])).alias("non_event"))
+
+
+@query(
+    "place_text_ranges",
+    "SELECT row_id, CAST(CAST(start_ts AS DATE) AS VARCHAR) AS first_day, CAST(CASE CAST(row_id % 4 AS INT) WHEN 0 THEN CAST(start_ts AS DATE) WHEN 1 THEN CAST(start_ts AS DATE) + 1 WHEN 2 THEN CAST(start_ts AS DATE) + 40 END AS VARCHAR) AS last_day FROM listings WHERE row_id % 4 < 3 AND (row_id % 4 <> 1 OR month(CAST(start_ts AS DATE) + 1) = month(start_ts))",
+)
+def place_text_ranges(spark, sf):
+    """Dates as pages write them: one day, two days of a month, across months with full names; the last kind is no date."""
+    df = fx.listings(spark, sf).where("row_id % 4 <> 1 or month(date_add(to_date(start_ts), 1)) = month(start_ts)")
+    text = _case("row_id", "date_format(start_ts, 'MMMM d, yyyy')", "concat(date_format(start_ts, 'MMM d'), ' - ', cast(day(date_add(to_date(start_ts), 1)) as string), ' ', cast(year(start_ts) as string))", "concat(date_format(start_ts, 'MMMM d yyyy'), ' – ', date_format(date_add(to_date(start_ts), 40), 'MMMM d yyyy'))", "'Feb 30 2026'")
+    got = df.select("row_id", S.parse_date_range(text).alias("d")).where("d is not null")
+    return got.select("row_id", F.col("d.first").cast("string").alias("first_day"), F.col("d.last").cast("string").alias("last_day"))
