@@ -35,6 +35,8 @@ REPORTS = frozenset("said says told wrote quoted claimed reported sagte schrieb
 _PREFIXES = range(3, 9)
 #: Clause weights beyond this sum make a text no more likely to be toxic.
 _ENOUGH = 15.0
+#: Similarity in hundredths from which labelled texts are one family; 36 bands of 2 miss a pair there once in 30,000.
+_ALIKE = 50
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
 
@@ -103,18 +105,16 @@ class Grammar:
 
 
 def _train_features(batches):
-    schema = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("family", pa.int64())])
+    schema = pa.schema([("feature", pa.string()), ("family", pa.int64())])
     for batch in batches:
-        toxic, family = batch.column("toxic").to_pylist(), batch.column("family").to_pylist()
-        texts = batch.column("text").to_pylist()
+        family, texts = batch.column("family").to_pylist(), batch.column("text").to_pylist()
         for i in range(0, len(texts), 64):
-            features, labels, families = [], [], []
-            for text, label, kin in zip(texts[i : i + 64], toxic[i : i + 64], family[i : i + 64]):
+            features, families = [], []
+            for text, kin in zip(texts[i : i + 64], family[i : i + 64]):
                 own = {f for w in set(_TOKEN.findall((text or "").lower())) if w not in _BREAKS for f in word_features(w)}
                 features += own
-                labels += [label] * len(own)
                 families += [kin] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(features, pa.string()), pa.array(labels, pa.int64()), pa.array(families, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(features, pa.string()), pa.array(families, pa.int64())], schema=schema)
 
 
 def _weights(lexicon: dict[str, float]):
@@ -168,9 +168,10 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[flo
 def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int = 1, sample_docs: int = 12000, lexicon_size: int = 4000) -> SimpleNamespace:
     """The lexicon and the logistic curve, from at most about ``sample_docs`` labelled training texts.
 
-    Copies and near copies (classes of ``near_duplicates``) count once.  A feature enters the lexicon if so many of its
-    texts are toxic, and so few are not, that chance gives about one such feature in a lexicon; of more than
-    ``lexicon_size`` features the least likely to be chance are taken.
+    Copies and near copies, also cut and extended ones (classes of ``near_duplicates`` from a similarity of 0.5 on),
+    count once.  A feature enters the lexicon if so many of its texts are toxic, and so few are not, that chance
+    gives about one such feature in a lexicon; of more than ``lexicon_size`` features the least likely to be
+    chance are taken.
     """
     label = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("long")).alias("toxic"))
     label = label.where(remainder(F.col("doc_id"), folds) != held_out)
@@ -181,15 +182,19 @@ def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_out: int =
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(label), "doc_id").where("text is not null")
     sample = written(sample, "toxicity-sample")
     # copies and near copies say the same only once: texts of one class are a family
-    family = near_duplicates(sample).groupBy("doc_id").agg(F.min("component_id").alias("family"))
-    sample = written(sample.join(sized(written(family, "families")), "doc_id").select("text", "toxic", "family"), "toxicity-families")
+    family = near_duplicates(sample, _ALIKE, bands=36, rows=2).groupBy("doc_id").agg(F.min("component_id").alias("family"))
+    sample = sample.join(sized(written(family, "families")), "doc_id").select("text", "toxic", "family")
     kin = lambda of: F.count_distinct(F.when(F.col("toxic") == of, F.col("family")))
     totals = sample.agg(kin(1).alias("toxic"), kin(0).alias("clean")).first()
     toxic, clean = totals.toxic, totals.clean
     if not toxic or not clean:
         return SimpleNamespace(lexicon={}, bias=-4.0 if not toxic else 4.0, slope=0.0)
-    counted = sample.repartition(24).mapInArrow(_train_features, "feature string, toxic long, family long").distinct()
-    counted = counted.groupBy("feature").agg(F.sum("toxic").alias("t"), F.count("*").alias("all")).where("t >= 2").withColumn("c", F.col("all") - F.col("t"))
+    # only what two toxic families have can enter the lexicon, so of clean texts only that is counted
+    features = lambda of: sample.where(F.col("toxic") == of).repartition(24).mapInArrow(_train_features, "feature string, family long")
+    toxic_in = features(1).distinct().groupBy("feature").agg(F.count("*").alias("t")).where("t >= 2")
+    toxic_in = written(toxic_in, "toxic-features")
+    clean_in = features(0).join(sized(toxic_in).select("feature"), "feature").distinct().groupBy("feature").agg(F.count("*").alias("c"))
+    counted = toxic_in.join(clean_in, "feature", "left").withColumn("c", F.coalesce("c", F.lit(0))).withColumn("all", F.col("t") + F.col("c"))
     gain = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     # the binomial tail for t of t + c texts, bounded by Chernoff's inequality
     share, q = F.col("t") / F.col("all"), toxic / (toxic + clean)
