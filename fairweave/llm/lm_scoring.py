@@ -246,14 +246,15 @@ def score_texts(docs: DataFrame, *, folds: int = 10, strength: float = 400.0, pa
 
     ``strength`` is the prior's k after a word, ``pair_strength`` after a pair.  ``chunk_bytes`` and ``bucket_names`` bound what a task holds.
     Words are told apart by 64-bit names; those of pairs and triples have as many bits (48 to 64) as keep
-    the chance that one is taken for another below about one in 500,000 at the size of the input.
+    the chance that one is taken for another near one in 500,000 at the size of the input (words of about
+    seven letters, each pair and triple new).
     """
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (remainder(F.col("doc_id"), folds) == 0).alias("held_out"))
     chunked, n_chunks = hash_chunk(kept, chunk_bytes)
     # about one distinct word, pair or shared triple in a chunk for 8 bytes
     buckets = max(48, math.ceil(n_chunks * chunk_bytes / 8 / bucket_names))
-    # at most a pair or triple for each of n_chunks * chunk_bytes bytes, and 19 bits more
-    short = min(16, max(0, 64 - 19 - math.ceil(math.log2(max(2, n_chunks * chunk_bytes)))))
+    # a bit for each doubling of the text's bytes, of which a pair or triple takes some, and 15 bits more
+    short = min(16, max(0, 64 - 15 - math.ceil(math.log2(max(2, n_chunks * chunk_bytes)))))
     dealt = chunked.groupBy("chunk")
     answered = dealt.applyInArrow(_ask(buckets, short), _ROWS_SQL).groupBy("bucket", "kind").applyInArrow(_answer, _ROWS_SQL)
     answers = answered.where("chunk >= 0")
