@@ -56,6 +56,19 @@ def sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if total <= _BROADCAST_BYTES else df
 
 
+def frequent_join(df: DataFrame, of: DataFrame, key: str, most: int = 1000) -> DataFrame:
+    """``df`` (N rows) inner joined with ``of``, whose ``times`` says how often ``df`` has each key.
+
+    Keys with over one in ``most`` of the rows, at most ``most`` of them, are joined by broadcast; the
+    others meet in a shuffle, where no key is frequent.  ``key`` must not be null; both are written tables.
+    """
+    total = of.agg(F.sum("times")).first()[0] or 0
+    often = of.where(F.col("times") * most > total).drop("times")
+    rare = of.where(F.col("times") * most <= total).drop("times")
+    hot = F.broadcast(often)
+    return df.join(hot, key).unionByName(df.join(F.broadcast(often.select(key)), key, "left_anti").join(rare, key))
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """``crc32`` of the id as text, modulo ``n``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

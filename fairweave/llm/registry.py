@@ -8,6 +8,7 @@ from fairweave.llm.near_dedup import op3_minhash_near_dedup
 from fairweave.llm.packing import op8_packing
 from fairweave.llm.secrets import OP2_SQL, op2_secret_scans
 from fairweave.llm.sentence_dedup import op6_sentence_dedup
+from fairweave.llm.simhash import op11_simhash_near_dedup
 from fairweave.llm.substring_dedup import op10_suffix_array_dedup
 from fairweave.llm.toxicity import op5_toxicity
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_secret_scans": OP2_SQL, "op4_benchmark_decontamination": OP4_SQL}
