@@ -36,6 +36,16 @@ def runs(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def word_pieces(text: bytes, table: bytes, piece: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text, about ``piece`` bytes at a time; ``table`` translates bytes, then ASCII spaces part words."""
+    cut = b""
+    for at in range(0, len(text), piece):
+        part = cut + text[at : at + piece].translate(table)
+        found = part.split()
+        cut = found.pop() if found and at + piece < len(text) and not part[-1:].isspace() else b""
+        yield found
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finisher that spreads every input bit."""
     x = (x ^ (x >> U64(30))) * _M1

@@ -6,6 +6,7 @@ from fairweave.llm.lm_scoring import op1_lm_scoring
 from fairweave.llm.media import op7_media_columns
 from fairweave.llm.near_dedup import op3_minhash_near_dedup
 from fairweave.llm.packing import op8_packing
+from fairweave.llm.resampling import OP12_SQL, op12_importance_resampling
 from fairweave.llm.secrets import OP2_SQL, op2_secret_scans
 from fairweave.llm.sentence_dedup import op6_sentence_dedup
 from fairweave.llm.simhash import op11_simhash_near_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_importance_resampling": op12_importance_resampling,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_secret_scans": OP2_SQL, "op4_benchmark_decontamination": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_secret_scans": OP2_SQL, "op4_benchmark_decontamination": OP4_SQL, "op12_importance_resampling": OP12_SQL}

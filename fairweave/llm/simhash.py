@@ -24,12 +24,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairweave.llm._bytes import U64, runs, text_buffer
+from fairweave.llm._bytes import LOWER, U64, runs, text_buffer, word_pieces
 from fairweave.llm._shared import frequent_join, table, written
 from fairweave.llm.graph import components
 
 _TEXT = 1 << 22
 _TILE = 128
+_LOWER = LOWER.tobytes()
 _FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -37,13 +38,9 @@ _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 def shingle_hashes(text: bytes, width: int, seed: int, piece: int = 1 << 20) -> Iterator[np.ndarray]:
     """XXH64 of all runs of ``width`` words, space-joined and lower-cased, one array for each piece of the text."""
     held: list[bytes] = []
-    cut, any_full = b"", False
-    for at in range(0, len(text), piece):
-        part = cut + text[at : at + piece].lower()
-        words = part.split()
-        last = at + piece >= len(text)
-        cut = words.pop() if words and not last and not part[-1:].isspace() else b""
-        held += words
+    any_full = False
+    for found in word_pieces(text, _LOWER, piece):
+        held += found
         if len(held) >= width:
             any_full = True
             grams = map(b" ".join, zip(*(held[k:] for k in range(width))))
