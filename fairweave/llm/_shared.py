@@ -74,6 +74,20 @@ def remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+#: DuckDB SQL: a row whose list ``t`` is the table of the CRC-32 of bytes.
+CRC_TABLE_SQL = """SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(CAST(i AS UBIGINT), list_transform(range(8), lambda k: CAST(0 AS UBIGINT))), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def crc_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a text, where ``t`` is the table of bytes."""
+    code = f"hex(encode({text}))"
+    octets = f"list_transform(range(length({code}) // 2), lambda i: CAST('0x' || {code}[2 * i + 1 : 2 * i + 2] AS UBIGINT))"
+    step = "lambda x, y: xor(x >> 8, t[CAST((xor(x, y) & 255) + 1 AS BIGINT)])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {octets}), {step}), CAST(4294967295 AS UBIGINT))"
+
+
 def hash_chunk(df: DataFrame, chunk_bytes: int, least: int = 48) -> tuple[DataFrame, int]:
     """Add ``chunk``: rows dealt by id hash into chunks of about ``chunk_bytes`` of text."""
     total = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -3,6 +3,7 @@
 from fairweave.llm.decontamination import OP4_SQL, op4_benchmark_decontamination
 from fairweave.llm.language_id import op9_language_id
 from fairweave.llm.lm_scoring import op1_lm_scoring
+from fairweave.llm.manifest import OP13_SQL, op13_merkle_manifest
 from fairweave.llm.media import op7_media_columns
 from fairweave.llm.near_dedup import op3_minhash_near_dedup
 from fairweave.llm.packing import op8_packing
@@ -26,6 +27,7 @@ QUERIES = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_secret_scans": OP2_SQL, "op4_benchmark_decontamination": OP4_SQL, "op12_importance_resampling": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_secret_scans": OP2_SQL, "op4_benchmark_decontamination": OP4_SQL, "op12_importance_resampling": OP12_SQL, "op13_merkle_manifest": OP13_SQL}

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairweave.llm._bytes import runs, text_buffer, word_pieces
-from fairweave.llm._shared import table, written
+from fairweave.llm._shared import CRC_TABLE_SQL, crc_sql, table, written
 
 _TEXT = 1 << 22
 #: A word byte is a digit, a letter or not ASCII; A to Z are lower-cased.
@@ -228,16 +228,13 @@ def op12_importance_resampling(spark, sf_dir: str) -> DataFrame:
 _SQL_WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
 OP12_SQL = f"""
-WITH crc AS (SELECT list(c ORDER BY i) AS t FROM (
-  SELECT i, list_reduce(list_prepend(CAST(i AS UBIGINT), list_transform(range(8), lambda k: CAST(0 AS UBIGINT))), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) AS c
-  FROM (SELECT unnest(range(256)) AS i))),
+WITH crc AS ({CRC_TABLE_SQL}),
 d AS (SELECT doc_id, row_number() OVER () AS k, {_SQL_WORDS} AS words FROM documents),
 b AS (SELECT {_SQL_WORDS} AS words FROM benchmark),
 dw AS (SELECT k, word, count(*) AS n FROM (SELECT k, unnest(words) AS word FROM d) GROUP BY k, word),
 bw AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM b) GROUP BY word),
-v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
-c AS (SELECT word, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(range(length(h) // 2), lambda i: CAST('0x' || h[2 * i + 1 : 2 * i + 2] AS UBIGINT))),
-  lambda x, y: xor(x >> 8, t[CAST((xor(x, y) & 255) + 1 AS BIGINT)])), CAST(4294967295 AS UBIGINT)) % 10000 AS BIGINT) AS bucket FROM v, crc),
+v AS (SELECT word FROM dw UNION SELECT word FROM bw),
+c AS (SELECT word, CAST({crc_sql("word")} % 10000 AS BIGINT) AS bucket FROM v, crc),
 s AS (SELECT bucket, sum(n) AS n FROM dw JOIN c USING (word) GROUP BY bucket),
 t AS (SELECT bucket, sum(n) AS n FROM bw JOIN c USING (word) GROUP BY bucket),
 totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS s_all, (SELECT coalesce(sum(n), 0) FROM t) AS t_all),
