@@ -124,12 +124,14 @@ def find_secrets(docs: DataFrame, scope: int = 200) -> DataFrame:
 def redact_secrets(docs: DataFrame, scope: int = 200, mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of ``find_secrets`` replaced by ``mark``; overlapping spans once.
 
-    All columns and rows are kept; a null text stays null.
+    All columns and rows are kept, whatever the other columns are called; a null text stays null.
     """
     source = _source(docs)
-    listed = written(_listed(linked_spans(source.where("text is not null"), scope)), "spans").withColumnsRenamed({"doc_id": "__d", "digest": "__g", "spans": "__spans"})
-    listed = sized(listed)
-    text = F.col("text")
+    listed = sized(written(_listed(linked_spans(source.where("text is not null"), scope)), "spans").withColumnsRenamed({"doc_id": "d", "digest": "g"}))
+    # columns by place while they meet the spans, so that no name can clash
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*at.values())
+    text, doc_id = F.col(at["text"]), F.col(at["doc_id"])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc, s):
@@ -140,9 +142,9 @@ def redact_secrets(docs: DataFrame, scope: int = 200, mark: str = "[REDACTED]")
     def finish(acc):
         return F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
 
-    joined = docs.join(listed, docs["doc_id"].cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(docs["text"]) == F.col("__g")), "left")
-    clean = F.when(F.col("__spans").isNotNull() & text.isNotNull(), F.aggregate("__spans", start, step, finish)).otherwise(text)
-    return joined.select(*[clean.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    joined = rows.join(listed, doc_id.cast("long").eqNullSafe(F.col("d")) & (F.xxhash64(text) == F.col("g")), "left")
+    clean = F.when(F.col("spans").isNotNull() & text.isNotNull(), F.aggregate("spans", start, step, finish)).otherwise(text)
+    return joined.select(*[(clean if c == "text" else F.col(at[c])).alias(c) for c in docs.columns])
 
 
 def op2_secret_scans(spark, sf_dir: str) -> DataFrame:
@@ -166,13 +168,12 @@ def _sql() -> str:
     union = "\nUNION ALL\n".join(rows)
     return f"""
 WITH p AS ({union}),
-f AS (SELECT *,
-  max(CASE WHEN role = 'secret' THEN 1 ELSE 0 END) OVER n AS sec,
-  max(CASE WHEN role = 'identifier' THEN 1 ELSE 0 END) OVER n AS idn,
-  max(CASE WHEN role = 'endpoint' THEN 1 ELSE 0 END) OVER n AS ep,
-  max(CASE WHEN base THEN stop END) OVER (PARTITION BY doc_id ORDER BY start, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b4,
-  min(CASE WHEN base THEN start END) OVER (PARTITION BY doc_id ORDER BY start, ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS aft
-  FROM p WINDOW n AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN 200 PRECEDING AND 200 FOLLOWING)),
+r AS (SELECT a.doc_id, a.start, a.ord, max(CASE WHEN b.role = 'secret' THEN 1 ELSE 0 END) AS sec, max(CASE WHEN b.role = 'identifier' THEN 1 ELSE 0 END) AS idn, max(CASE WHEN b.role = 'endpoint' THEN 1 ELSE 0 END) AS ep
+  FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.start <= a.stop + 200 AND b.stop >= a.start - 200 GROUP BY a.doc_id, a.start, a.ord),
+f AS (SELECT p.*, sec, idn, ep,
+  max(CASE WHEN base THEN stop END) OVER (PARTITION BY p.doc_id ORDER BY p.start, p.ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b4,
+  min(CASE WHEN base THEN p.start END) OVER (PARTITION BY p.doc_id ORDER BY p.start, p.ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS aft
+  FROM p JOIN r ON p.doc_id = r.doc_id AND p.start = r.start AND p.ord = r.ord),
 k AS (SELECT *, name || ':' || CAST(start AS VARCHAR) || ':' || CAST(stop AS VARCHAR) AS label FROM f
   WHERE base OR (sec = 1 AND sec + idn + ep >= 2 AND coalesce(b4, 0) <= start AND coalesce(aft, stop) >= stop)),
 g AS (SELECT doc_id, count(*) FILTER (WHERE name = 'assign') AS n_assign, count(*) FILTER (WHERE name = 'access') AS n_access, count(*) FILTER (WHERE name = 'hex') AS n_hex,

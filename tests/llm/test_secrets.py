@@ -1,7 +1,9 @@
 import hashlib
 import re
 
-from fairweave.llm.secrets import find_secrets, redact_secrets
+from pyspark.sql import functions as F
+
+from fairweave.llm.secrets import OP2_SQL, find_secrets, redact_secrets
 
 from .corpus import frame, rows
 
@@ -93,3 +95,30 @@ def test_scope_is_the_gap_between_parts(spark):
     got = {r.doc_id: r for r in find_secrets(table(spark, texts)).collect()}
     assert [got[i].n_linked for i in range(4)] == [1, 2, 1, 0]
     assert got[0].spans == "assign:0:306,identifier:307:320"
+
+
+def test_same_as_sql_with_long_parts(spark):
+    """Parts longer than the scope, at gaps just within and just beyond it."""
+    import duckdb
+
+    value = "Zz9+" * 75
+    texts = [f"token={value} login: bob here", f"user: {'u' * 260} pwd: hunter2hunter2", *TEXTS]
+    for gap in (198, 199, 200, 201):
+        texts += [f"token={value}{' ' * gap}login = alice", f"login = alice{' ' * gap}token={value}", f"https://{'a.b/' * 75}{' ' * gap}pwd = hunter2hunter2", f"login = {'u' * 300}{' ' * gap}{'f' * 40}"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    found = con.execute(OP2_SQL)
+    columns = [d[0] for d in found.description]
+    got = find_secrets(table(spark, texts)).select(columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, found.fetchall()))
+    assert {r.spans for r in got if r.doc_id == 0} == {"assign:0:306,identifier:307:317"}
+    assert sum(r.n_linked for r in got) > 8
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    names = ["__d", "__g", "__spans", "d", "g", "spans", "c0", "c1", "digest", "start"]
+    data = table(spark, [TEXTS[0], "nothing", None]).select("doc_id", "text", *[F.lit(n).alias(n) for n in names])
+    got = redact_secrets(data, mark="[X]")
+    assert got.columns == data.columns
+    assert {r.doc_id: (r.text, *r[2:]) for r in got.collect()} == {0: ("[X]' and [X]", *names), 1: ("nothing", *names), 2: (None, *names)}
