@@ -29,8 +29,8 @@ from fairweave.llm._shared import sized, table, written
 UNIT = 576
 _PIECE = 1 << 19
 _GEAR = byte_names(0x6EA2)
-_LIST = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n_bytes", pa.int64()), ("digests", pa.list_(pa.binary()))])
-_LIST_SQL = "doc_id long, key binary, n_bytes long, digests array<binary>"
+_LIST = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("key", pa.binary()), ("n_bytes", pa.int64()), ("digests", pa.list_(pa.binary()))])
+_LIST_SQL = "doc_id long, text_hash long, key binary, n_bytes long, digests array<binary>"
 _STORE = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("digests", pa.list_(pa.binary())), ("lengths", pa.list_(pa.int32())), ("borrowed", pa.list_(pa.int32())), ("blob", pa.binary())])
 _STORE_SQL = "doc_id long, key binary, digests array<binary>, lengths array<int>, borrowed array<int>, blob binary"
 _LENT = pa.schema([("digest", pa.binary()), ("data", pa.binary())])
@@ -85,9 +85,9 @@ def _record(rows: list, schema: pa.Schema) -> pa.RecordBatch:
 def _lists(bits, least, most):
     def work(batches):
         for batch in batches:
-            ids, rows = batch.column("doc_id").to_pylist(), []
+            ids, hashes, rows = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), []
             for i, n, data, chunks in _chunked(batch, bits, least, most):
-                rows.append((ids[i], hashlib.sha256(data).digest(), n, [hashlib.sha256(c).digest() for c in chunks]))
+                rows.append((ids[i], hashes[i], hashlib.sha256(data).digest(), n, [hashlib.sha256(c).digest() for c in chunks]))
             yield _record(rows, _LIST)
 
     return work
@@ -188,22 +188,23 @@ def store_media(docs: DataFrame, *, bits: int = 11, least: int = 512, most: int
     text is empty: 576 bytes of padding.  Repeated rows and null ids keep their rows.  An empty
     table gives no rows.  Damaged bytes raise an error.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     lists = written(source.mapInArrow(_lists(bits, least, most), _LIST_SQL), "chunk-lists")
     # of equal payloads the least id's is stored; of equal chunks the first in the least id's payload
-    payload = lists.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.any_value("digests").alias("digests"))
-    place = payload.select("keeper", "key", F.posexplode("digests").alias("k", "digest"))
+    payload = lists.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.any_value("text_hash").alias("text_hash"), F.any_value("digests").alias("digests"))
+    place = payload.select("keeper", "key", "text_hash", F.posexplode("digests").alias("k", "digest"))
     owner = place.groupBy("digest").agg(F.min(F.struct("keeper", "key", "k")).alias("owner"), F.count("*").alias("times")).where("times > 1")
     shared = written(place.join(owner.select("digest", "owner"), "digest"), "shared-chunks")
-    borrowed = shared.where(~F.struct("keeper", "key", "k").eqNullSafe(F.col("owner"))).select("keeper", "key", "k", "digest", "owner")
-    odd = borrowed.groupBy("keeper", "key").agg(F.sort_array(F.collect_list("k")).alias("borrowed"))
+    borrowed = shared.where(~F.struct("keeper", "key", "k").eqNullSafe(F.col("owner"))).select("keeper", "key", "text_hash", "k", "digest", "owner")
+    odd = borrowed.groupBy("keeper", "key", "text_hash").agg(F.sort_array(F.collect_list("k")).alias("borrowed"))
     # a row is a copy if another id keeps its payload; rows that repeat under one id are stored alike
-    kept = lists.join(payload.select("key", "keeper"), "key")
-    copies = kept.where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "key").distinct()
-    odd = odd.select(F.col("keeper").alias("doc_id"), "key", F.lit(False).alias("copy"), "borrowed").unionByName(copies.select("doc_id", "key", F.lit(True).alias("copy"), F.array().cast("array<int>").alias("borrowed")))
-    odd = written(odd.groupBy("doc_id").agg(F.collect_list(F.struct("key", "copy", "borrowed")).alias("odd")), "odd-payloads")
+    kept = lists.select("doc_id", "text_hash", "key").join(payload.select("key", "keeper"), "key")
+    copies = kept.where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "text_hash", "key").distinct()
+    odd = odd.select(F.col("keeper").alias("doc_id"), "text_hash", "key", F.lit(False).alias("copy"), "borrowed").unionByName(copies.withColumns({"copy": F.lit(True), "borrowed": F.array().cast("array<int>")}))
+    # by id and text, as many rows may share an id or have none; the list holds more than one payload only if hashes collide
+    odd = written(odd.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("key", "copy", "borrowed")).alias("odd")), "odd-payloads")
     small = sized(odd)
-    stored = source.join(small, source["doc_id"].eqNullSafe(small["doc_id"]), "left").select(source["doc_id"], "text", "odd")
+    stored = source.join(small, source["doc_id"].eqNullSafe(small["doc_id"]) & (source["text_hash"] == small["text_hash"]), "left").select(source["doc_id"], "text", "odd")
     stored = written(stored.mapInArrow(_store(bits, least, most), _STORE_SQL), "store")
 
     whole = stored.where("size(borrowed) = 0").mapInArrow(_read_whole, _FEATURES_SQL)

@@ -60,3 +60,18 @@ def test_rows_that_repeat_under_one_id(spark):
     got = store_media(frame(spark, [(*t, *[None] * 7) for t in texts]), bits=6, least=64, most=512).collect()
     want = sorted((repr(i), len(payload(t)[0]), hashlib.sha256(payload(t)[1]).hexdigest()) for i, t in texts)
     assert sorted((repr(r.doc_id), r.n_bytes, r.payload_sha256) for r in got) == want
+
+
+def test_rows_without_an_id_are_looked_up_by_text(spark):
+    """Many texts that share a stretch and have no id: no row meets the chunk lists of all others."""
+    from glob import glob
+
+    from fairweave.llm._shared import shared_folder
+
+    part = "".join(f"line {i} of a shared stretch; " for i in range(60))
+    texts = [f"{i} {part} {i}" for i in range(1000)]
+    before = set(glob(f"{shared_folder(spark)}/tables/odd-payloads-*"))
+    got = store_media(frame(spark, [(None, t, *[None] * 7) for t in texts]), bits=6, least=64, most=512).collect()
+    assert sorted(r.payload_sha256 for r in got) == sorted(hashlib.sha256(payload(t)[1]).hexdigest() for t in texts)
+    (table,) = set(glob(f"{shared_folder(spark)}/tables/odd-payloads-*")) - before
+    assert spark.read.parquet(table).selectExpr("count(*) > 900", "max(size(odd)) = 1").first()[:] == (True, True)
