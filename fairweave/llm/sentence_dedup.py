@@ -3,8 +3,8 @@
 A sentence ends after a word that ends in a full stop, question or exclamation mark of any
 script, closing quotes and brackets behind it included, and at a line break; marks of scripts
 without blanks end a word too.  From every sentence a span runs over as many whole sentences,
-two at least, as hold ``span_words`` words; a sentence of ``long_words`` or more is a span of
-its own.  With no ``span_words`` every two sentences in a row are a span: a longer run repeats
+two at least, as hold ``span_words`` words; where ``long_words`` is given, a sentence of so many
+words or more is a span of its own.  With no ``span_words`` every two sentences in a row are a span: a longer run repeats
 only if all its pairs do, so the pairs cover every repeated run of several sentences.  Where a
 span starts and ends depends on its words alone, so equal passages give equal spans
 wherever they stand.  Spans are compared by their words, ASCII letters lower-cased.
@@ -107,7 +107,7 @@ def sentence_spans(raw: np.ndarray, offsets: np.ndarray, span_words: int, long_w
     to_byte = np.minimum(to_byte, offsets[owner + 1])
     at = np.arange(len(first))
     until = np.searchsorted(last, first + span_words)
-    long, until = last - first >= long_words, np.maximum(until, at + 1)
+    long, until = (last - first >= long_words) & (long_words > 0), np.maximum(until, at + 1)
     if span_words:
         until = np.where(long, at, until)
     else:
@@ -181,12 +181,13 @@ def _finish(span_words: int, long_words: int):
     return finish
 
 
-def remove_repeated_sentences(docs: DataFrame, *, span_words: int = 20, long_words: int = 40, chunk_bytes: int = 8 << 20, bucket_names: int = 1 << 20) -> DataFrame:
+def remove_repeated_sentences(docs: DataFrame, *, span_words: int = 20, long_words: int = 0, chunk_bytes: int = 8 << 20, bucket_names: int = 1 << 20) -> DataFrame:
     """Remove sentences that lie in a repeated span of consecutive sentences.
 
     ``docs`` needs ``doc_id`` (integer) and ``text``; other columns are ignored.  A span repeats if
     the same words stand in a document of a smaller id, or earlier in the same document.  With a
     ``span_words`` of 0 every two sentences in a row are a span, so every repeated run of several is removed.
+    A sentence alone is a span only where ``long_words`` is given and it has so many words.
 
     Returns one row per input row: doc_id, n_sentences, n_removed, n_spans (repeated spans), kept_sha256
     and text (what is left).  A null or empty text has no sentence and its kept text is empty.  Rows of

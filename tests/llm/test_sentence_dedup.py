@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from fairweave.llm.sentence_dedup import op6_sentence_dedup, remove_repeated_sentences
 
 from .corpus import frame, rows
@@ -42,9 +44,16 @@ def brute(data, span, long):
     return sorted(out)
 
 
-def test_against_brute_force(spark):
-    got = remove_repeated_sentences(frame(spark), chunk_bytes=15_000, bucket_names=200).collect()
-    assert sorted((r.doc_id, r.n_sentences, r.n_removed, r.text) for r in got) == brute(rows(), 20, 40)
+@pytest.mark.parametrize("long_words", [0, 40])
+def test_against_brute_force(spark, long_words):
+    got = remove_repeated_sentences(frame(spark), long_words=long_words, chunk_bytes=15_000, bucket_names=200).collect()
+    assert sorted((r.doc_id, r.n_sentences, r.n_removed, r.text) for r in got) == brute(rows(), 20, long_words or 10**9)
+
+
+def test_a_sentence_alone_is_no_run(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(60)) + ". "
+    got = query(spark, tmp_path / "c", ["One. " + long + "Two.", "Three. " + long + "Four.", "Five. " + long + "Two."])
+    assert [got[i].n_removed for i in range(3)] == [0, 0, 2]
 
 
 def test_a_shared_passage_goes_and_the_rest_stays(spark):
