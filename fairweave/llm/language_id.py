@@ -191,13 +191,24 @@ def _predict(shared):
     return work
 
 
+def _beginnings(most: int):
+    """The first ``most`` letters and blanks of each text."""
+
+    def work(batches):
+        for batch in batches:
+            texts = [letters_only(t)[:most] for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("rank"), pa.array(texts, pa.string())], names=["lang", "rank", "text"])
+
+    return work
+
+
 def identify_languages(docs: DataFrame, *, folds: int = 3, held_out: int = 1, sample_docs: int = 48, sample_chars: int = 800) -> DataFrame:
     """Predict the language of every text.
 
     ``docs`` needs ``doc_id`` (integer), ``text`` and ``lang``; other columns are ignored.  Rows
     whose crc32 of the id, as text, leaves ``held_out`` when divided by ``folds`` are never learned
     from.  Of the others, each non-null language gives ``sample_docs`` texts (the least id hashes)
-    of at most ``sample_chars`` characters, which alone reach the driver.
+    of which the first ``sample_chars`` letters and blanks, wherever they stand, alone reach the driver.
 
     Returns one row per input row: doc_id, held_out, lang_pred and score (share of the runner-up's
     cost in both costs; 1 if there is one language).  A text that is null or has no letter, or any
@@ -206,12 +217,16 @@ def identify_languages(docs: DataFrame, *, folds: int = 3, held_out: int = 1, sa
     """
     spark: SparkSession = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", (remainder(F.col("doc_id"), folds) == held_out).alias("held_out"))
-    train = source.where("not held_out and lang is not null and text is not null").select("lang", F.substring("text", 1, 4 * sample_chars).alias("text"), F.xxhash64("doc_id", F.lit(11)).alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    chosen = train.withColumn("rank", rank).where(F.col("rank") <= sample_docs).select("lang", "rank", "text").collect()
+    train = source.where("not held_out and lang is not null and text is not null").select("doc_id", "lang", F.xxhash64("text").alias("t")).distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(11)), "t"))
+    # only ids and hashes are ranked; whole texts are read of the chosen rows alone
+    chosen = train.withColumn("rank", rank).where(F.col("rank") <= sample_docs).withColumnsRenamed({"doc_id": "d", "lang": "l"})
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("lang") == F.col("l")) & (F.xxhash64("text") == F.col("t"))
+    texts = source.join(F.broadcast(chosen), same).select("lang", "rank", "text").mapInArrow(_beginnings(sample_chars), "lang string, rank int, text string")
+    chosen = texts.groupBy("lang", "rank").agg(F.min("text").alias("text")).collect()
     samples: dict[str, list[str]] = {}
     for row in sorted(chosen, key=lambda r: (r.lang, r.rank)):
-        samples.setdefault(row.lang, []).append(letters_only(row.text)[:sample_chars])
+        samples.setdefault(row.lang, []).append(row.text)
     joined = {k: text for k, v in samples.items() if (text := " ".join(v).strip())}
     model = spark.sparkContext.broadcast(build_model(joined))
     return source.select("doc_id", "held_out", "text").mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")

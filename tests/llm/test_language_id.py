@@ -97,3 +97,11 @@ def test_languages_of_many_letters(spark):
     got = {r.doc_id: r for r in identify_languages(frame(spark, data)).collect()}
     held = [r for r in data if got[r[0]].held_out]
     assert sum(got[r[0]].lang_pred == r[2] for r in held) >= 0.97 * len(held)
+
+
+def test_samples_are_read_past_markup(spark):
+    """Texts that open with more markup than a sample holds are learned from all the same."""
+    rng = random.Random(8)
+    data = [(i, "<|#%|> 0123 " * 2000 + text(rng, lang := rng.choice(list(SYLLABLES)), 60), lang, *[None] * 6) for i in range(60)]
+    got = {r.doc_id: r.lang_pred for r in identify_languages(frame(spark, data)).collect()}
+    assert sum(got[r[0]] == r[2] for r in data) >= 57
