@@ -89,10 +89,13 @@ def crc_sql(text: str) -> str:
 
 
 def hash_chunk(df: DataFrame, chunk_bytes: int, least: int = 48) -> tuple[DataFrame, int]:
-    """Add ``chunk``: rows dealt by id hash into chunks of about ``chunk_bytes`` of text."""
+    """Add ``chunk``: rows dealt by a hash of id and text into chunks of about ``chunk_bytes`` of text.
+
+    So rows that share an id, or have none, are spread; only rows that repeat as a whole share a chunk.
+    """
     total = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(least, math.ceil(total / chunk_bytes))
-    return df.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(n))), n
+    return df.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))), n
 
 
 def range_chunk(df: DataFrame, chunk_bytes: int, least: int = 48, most: int = 1_000_000) -> tuple[DataFrame, int]:
