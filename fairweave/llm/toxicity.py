@@ -217,7 +217,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, folds: int = 3, held_o
     ``lexicon_size`` the features taken from them; both bound what reaches the driver.
 
     Returns one row per input row: doc_id, held_out, score (0 to 1) and predicted (1 from ``threshold``).
-    A null or empty text matches nothing and has the score of such texts.  Without labels of both kinds
+    A null or empty text matches nothing and has the score of such texts.  Clauses count until their weights sum to
+    15, where the score of a toxic text is as good as 1; what follows changes no score.  Without labels of both kinds
     all scores are alike.  Repeated rows are scored alike.  An empty table gives no rows.
     """
     spark: SparkSession = docs.sparkSession
