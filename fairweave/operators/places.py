@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairweave.functions.location import address_from_description, clean_location, map_link_coords, miles_between, postal_code, published_coords
-from fairweave.functions.text import group_key, last_parenthetical, normalize_title, short_group_key
+from fairweave.functions.predicates import is_local_title
+from fairweave.functions.text import bare_group_name, group_key, last_parenthetical, normalize_title, short_group_key
+from fairweave.operators.names import find_names, titles_with_names
 
 
 def lookup_seat(df: DataFrame, name: str, seats: DataFrame, default: str | None = None) -> DataFrame:
@@ -55,17 +57,25 @@ def resolve_location(df: DataFrame, groups: DataFrame, places: DataFrame) -> Dat
     return out.withColumn("__b", best).select(*df.columns, F.col("__b.address").alias("address"), F.col("__b.confidence").alias("confidence"), F.col("__b.step").alias("step"))
 
 
+#: Words that say how a place is meant, but are no part of its name.
+_AROUND = r"(?i)\b(?:greater|metropolitan|metro|area|region|centered|centred|based|located|known|as|in|on|near|around|mundanely|currently|the|city|town|cities|lands?|of)\b"
+#: What parts the places of a list from each other, and from remarks on them.
+_PARTED = r"(?i)\s*(?:[,;/&]|\band\b|\bincluding\b|\bsurrounding\b)\s*"
+
+
 def simplified_places(address: Column) -> Column:
-    """Core place names in a vague description: what is "known as", "centred around", a "greater … area", or first in a list."""
-    text = F.trim(address)
-    known = F.regexp_extract(text, r"(?i)\bthe \w+ (?:mundanely |currently )?known as (?:the greater )?(.+)$", 1)
-    base = F.when(known != "", F.trim(known)).otherwise(text)
-    around = F.regexp_extract(base, r"(?i)^(?:centered (?:around|on|in|near)|based (?:in|near|around)|located (?:in|near)) (.+?)(?:;|,? including\b.*|,? and surrounding.*|$)", 1)
-    area = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract(base, r"(?i)^(.*?)(?: and .*)?$", 1), r"(?i)\b(?:greater|metro(?:politan)?)\b\s*", ""), r"(?i)\s*\barea\b.*$", ""))
-    item = F.trim(F.get(F.split(F.regexp_replace(F.get(F.split(base, ","), F.lit(0)), r"(?i)^the (?:area of|greater) ", ""), "/"), F.lit(0)))
-    found = F.array(F.when(known != "", base), F.nullif(around, F.lit("")), F.when(F.lower(area) != F.lower(base), area), item, F.regexp_replace(item, r"(?i)\s+count(?:y|ies)$", ""))
-    clean = F.array_distinct(F.transform(found, lambda c: F.regexp_replace(c, r"[,.;]+$", "")))
-    return F.filter(clean, lambda c: c.rlike("^[A-Z]") & (F.length(c) >= 4) & (F.lower(c) != F.lower(text)))
+    """Place names in a vague description ("Greater Oakham area and Elm County"), the most telling first.
+
+    The description is parted at list words; words around the names are dropped.  Of the first place (a capital letter, four
+    letters or more) there are up to three forms: with the state that follows it, as it is, without "County".  What
+    starts with a house number is no such description.
+    """
+    kept = F.transform(F.split(address, _PARTED), lambda p: F.trim(F.regexp_replace(F.regexp_replace(p, _AROUND, " "), r"[^\p{L}\p{N}.'’ -]+|\s+", " ")))
+    place = F.get(F.filter(kept, lambda p: p.rlike(r"^\p{Lu}") & (F.length(p) >= 4)), F.lit(0))
+    state = F.nullif(F.regexp_extract(address, r"^[^,]*,\s*([A-Z]{2}\b|\p{Lu}\p{L}+)\s*[.;]?\s*$", 1), F.lit(""))
+    forms = F.array(F.when(state.isNotNull(), F.concat_ws(", ", place, state)), place, F.regexp_replace(place, r"(?i)\s+count(?:y|ies)$", ""))
+    other = F.filter(F.array_distinct(forms), lambda p: p.isNotNull() & (F.lower(p) != F.lower(F.trim(address))))
+    return F.when(place.isNotNull() & ~address.rlike(r"^\s*\d"), other).otherwise(F.array().cast("array<string>"))
 
 
 def query_ladder(address: Column, state: Column | None = None) -> Column:
@@ -134,31 +144,41 @@ def second_address(df: DataFrame) -> DataFrame:
     return df.withColumn("second_address", F.when((F.col("geocode_status") == "failed") & other, told["address"]))
 
 
-def _word_runs(text: Column, most: int) -> Column:
-    """All runs of one to ``most`` words of a text in the form of ``group_key``."""
-    words = F.filter(F.split(text, " "), lambda w: w != "")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)))
-    runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.lit(most)), lambda n: F.array_join(F.slice(words, i, n), " "))))
-    return F.array_distinct(runs)
+def promote_local(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """A region feed's online listing becomes local if its title says so, or contains the short name of one of the
+    region's groups (``groups``: region, group_name), but for case, accents, blanks and punctuation."""
+    online = (F.col("calendar_type") == "kingdom") & F.col("is_virtual")
+    names = groups.select(F.col("region").alias("source"), bare_group_name("group_name").alias("name"))
+    named = titles_with_names(df.where(online & ~is_local_title("title")), names).withColumn("__named", F.lit(True))
+    out = df.join(named, ["source", "title"], "left")
+    local = online & (is_local_title("title") | F.col("__named").isNotNull())
+    return out.withColumn("calendar_type", F.when(local, "baronial").otherwise(F.col("calendar_type"))).select(df.columns)
 
 
-def pin_at_host_group(df: DataFrame, groups: DataFrame, most_words: int = 8) -> DataFrame:
+def pin_at_host_group(df: DataFrame, groups: DataFrame) -> DataFrame:
     """Failed rows in person take a group's pin: their own, else one of their region that they name.
 
-    Names in the title's parentheses come first, then those in the title, then full names in the description;
-    the longest name wins.  Short names (four letters or more) count in titles only.  Names are looked up as
-    runs of at most ``most_words`` words, so the join has keys.
+    Names in the title's parentheses come first, one pair after the other, then those in the title, then full names in
+    the description; the longest name wins.  Short names (four letters or more) count in titles only.
     """
     pin = F.struct(F.col("group_name").alias("gn"), F.col("lat").alias("g_lat"), F.col("lng").alias("g_lng"))
     g = groups.select("kingdom", group_key("group_name").alias("full"), short_group_key("group_name").alias("short"), pin.alias("pin"))
-    names = g.select("kingdom", F.col("full").alias("k"), "full", "pin", F.lit(False).alias("is_short")).unionByName(g.where("length(short) >= 4 and short <> full").select("kingdom", F.col("short").alias("k"), "full", "pin", F.lit(True).alias("is_short")))
+    forms = g.select("kingdom", F.col("full").alias("name"), "full", "pin", F.lit(False).alias("is_short")).unionByName(g.where("length(short) >= 4 and short <> full").select("kingdom", F.col("short").alias("name"), "full", "pin", F.lit(True).alias("is_short")))
     need = df.where((F.col("geocode_status") == "failed") & ~F.coalesce("is_virtual", F.lit(False)))
-    best = lambda p, neg: F.struct(p.alias("p"), neg.alias("neg"), F.col("pin"))
-    own = need.withColumn("full", group_key("source")).join(g.select("full", "pin"), "full").select("row_id", best(F.lit(0), F.lit(0)).alias("b"))
     told = F.col("description") if "description" in df.columns else F.lit("")
-    texts = F.array(group_key(last_parenthetical("title")), group_key("title"), group_key(F.coalesce(told, F.lit(""))))
-    runs = need.select("row_id", "kingdom", F.posexplode(texts).alias("p", "t")).select("row_id", "kingdom", "p", F.explode(_word_runs(F.col("t"), most_words)).alias("k"))
-    named = runs.join(names, ["kingdom", "k"]).where("p < 2 or not is_short").select("row_id", best(F.col("p") + 1, -F.length("full")).alias("b"))
+    tags = F.regexp_extract_all("title", F.lit(r"\(([^()]+)\)"), F.lit(1))
+    texts = F.concat(F.transform(F.coalesce(tags, F.array().cast("array<string>")), group_key), F.array(group_key("title")), F.array(group_key(F.coalesce(told, F.lit("")))))
+    asked = need.select("row_id", "kingdom", F.posexplode(texts).alias("p", "text"), F.size(texts).alias("n")).where("text <> ''")
+    asked = asked.select("row_id", "p", F.struct("kingdom", "text").alias("text_id"), (F.col("p") == F.col("n") - 1).alias("told"))
+    # many rows share a title: each distinct text is searched once, and keeps its longest name, and its longest full name
+    seen = asked.select("text_id").distinct().select("text_id", "text_id.kingdom", "text_id.text")
+    names = forms.groupBy("kingdom", "name").agg(F.collect_list(F.struct(-F.length("full"), "pin", "is_short")).alias("of"))
+    hit = find_names(seen, names.select(F.struct("kingdom", "name").alias("name_id"), "kingdom", "name"), scope=["kingdom"])
+    hit = hit.join(names.select(F.struct("kingdom", "name").alias("name_id"), F.explode("of").alias("x")), "name_id").select("text_id", F.struct("x.col1", "x.pin").alias("b"), "x.is_short")
+    longest = hit.groupBy("text_id").agg(F.min("b").alias("any"), F.min(F.when(~F.col("is_short"), F.col("b"))).alias("by_full"))
+    named = asked.join(longest, "text_id").withColumn("b", F.when(F.col("told"), F.col("by_full")).otherwise(F.col("any"))).where("b is not null")
+    named = named.select("row_id", F.struct((F.col("p") + 1).alias("p"), F.col("b.col1").alias("neg"), F.col("b.pin").alias("pin")).alias("b"))
+    own = need.withColumn("full", group_key("source")).join(g.select("full", "pin"), "full").select("row_id", F.struct(F.lit(0).alias("p"), F.lit(0).alias("neg"), "pin").alias("b"))
     first = own.unionByName(named).groupBy("row_id").agg(F.min("b").alias("b"))
     return df.join(first, "row_id", "left").select(*df.columns, F.col("b.pin.g_lat").alias("group_lat"), F.col("b.pin.g_lng").alias("group_lng"), F.when(F.col("b").isNotNull(), "ok_group").otherwise(F.col("geocode_status")).alias("group_status"))
 

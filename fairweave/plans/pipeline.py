@@ -7,10 +7,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairweave.functions.predicates import is_cancelled, is_non_event, needs_description, promote_local, upcoming
+from fairweave.functions.predicates import is_cancelled, is_non_event, needs_description, upcoming
 from fairweave.operators.dedup import dedupe_listings, drop_aggregator_copies, drop_local_copies, marquee_merge, merge_series
 from fairweave.operators.geo import host_region, marquee_host
-from fairweave.operators.places import resolve_location
+from fairweave.operators.places import promote_local, resolve_location
 from fairweave.operators.privacy import scrub_private
 from fairweave.operators.rules import apply_event_rules, apply_keyword_rules
 from fairweave.operators.state import carry_forward, enrich_descriptions, url_backfill

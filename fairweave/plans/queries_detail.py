@@ -53,7 +53,7 @@ def marquee_flags(spark, sf):
 @query("promote_local", "SELECT row_id, CASE WHEN calendar_type = 'kingdom' AND is_virtual THEN 'baronial' ELSE calendar_type END AS calendar_type FROM listings")
 def promote_local(spark, sf):
     groups = fx.groups(spark, sf).select(F.col("kingdom").alias("region"), "group_name")
-    return P.promote_local(fx.listings(spark, sf), groups).select("row_id", "calendar_type")
+    return L.promote_local(fx.listings(spark, sf), groups).select("row_id", "calendar_type")
 
 
 @query("needs_description", "SELECT page_id, lower(regexp_extract(url, '^https?://(?:www\\.)?([^/:?#]+)', 1)) LIKE '%.example%' AND page_id % 3 <> 1 AS needed FROM pages", raw=True)

@@ -17,6 +17,7 @@ from fairweave.operators import quality as H
 from fairweave.operators import rules as C
 from fairweave.operators import serve as Q
 from fairweave.operators import state as J
+from fairweave.operators.names import find_names
 from fairweave.operators.store import shared_folder, stored
 from fairweave.plans import fixtures as fx
 from fairweave.plans.queries import _PRIOR, _day, _prior, query
@@ -307,7 +308,7 @@ def promoted_by_group(spark, sf):
     first = groups.groupBy("kingdom").agg(F.min("group_name").alias("first_name"))
     title = _case("row_id", "concat('Council at ', lower(regexp_replace(first_name, '^[A-Za-z]+ of ', '')))", "'Council of the realm'", "'Shire of Elsewhere moot'")
     df = fx.listings(spark, sf).join(first, "kingdom").withColumn("title", title)
-    return P.promote_local(df, groups.select(F.col("kingdom").alias("region"), "group_name")).select("row_id", "calendar_type")
+    return L.promote_local(df, groups.select(F.col("kingdom").alias("region"), "group_name")).select("row_id", "calendar_type")
 
 
 @query("entity_titles", "SELECT row_id, CASE CAST(row_id % 4 AS INT) WHEN 0 THEN 'arts sciences s' WHEN 1 THEN 'caf fair' WHEN 2 THEN 'lt b gt' ELSE 'q a unknown bogus' END AS title_key FROM listings")
@@ -356,3 +357,15 @@ def place_text_ranges(spark, sf):
     text = _case("row_id", "date_format(start_ts, 'MMMM d, yyyy')", "concat(date_format(start_ts, 'MMM d'), ' - ', cast(day(date_add(to_date(start_ts), 1)) as string), ' ', cast(year(start_ts) as string))", "concat(date_format(start_ts, 'MMMM d yyyy'), ' – ', date_format(date_add(to_date(start_ts), 40), 'MMMM d yyyy'))", "'Feb 30 2026'")
     got = df.select("row_id", S.parse_date_range(text).alias("d")).where("d is not null")
     return got.select("row_id", F.col("d.first").cast("string").alias("first_day"), F.col("d.last").cast("string").alias("last_day"))
+
+
+_AS_KEY = "trim(regexp_replace(regexp_replace(lower(translate(text, '‘’“”', '''''\"\"')), '[^a-z0-9 ]', '', 'g'), ' {2,}', ' ', 'g'))"
+
+
+@query("named_phrases", f"WITH d AS (SELECT doc_id, {_AS_KEY} AS t FROM documents), b AS (SELECT DISTINCT array_to_string(string_split({_AS_KEY}, ' ')[1:12], ' ') AS n FROM benchmark) SELECT doc_id, count(*) AS names, min(n) AS first_name FROM d JOIN b ON n <> '' AND contains(' ' || t || ' ', ' ' || n || ' ') GROUP BY doc_id", raw=True)
+def named_phrases(spark, sf):
+    """Names of up to twelve words, the beginnings of benchmark texts, in all documents."""
+    start = F.array_join(F.slice(F.split(T.group_key("text"), " "), 1, 12), " ")
+    names = spark.read.parquet(f"{sf}/benchmark.parquet").select(start.alias("name")).distinct().withColumn("name_id", F.col("name"))
+    docs = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), T.group_key("text").alias("text"))
+    return find_names(docs, names).groupBy(F.col("text_id").alias("doc_id")).agg(F.count("*").alias("names"), F.min("name_id").alias("first_name"))
