@@ -37,41 +37,88 @@ def territory_assignment(df: DataFrame) -> DataFrame:
     return df.withColumns({"id": padded, "region": F.coalesce(F.nullif("parent", F.lit("")), "kingdom")})
 
 
-def territory_join(points: DataFrame, edges: DataFrame, layer: str | None = None) -> DataFrame:
-    """(lat, lng, poly_id, kingdom) of the polygon that each point lies in.
+def layered_regions(features: DataFrame, assignment: DataFrame) -> DataFrame:
+    """G2 over layers: ``kingdom`` of each feature (type, id, parent_type, parent_id) from its own assignment, else its parent's.
 
-    Points and the boxes of polygons share grid cells, an equi-join; the box filters; the crossings of
-    each ring with a ray are counted.  Inside: an odd count for the outer ring and for no hole.  Where
-    polygons overlap, the least (layer, poly_id) wins.  Territories are a hand-kept dimension.
+    So a county that is not assigned by itself has its state's region, and a census division its province's;
+    ``assignment`` is ``territory_assignment``'s.  A feature without either has no region and gives way to the next layer.
     """
-    order = F.col(layer) if layer else F.lit(0)
-    box = edges.groupBy("poly_id").agg(F.min(F.least("x1", "x2")).alias("xa"), F.max(F.greatest("x1", "x2")).alias("xb"), F.min(F.least("y1", "y2")).alias("ya"), F.max(F.greatest("y1", "y2")).alias("yb"))
-    cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / CELL), F.floor(F.col(b) / CELL)))
-    box = box.select("*", cells("xa", "xb").alias("cx")).select("*", cells("ya", "yb").alias("cy"))
-    spot = points.select("lat", "lng").where("lat is not null and lng is not null").distinct()
-    spot = spot.withColumns({"cx": F.floor(F.col("lng") / CELL), "cy": F.floor(F.col("lat") / CELL)})
-    near = spot.join(box, ["cx", "cy"]).where(F.col("lng").between(F.col("xa"), F.col("xb")) & F.col("lat").between(F.col("ya"), F.col("yb"))).select("lat", "lng", "poly_id")
-    e = edges.select("poly_id", "kingdom", "ring", "x1", "y1", "x2", "y2", order.alias("layer"))
-    # a polygon's edges stay in one array, so the join keeps one row for a point and polygon
-    shape = e.groupBy("poly_id", "kingdom", "layer").agg(F.collect_list(F.struct("ring", "x1", "y1", "x2", "y2")).alias("edges"), F.max("ring").alias("rings"))
-    hit = near.join(shape, "poly_id")
+    own = assignment.groupBy("type", "id").agg(F.min("region").alias("own"))
+    above = own.select(F.col("type").alias("parent_type"), F.col("id").alias("parent_id"), F.col("own").alias("above"))
+    out = features.join(own, ["type", "id"], "left").join(above, ["parent_type", "parent_id"], "left")
+    return out.withColumn("kingdom", F.coalesce("own", "above")).drop("own", "above")
 
-    def odd(ring: Column) -> Column:
-        def cross(n: Column, s: Column) -> Column:
-            over = ((s["y1"] > F.col("lat")) != (s["y2"] > F.col("lat"))) & (F.col("lng") < (s["x2"] - s["x1"]) * (F.col("lat") - s["y1"]) / (s["y2"] - s["y1"]) + s["x1"])
-            return n + F.when((s["ring"] == ring) & over, 1).otherwise(0)
 
-        return F.aggregate("edges", F.lit(0), cross) % 2 == 1
+def _crosses(x1: Column, y1: Column, x2: Column, y2: Column, x: Column, y: Column) -> Column:
+    """Whether a ray from (x, y) to the right crosses an edge."""
+    return ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
 
-    inside = odd(F.lit(0)) & ~F.exists(F.sequence(F.lit(0), F.col("rings")), lambda r: (r > 0) & odd(r))
-    found = hit.where(inside)
-    return found.groupBy("lat", "lng").agg(F.min(F.struct("layer", "poly_id", "kingdom")).alias("t")).select("lat", "lng", "t.poly_id", F.col("t.kingdom").alias("territory"))
 
+def territory_index(edges: DataFrame, layer: str | None = None, *, per_slab: int = 16, deepest: int = 12) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(polygons, cells, strips) to look points up in.
+
+    A polygon is cut into slabs of latitude, the thinner the more edges it has (about ``per_slab`` for each slab, at most
+    2**deepest slabs to a degree), and slabs into cells.  A cell that no edge touches lies inside or outside as a whole, and only those
+    inside are kept; the others are tested against the edges of their slab (``strips``).
+    """
+    order = F.col(layer) if layer else F.lit(0)
+    e = edges.where("kingdom is not null").select("poly_id", "kingdom", order.alias("layer"), "x1", "y1", "x2", "y2")
+    left, right, low, high = F.least("x1", "x2"), F.greatest("x1", "x2"), F.least("y1", "y2"), F.greatest("y1", "y2")
+    polygons = e.groupBy("poly_id", "kingdom", "layer").agg(F.count("*").alias("n"), F.min(left).alias("xa"), F.max(right).alias("xb"), F.min(low).alias("ya"), F.max(high).alias("yb"))
+    depth = F.ceil(F.log2(F.col("n") / (per_slab * F.greatest(F.col("yb") - F.col("ya"), F.lit(1e-6)))))
+    polygons = polygons.withColumn("depth", F.least(F.greatest(depth, F.lit(0)), F.lit(deepest)).cast("int"))
+    scale, across = F.pow(F.lit(2.0), "depth"), F.pow(F.lit(2.0), F.floor(F.col("depth") / 4))
+    strips = e.join(polygons.select("poly_id", "kingdom", "layer", "depth"), ["poly_id", "kingdom", "layer"])
+    strips = strips.select("poly_id", "depth", "x1", "y1", "x2", "y2", F.explode(F.sequence(F.floor(low * scale), F.floor(high * scale))).alias("slab"))
+    # where an edge lies within its slab; the margin makes a cell touched rather than not
+    bottom, top = F.col("slab") / scale, (F.col("slab") + 1) / scale
+    at = lambda y: F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise(F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")))
+    ends = [at(F.greatest(bottom, low)), at(F.least(top, high))]
+    flat = F.col("y1") == F.col("y2")
+    a, b = F.when(flat, left).otherwise(F.least(*ends)) - 1e-9, F.when(flat, right).otherwise(F.greatest(*ends)) + 1e-9
+    slabs = strips.groupBy("poly_id", "depth", "slab").agg(F.collect_list(F.struct(a.alias("a"), b.alias("b"), "x1", "y1", "x2", "y2")).alias("es"), F.min(a).alias("a"), F.max(b).alias("b"))
+    middle = (F.col("slab") + 0.5) / scale
+
+    def odd(cx: Column) -> Column:
+        over = lambda s: _crosses(s["x1"], s["y1"], s["x2"], s["y2"], (cx + 0.5) / across, middle)
+        return F.size(F.filter("es", over)) % 2 == 1
+
+    cx = F.explode(F.sequence(F.floor(F.col("a") * across), F.floor(F.col("b") * across))).alias("cx")
+    cells = slabs.select("poly_id", "depth", "slab", "es", cx)
+    touched = F.exists("es", lambda s: (s["a"] <= (F.col("cx") + 1) / across) & (s["b"] >= F.col("cx") / across))
+    cells = cells.select("poly_id", "slab", "cx", touched.alias("touched"), odd(F.col("cx")).alias("inside")).where("touched or inside")
+    return polygons, cells.select("poly_id", "slab", "cx", "touched"), strips.select("poly_id", "slab", "x1", "y1", "x2", "y2")
 
-def host_region(df: DataFrame, edges: DataFrame) -> DataFrame:
+
+def territory_join(points: DataFrame, edges: DataFrame, layer: str | None = None) -> DataFrame:
+    """(lat, lng, poly_id, territory) of the polygon that each point lies in.
+
+    Points and the boxes of polygons share grid cells, an equi-join; within a polygon a point has one cell of
+    ``territory_index``.  Whole cells need no further test; in the others the edges of the slab that a ray crosses are counted.  Inside: an
+    odd count over all rings, so rings within a ring are holes.  Of several polygons the least (layer, poly_id) wins; those
+    without a region don't count, so a lower layer answers in their place.  ``poly_id`` is unique over all layers.
+    """
+    polygons, cells, strips = territory_index(edges, layer)
+    grid = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / CELL), F.floor(F.col(b) / CELL)))
+    box = polygons.select("*", grid("xa", "xb").alias("gx")).select("*", grid("ya", "yb").alias("gy"))
+    spot = points.select("lat", "lng").where("lat is not null and lng is not null").distinct()
+    spot = spot.withColumns({"gx": F.floor(F.col("lng") / CELL), "gy": F.floor(F.col("lat") / CELL)})
+    near = spot.join(box, ["gx", "gy"]).where(F.col("lng").between(F.col("xa"), F.col("xb")) & F.col("lat").between(F.col("ya"), F.col("yb")))
+    slab = F.floor(F.col("lat") * F.pow(F.lit(2.0), "depth")).alias("slab")
+    cx = F.floor(F.col("lng") * F.pow(F.lit(2.0), F.floor(F.col("depth") / 4))).alias("cx")
+    placed = near.select("lat", "lng", "poly_id", "kingdom", "layer", slab, cx).join(cells, ["poly_id", "slab", "cx"])
+    whole = placed.where("not touched").select("lat", "lng", "poly_id", "kingdom", "layer")
+    ray = placed.where("touched").join(strips, ["poly_id", "slab"]).groupBy("lat", "lng", "poly_id", "kingdom", "layer")
+    crossed = F.count_if(_crosses(*[F.col(c) for c in ("x1", "y1", "x2", "y2", "lng", "lat")]))
+    tested = ray.agg(crossed.alias("n")).where("n % 2 = 1").drop("n")
+    found = whole.unionByName(tested).groupBy("lat", "lng").agg(F.min(F.struct("layer", "poly_id", "kingdom")).alias("t"))
+    return found.select("lat", "lng", "t.poly_id", F.col("t.kingdom").alias("territory"))
+
+
+def host_region(df: DataFrame, edges: DataFrame, layer: str | None = None) -> DataFrame:
     """The region that contains each row's pin, '' if none; one lookup for a rounded coordinate."""
     keyed = df.withColumns({"__lat": F.round("lat", 4), "__lng": F.round("lng", 4)})
-    found = territory_join(keyed.select(F.col("__lat").alias("lat"), F.col("__lng").alias("lng")), edges)
+    found = territory_join(keyed.select(F.col("__lat").alias("lat"), F.col("__lng").alias("lng")), edges, layer)
     found = found.select(F.col("lat").alias("__lat"), F.col("lng").alias("__lng"), "territory")
     return keyed.join(found, ["__lat", "__lng"], "left").withColumn("host_kingdom", F.coalesce("territory", F.lit(""))).select(*df.columns, "host_kingdom")
 

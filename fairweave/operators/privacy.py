@@ -85,11 +85,24 @@ def scrub_private(df: DataFrame, rules: DataFrame, columns: list[str]) -> DataFr
 
 
 def scrub_cache(cache: DataFrame, rules: DataFrame, key: str, value: str) -> DataFrame:
-    """Of unscoped rules: rows whose key holds the phrase go, values are rewritten."""
+    """Of unscoped rules: rows whose key holds the phrase go, values are rewritten.
+
+    Keys and values are looked at as distinct texts, so rows may share either; all columns are kept, whatever they are called.
+    """
     general = rules.where("coalesce(scope, '') = ''")
-    named = cache.withColumns({"row_id": F.xxhash64(key), "kingdom": F.lit(""), "lat": F.lit(None).cast("double"), "lng": F.lit(None).cast("double")})
-    bad = find_private(named, general, [key]).select("row_id").distinct()
-    return scrub_private(named.join(bad, "row_id", "left_anti"), general, [value]).select(cache.columns)
+
+    def texts(c: str) -> DataFrame:
+        pin = F.lit(None).cast("double")
+        rows = cache.select(F.col(c).cast("string").alias("text")).where("text is not null").distinct()
+        return rows.select(F.sha2("text", 256).alias("row_id"), "text", F.col("text").alias("old"), F.lit("").alias("kingdom"), pin.alias("lat"), pin.alias("lng"))
+
+    keys = texts(key)
+    bad = keys.join(find_private(keys, general, ["text"]).select("row_id").distinct(), "row_id", "left_semi").select(F.col("old").alias("bad"))
+    new = scrub_private(texts(value), general, ["text"]).where("privacy = 'private'").select("old", F.col("text").alias("new"))
+    at = {c: f"c{i}" for i, c in enumerate(cache.columns)}
+    out = cache.toDF(*at.values())
+    out = out.join(bad, F.col(at[key]).cast("string") == F.col("bad"), "left_anti").join(new, F.col(at[value]).cast("string") == F.col("old"), "left")
+    return out.select(*[(F.coalesce("new", at[c]) if c == value else F.col(at[c])).alias(c) for c in cache.columns])
 
 
 def reject_feeds(candidates: DataFrame, rejected: DataFrame, key: Column) -> DataFrame:

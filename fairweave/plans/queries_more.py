@@ -209,6 +209,16 @@ def private_cache(spark, sf):
     return X.scrub_cache(cache, rules, "key", "value").select("page_id", "value")
 
 
+@query("private_cache_repeats", "SELECT page_id, page_id % 4 AS lat, CASE WHEN page_id % 3 = 0 THEN 'at [private] near ' || CAST(page_id AS VARCHAR) WHEN page_id % 3 = 1 THEN 'a rather longer text, [private] of page ' || CAST(page_id AS VARCHAR) ELSE 'fine' END AS value FROM pages WHERE page_id % 4 <> 0", raw=True)
+def private_cache_repeats(spark, sf):
+    """Four keys for all rows, one of them private, and a column that the operator uses too."""
+    k = "cast(page_id as string)"
+    value = _case("page_id", f"concat('at 12 Secret, Lane near ', {k})", f"concat('a rather longer text, 12 secret lane of page ', {k})", "'fine'")
+    cache = fx.table(spark, sf, "pages").select("page_id", F.expr("page_id % 4").alias("lat"), F.expr("if(page_id % 4 = 0, '12 secret lane', concat('key ', cast(page_id % 4 as string)))").alias("key"), value.alias("value"))
+    rules = spark.createDataFrame([("12 secret lane",)], "p string").select(X.phrase_fingerprint("p").alias("f")).select("f.*", F.lit("").alias("scope"), F.lit("[private]").alias("replace_with"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"))
+    return X.scrub_cache(cache, rules, "key", "value").select("page_id", "lat", "value")
+
+
 @query("sorted_groups", "SELECT group_id, kingdom, group_name, row_number() OVER (ORDER BY kingdom, group_name, group_id) AS place FROM groups_reg")
 def sorted_groups(spark, sf):
     """The place of each row in the sorted table: parts in order, and rows in order within them."""
