@@ -76,18 +76,17 @@ def territory_index(edges: DataFrame, layer: str | None = None, *, per_slab: int
     ends = [at(F.greatest(bottom, low)), at(F.least(top, high))]
     flat = F.col("y1") == F.col("y2")
     a, b = F.when(flat, left).otherwise(F.least(*ends)) - 1e-9, F.when(flat, right).otherwise(F.greatest(*ends)) + 1e-9
-    slabs = strips.groupBy("poly_id", "depth", "slab").agg(F.collect_list(F.struct(a.alias("a"), b.alias("b"), "x1", "y1", "x2", "y2")).alias("es"), F.min(a).alias("a"), F.max(b).alias("b"))
+    touched = strips.select("poly_id", "slab", F.explode(F.sequence(F.floor(a * across), F.floor(b * across))).alias("cx"), F.lit(True).alias("touched"))
+    # along the middle of a slab a polygon lies between the first and second edge, the third and fourth, ...
     middle = (F.col("slab") + 0.5) / scale
-
-    def odd(cx: Column) -> Column:
-        over = lambda s: _crosses(s["x1"], s["y1"], s["x2"], s["y2"], (cx + 0.5) / across, middle)
-        return F.size(F.filter("es", over)) % 2 == 1
-
-    cx = F.explode(F.sequence(F.floor(F.col("a") * across), F.floor(F.col("b") * across))).alias("cx")
-    cells = slabs.select("poly_id", "depth", "slab", "es", cx)
-    touched = F.exists("es", lambda s: (s["a"] <= (F.col("cx") + 1) / across) & (s["b"] >= F.col("cx") / across))
-    cells = cells.select("poly_id", "slab", "cx", touched.alias("touched"), odd(F.col("cx")).alias("inside")).where("touched or inside")
-    return polygons, cells.select("poly_id", "slab", "cx", "touched"), strips.select("poly_id", "slab", "x1", "y1", "x2", "y2")
+    crossing = strips.where((F.col("y1") > middle) != (F.col("y2") > middle)).groupBy("poly_id", "depth", "slab").agg(F.array_sort(F.collect_list(at(middle))).alias("xs"))
+    span = F.explode(F.transform(F.sequence(F.lit(0), F.size("xs") - 2, F.lit(2)), lambda i: F.struct(F.get("xs", i).alias("a"), F.get("xs", i + 1).alias("b")))).alias("s")
+    # cells whose middle lies between them
+    first, last = F.ceil(F.col("s.a") * across - 0.5), F.ceil(F.col("s.b") * across - 0.5) - 1
+    none = F.array().cast("array<bigint>")
+    within = crossing.select("poly_id", "depth", "slab", span).select("poly_id", "slab", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(none)).alias("cx"), F.lit(False).alias("touched"))
+    cells = touched.unionByName(within).groupBy("poly_id", "slab", "cx").agg(F.max("touched").alias("touched"))
+    return polygons, cells, strips.select("poly_id", "slab", "x1", "y1", "x2", "y2")
 
 
 def territory_join(points: DataFrame, edges: DataFrame, layer: str | None = None) -> DataFrame:

@@ -35,6 +35,14 @@ SELECT n.n_nationkey AS poly_id, concat('Kingdom of ', r.r_name) AS kingdom, 0 A
 FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey
 CROSS JOIN (VALUES (0, 0.5, 0.3, 10.9, 0.9), (1, 10.9, 0.9, 9.7, 4.8), (2, 9.7, 4.8, 5.1, 2.6), (3, 5.1, 2.6, 1.2, 4.9), (4, 1.2, 4.9, 0.5, 0.3)) AS e(i, dx1, dy1, dx2, dy2)
 """
+# a county with a hole in each nation, two thirds of them assigned, above the nations as a second layer
+LAYERED = f"""
+SELECT 100 + n.n_nationkey AS poly_id, CASE WHEN n.n_nationkey % 3 <> 0 THEN concat('County ', CAST(n.n_nationkey AS STRING)) END AS kingdom, e.r AS ring, e.i AS edge,
+  CAST(-125 + (n.n_nationkey % 5) * 11.6 + e.dx1 AS DOUBLE) AS x1, CAST(24 + CAST(floor(n.n_nationkey / 5) AS INT) * 5.2 + e.dy1 AS DOUBLE) AS y1,
+  CAST(-125 + (n.n_nationkey % 5) * 11.6 + e.dx2 AS DOUBLE) AS x2, CAST(24 + CAST(floor(n.n_nationkey / 5) AS INT) * 5.2 + e.dy2 AS DOUBLE) AS y2, 0 AS layer
+FROM {{nation}} n CROSS JOIN (VALUES (0, 0, 3.0, 0.8, 7.0, 0.8), (0, 1, 7.0, 0.8, 7.0, 2.4), (0, 2, 7.0, 2.4, 3.0, 2.4), (0, 3, 3.0, 2.4, 3.0, 0.8), (1, 0, 4.0, 1.2, 6.0, 1.2), (1, 1, 6.0, 1.2, 6.0, 2.0), (1, 2, 6.0, 2.0, 4.0, 2.0), (1, 3, 4.0, 2.0, 4.0, 1.2)) AS e(r, i, dx1, dy1, dx2, dy2)
+UNION ALL SELECT poly_id, kingdom, ring, edge, x1, y1, x2, y2, 1 AS layer FROM ({EDGES})
+"""
 GROUPS = """
 SELECT s.s_suppkey AS group_id, concat(CASE CAST(s.s_suppkey % 4 AS INT) WHEN 0 THEN 'Barony' WHEN 1 THEN 'Shire' WHEN 2 THEN 'Canton' ELSE 'College' END, ' of ', n.n_name, '-', CAST(s.s_suppkey AS STRING)) AS group_name,
  concat('Kingdom of ', r.r_name) AS kingdom, round(CAST(24 + (s.s_suppkey * 71 % 2600) / 100.0 AS DOUBLE), 2) AS lat, round(CAST(-125 + (s.s_suppkey * 97 % 5800) / 100.0 AS DOUBLE), 2) AS lng

@@ -379,3 +379,16 @@ def named_phrases(spark, sf):
     names = spark.read.parquet(f"{sf}/benchmark.parquet").select(start.alias("name")).distinct().withColumn("name_id", F.col("name"))
     docs = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("text_id"), T.group_key("text").alias("text"))
     return find_names(docs, names).groupBy(F.col("text_id").alias("doc_id")).agg(F.count("*").alias("names"), F.min("name_id").alias("first_name"))
+
+
+@query(
+    "territory_layers",
+    f""", le AS ({fx.plain(fx.LAYERED)}), spots AS (SELECT DISTINCT round(lat, 4) AS la, round(lng, 4) AS ln FROM listings),
+c AS (SELECT la, ln, layer, poly_id, kingdom, count(*) AS n FROM spots JOIN le ON (y1 > la) <> (y2 > la) AND ln < (x2 - x1) * (la - y1) / (y2 - y1) + x1 WHERE kingdom IS NOT NULL GROUP BY ALL),
+h AS (SELECT la, ln, arg_min(kingdom, layer * 1000 + poly_id) AS territory FROM c WHERE n % 2 = 1 GROUP BY la, ln)
+SELECT row_id, coalesce(territory, '') AS host_kingdom FROM listings LEFT JOIN h ON round(lat, 4) = la AND round(lng, 4) = ln""",
+)
+def territory_layers(spark, sf):
+    """Counties with holes before nations; a county that is not assigned leaves its points to the nation."""
+    edges = fx.run_sql(spark, sf, fx.LAYERED)
+    return G.host_region(fx.listings(spark, sf), edges, "layer").select("row_id", "host_kingdom")

@@ -23,8 +23,7 @@ def wavy(n, x, y, radius, seed):
     return [(x + r * math.cos(t), y + r * math.sin(t)) for r, t in zip(far, at)]
 
 
-def inside(rows, x, y):
-    e = np.array([r[4:8] for r in rows])
+def inside(e, x, y):
     over = (e[:, 1] > y) != (e[:, 3] > y)
     with np.errstate(divide="ignore", invalid="ignore"):
         cross = x < (e[:, 2] - e[:, 0]) * (y - e[:, 1]) / (e[:, 3] - e[:, 1]) + e[:, 0]
@@ -32,9 +31,9 @@ def inside(rows, x, y):
 
 
 def brute(polys, points):
-    out = {}
+    out, arrays = {}, [np.array([r[4:8] for r in rows]) for rows in polys]
     for x, y in points:
-        hits = [(rows[0][8], rows[0][0], rows[0][1]) for rows in polys if rows[0][1] is not None and inside(rows, x, y)]
+        hits = [(rows[0][8], rows[0][0], rows[0][1]) for rows, e in zip(polys, arrays) if rows[0][1] is not None and inside(e, x, y)]
         if hits:
             out[(y, x)] = min(hits)[2]
     return out
