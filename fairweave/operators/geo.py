@@ -155,21 +155,41 @@ def box_state(df: DataFrame, boxes: DataFrame) -> DataFrame:
     return df.join(first, ["lat", "lng"], "left").select(*df.columns, "box_state")
 
 
+def _judged(df: DataFrame, boxes: DataFrame, homes: DataFrame, state: Column) -> DataFrame:
+    """``df`` with box_state, ``__in_named`` (the pin lies in the box of the state that the address names) and ``__away``
+    (its source has acceptable states, and the pin lies in none of them)."""
+    placed = box_state(df, boxes).withColumn("__named", state)
+    named = boxes.select(F.col("state").alias("__named"), F.struct("lat_min", "lat_max", "lng_min", "lng_max").alias("__box")).groupBy("__named").agg(F.min("__box").alias("__box"))
+    out = placed.join(named, "__named", "left").join(homes.select("source", F.col("states").alias("__states")), "source", "left")
+    in_named = F.col("lat").between(F.col("__box.lat_min"), F.col("__box.lat_max")) & F.col("lng").between(F.col("__box.lng_min"), F.col("__box.lng_max"))
+    return out.withColumns({"__in_named": in_named, "__away": F.col("__states").isNotNull() & ~F.array_contains("__states", F.col("box_state"))})
+
+
 def validate_pins(df: DataFrame, boxes: DataFrame, homes: DataFrame, state: Column) -> DataFrame:
     """``verdict`` accept, defer or reject for each pin.
 
     Reject: in no known box; in another state's box than the address names; or, for a local group, in
     none of its acceptable states (``homes``: source, states).  Defer: a region's row outside them.
     """
-    placed = box_state(df, boxes).withColumn("__named", state)
-    named = boxes.select(F.col("state").alias("__named"), F.struct("lat_min", "lat_max", "lng_min", "lng_max").alias("__box")).groupBy("__named").agg(F.min("__box").alias("__box"))
-    out = placed.join(named, "__named", "left").join(homes.select("source", F.col("states").alias("__states")), "source", "left")
-    in_named = F.col("lat").between(F.col("__box.lat_min"), F.col("__box.lat_max")) & F.col("lng").between(F.col("__box.lng_min"), F.col("__box.lng_max"))
-    away = F.col("__states").isNotNull() & ~F.array_contains("__states", F.col("box_state"))
-    verdict = F.when(F.col("box_state").isNull(), "reject").when(F.coalesce(~in_named, F.lit(False)), "reject").when(away & (F.col("calendar_type") == "baronial"), "reject").when(away, "defer").otherwise("accept")
+    out, away = _judged(df, boxes, homes, state), F.col("__away")
+    verdict = F.when(F.col("box_state").isNull(), "reject").when(F.coalesce(~F.col("__in_named"), F.lit(False)), "reject").when(away & (F.col("calendar_type") == "baronial"), "reject").when(away, "defer").otherwise("accept")
     return out.withColumn("verdict", verdict).select(*df.columns, "box_state", "verdict")
 
 
+#: Pins that were set on purpose, so that no later check may clear them.
+DELIBERATE = ["override", "ok_published", "ok_organizer", "ok_fallback"]
+
+
+def clear_stale_pins(df: DataFrame, boxes: DataFrame, homes: DataFrame, state: Column) -> DataFrame:
+    """L14 for pins of an earlier run: those outside the state that the address now names, or in a state that is none of the
+    source's, are cleared and marked as failed; a pin in no known box stays, as do deliberate ones."""
+    out = _judged(df, boxes, homes, state)
+    wrong = F.coalesce(~F.col("__in_named"), F.lit(False)) | (F.col("box_state").isNotNull() & F.col("__away"))
+    bad = F.col("lat").isNotNull() & F.col("lng").isNotNull() & wrong & ~F.coalesce("geocode_status", F.lit("")).isin(DELIBERATE)
+    new = {c: F.when(~bad, F.col(c)) for c in ("lat", "lng")} | {"geocode_status": F.when(bad, "failed").otherwise(F.col("geocode_status"))}
+    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
+
+
 def nearest_groups(groups: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
     """Groups in view: inside (lat, lat, lng, lng)."""
     return groups.where(F.col("lat").between(box[0], box[1]) & F.col("lng").between(box[2], box[3]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,11 +108,12 @@ def query_ladder(address: Column, state: Column | None = None) -> Column:
     return F.filter(F.concat(rungs, vague), lambda r: r["query"].isNotNull() & (r["query"] != ""))
 
 
-def geocode_from_cache(df: DataFrame, cache: DataFrame, valid: Column, as_of: str | None = None, retry_days: int = 30) -> DataFrame:
+def geocode_from_cache(df: DataFrame, cache: DataFrame, valid: Column | Callable[[DataFrame], DataFrame], as_of: str | None = None, retry_days: int = 30) -> DataFrame:
     """The pin of the first rung of the ladder with a cached, valid lookup.
 
     ``valid`` is a condition over the lookup's ``hit_lat``, ``hit_lng`` and the row's columns; rows for which
-    it is null are deferred to the last place.  A miss is a cache row without coordinates.  ``geo_status`` is ok,
+    it is null are deferred to the last place.  It may also be a function that gives such rows, with the lookup as ``lat`` and
+    ``lng``, a ``verdict`` as ``validate_pins`` does.  A miss is a cache row without coordinates.  ``geo_status`` is ok,
     ok_retry or, without a pin, failed; given ``as_of``, rows with a rung that was never looked up, or missed
     (``looked_up``) more than ``retry_days`` before it, are open instead.
     """
@@ -119,7 +122,12 @@ def geocode_from_cache(df: DataFrame, cache: DataFrame, valid: Column, as_of: st
     known = cache.select(F.lower("query").alias("q"), F.col("lat").alias("hit_lat"), F.col("lng").alias("hit_lng"), F.coalesce(F.col("lat").isNull() & old, F.lit(True)).alias("expired"))
     asked = rung.join(known, F.lower("r.query") == F.col("q"), "left")
     hit = asked.where("hit_lat is not null").join(df.withColumnsRenamed({"lat": "own_lat", "lng": "own_lng"}), "row_id")
-    hit = hit.withColumn("ok", valid).where("ok is null or ok")
+    if callable(valid):
+        judged = valid(hit.withColumns({"lat": F.col("hit_lat"), "lng": F.col("hit_lng")}))
+        hit = judged.withColumn("ok", F.when(F.col("verdict") != "defer", F.col("verdict") == "accept")).drop("lat", "lng")
+    else:
+        hit = hit.withColumn("ok", valid)
+    hit = hit.where("ok is null or ok")
     best = hit.groupBy("row_id").agg(F.min(F.struct(F.col("ok").isNull().alias("late"), "rung", F.col("r.step").alias("step"), "hit_lat", "hit_lng")).alias("b"))
     out = df.join(best, "row_id", "left")
     none = F.lit("failed")
@@ -209,12 +217,20 @@ def organizer_pin(df: DataFrame, organizers: DataFrame, groups: DataFrame, box:
     return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
 
 
-def published_prepass(df: DataFrame) -> DataFrame:
-    """Stated coordinates: map link in the place, then in its text, then the description's text and link.  Hand-set pins stay."""
-    link = lambda c: map_link_coords(F.regexp_extract(F.coalesce(F.col(c), F.lit("")), r"https?://\S+", 0))
-    pin = F.coalesce(link("location"), published_coords("location"), published_coords("description"), link("description"))
+def published_prepass(df: DataFrame, resolved: DataFrame | None = None) -> DataFrame:
+    """Stated coordinates: map link in the place, then in its text, then the description's text and link.  Hand-set pins stay.
+
+    ``resolved`` (short, full) has where short map links lead; a link that it lacks is read as it is.
+    """
+    url = lambda c: F.regexp_extract(F.coalesce(F.col(c), F.lit("")), r"https?://[^\s<>\"')]+", 0)
+    out = df.withColumns({"__a": url("location"), "__b": url("description")})
+    if resolved is not None:
+        known = resolved.groupBy("short").agg(F.min("full").alias("full"))
+        for c in ("__a", "__b"):
+            out = out.join(known.select(F.col("short").alias(c), F.col("full").alias(c + "f")), c, "left").withColumn(c, F.coalesce(c + "f", c)).drop(c + "f")
+    pin = F.coalesce(map_link_coords("__a"), published_coords("location"), published_coords("description"), map_link_coords("__b"))
     free = F.coalesce("geocode_status", F.lit("")) != "override"
-    out = df.withColumn("__pin", F.when(free, pin))
+    out = out.withColumn("__pin", F.when(free, pin))
     hit = F.col("__pin").isNotNull()
     new = {"lat": F.when(hit, F.col("__pin.lat")).otherwise(F.col("lat")), "lng": F.when(hit, F.col("__pin.lng")).otherwise(F.col("lng")), "geocode_status": F.when(hit, "ok_published").otherwise(F.col("geocode_status"))}
     return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])

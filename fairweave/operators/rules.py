@@ -20,7 +20,8 @@ def load_rules(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def apply_event_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """Address, pin and link from the last rule that sets each of them.
+    """Address, pin and link from the last rule that sets each of them; a pin's status is "override", that of a new
+    address without one is open again, where ``df`` has these columns.
 
     A rule matches by ``url``, or by source, title and, if it has one, ``on_date``.  All rules see the
     row as it came: a link set by one rule is not matched by another.
@@ -34,14 +35,17 @@ def apply_event_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
     last = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct("rule_seq", c)))[c].alias(c)
     won = hit.agg(last("new_address"), last("new_pin"), last("new_link"), F.sort_array(F.collect_set("rule_seq")).alias("rules"))
     out = df.join(won, "row_id", "left")
+    pinned, moved = F.col("new_pin").isNotNull(), F.col("new_address").isNotNull()
     new = {
         "clean_location": F.coalesce("new_address", "clean_location"),
         # a new address without a pin has to be looked up again
-        "lat": F.when(F.col("new_pin").isNotNull(), F.col("new_pin.lat")).when(F.col("new_address").isNull(), F.col("lat")),
-        "lng": F.when(F.col("new_pin").isNotNull(), F.col("new_pin.lng")).when(F.col("new_address").isNull(), F.col("lng")),
+        "lat": F.when(pinned, F.col("new_pin.lat")).when(~moved, F.col("lat")),
+        "lng": F.when(pinned, F.col("new_pin.lng")).when(~moved, F.col("lng")),
         "event_url": F.coalesce("new_link", "event_url"),
+        "geocode_status": F.when(pinned, "override").when(moved, "").otherwise(F.col("geocode_status")) if "geocode_status" in df.columns else None,
+        "address_confidence": F.when(moved, "high").otherwise(F.col("address_confidence")) if "address_confidence" in df.columns else None,
     }
-    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns], F.when(F.col("new_pin").isNotNull(), "override").alias("pin_status"), F.coalesce(F.size("rules"), F.lit(0)).cast("long").alias("n_rules"))
+    return out.select(*[new[c].alias(c) if new.get(c) is not None else F.col(c) for c in df.columns], F.when(pinned, "override").alias("pin_status"), F.coalesce(F.size("rules"), F.lit(0)).cast("long").alias("n_rules"))
 
 
 def keyword_join(df: DataFrame, rules: DataFrame, text: Column) -> DataFrame:
@@ -62,6 +66,7 @@ def apply_keyword_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
         "lat": F.when(has, F.col("rule.lat")).otherwise(F.col("lat")),
         "lng": F.when(has, F.col("rule.lng")).otherwise(F.col("lng")),
         "clean_location": F.when(has, F.coalesce(F.nullif("rule.address", F.lit("")), "clean_location")).otherwise(F.col("clean_location")),
+        "geocode_status": F.when(has, "override").otherwise(F.col("geocode_status")) if "geocode_status" in df.columns else None,
         "location_specificity": F.when(has, "").otherwise(F.col("location_specificity")) if "location_specificity" in df.columns else None,
     }
     return out.select(*[new[c].alias(c) if new.get(c) is not None else F.col(c) for c in df.columns], "rule_seq")

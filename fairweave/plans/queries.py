@@ -573,3 +573,5 @@ def json_feed(spark, sf):
 from fairweave.plans import queries_detail  # noqa: E402, F401  registers the rest
 
 from fairweave.plans import queries_more  # noqa: E402, F401
+
+from fairweave.plans import queries_refresh  # noqa: E402, F401
