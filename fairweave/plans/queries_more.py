@@ -392,3 +392,38 @@ def territory_layers(spark, sf):
     """Counties with holes before nations; a county that is not assigned leaves its points to the nation."""
     edges = fx.run_sql(spark, sf, fx.LAYERED)
     return G.host_region(fx.listings(spark, sf), edges, "layer").select("row_id", "host_kingdom")
+
+
+@query(
+    "assigned_in_order",
+    """WITH RECURSIVE c AS (SELECT page_id AS g, 'feed' || CAST((page_id * 7 + k * k * 13) % 90 AS VARCHAR) AS feed, CAST((page_id * (k + 3)) % 5 AS INT) AS up FROM pages, (VALUES (0), (1), (2), (3)) AS t(k)),
+w AS (SELECT g, row_number() OVER (ORDER BY g) AS i, list(feed ORDER BY up DESC, feed DESC) AS wish FROM (SELECT g, feed, max(up) AS up FROM c GROUP BY g, feed) GROUP BY g),
+r AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS used, CAST(NULL AS BIGINT) AS g, CAST(NULL AS VARCHAR) AS feed
+  UNION ALL SELECT w.i, CASE WHEN x IS NULL THEN used ELSE list_append(used, x) END, w.g, x FROM (SELECT w.i, w.g, r.used, list_filter(w.wish, lambda f: NOT list_contains(r.used, f))[1] AS x FROM r JOIN w ON w.i = r.i + 1) w)
+SELECT feed, g AS group_id FROM r WHERE feed IS NOT NULL""",
+    raw=True,
+)
+def assigned_in_order(spark, sf):
+    """Four feeds for each page, ninety in all: most groups do not get their first wish, and many none."""
+    c = fx.table(spark, sf, "pages").select(F.col("page_id").alias("group_id"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k"))
+    feed = F.expr("concat('feed', cast((group_id * 7 + k * k * 13) % 90 as string))")
+    return N.assign_feeds(c.select("group_id", feed.alias("feed"), F.lit("own").alias("verdict"), F.expr("cast((group_id * (k + 3)) % 5 as int)").alias("upcoming"), F.lit(0).alias("with_location")))
+
+
+@query("ragged_rows", "SELECT 'whole' AS kind, 3 AS fields, count(*) AS n, sum(row_id) AS ids FROM listings WHERE row_id % 9 <> 4 AND row_id % 11 <> 5 UNION ALL SELECT 'ragged', CASE WHEN row_id % 9 = 4 THEN 2 ELSE 4 END, count(*), sum(row_id) FROM listings WHERE row_id % 9 = 4 OR row_id % 11 = 5 GROUP BY ALL")
+def ragged_rows(spark, sf):
+    """Listings as quoted lines, a ninth of them a field short, an eleventh a field long; titles hold commas and quotes."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    title = F.concat(F.col("title"), F.lit(', "so called"'))
+    fields = F.when(F.expr("row_id % 9 = 4"), F.array(F.col("row_id").cast("string"), title)).when(F.expr("row_id % 11 = 5"), F.array(F.col("row_id").cast("string"), title, F.col("source"), F.lit("more"))).otherwise(F.array(F.col("row_id").cast("string"), title, F.col("source")))
+    line = F.array_join(F.transform(fields, quoted), ",").alias("value")
+    head = F.lit('"row_id","title","source"').alias("value")
+    # a file for each partition, each with a header
+    rows = fx.listings(spark, sf).repartition(8, "row_id").select(F.spark_partition_id().alias("p"), line)
+    lines = rows.withColumn("o", F.lit(1)).unionByName(rows.select("p").distinct().select("p", head, F.lit(0).alias("o")))
+    lines.repartition(8, "p").sortWithinPartitions("p", "o").select("p", "value").write.partitionBy("p").text(folder)
+    good, bad = S.read_listings(spark, folder, ["row_id", "title", "source"])
+    whole = good.groupBy().agg(F.count("*").alias("n"), F.sum(F.col("row_id").cast("long")).alias("ids")).select(F.lit("whole").alias("kind"), F.lit(3).cast("long").alias("fields"), "n", "ids")
+    id_ = F.regexp_extract("line", r'^"(\d+)"', 1).cast("long")
+    return whole.unionByName(bad.groupBy("fields").agg(F.count("*").alias("n"), F.sum(id_).alias("ids")).select(F.lit("ragged").alias("kind"), "fields", "n", "ids"))

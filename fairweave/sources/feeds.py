@@ -7,8 +7,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fairweave.functions.text import clean_text, strip_html, unescape
+from fairweave.operators.store import stored
 
 #: Columns of the served table, in order.
 SERVED = ["row_id", "title", "start_ts", "end_ts", "source", "kingdom", "calendar_type", "is_virtual", "clean_location", "lat", "lng"]
@@ -45,18 +47,24 @@ def read_ics(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
     One row per event: file, row_id, uid, title, location, description, url, start_ts, end_ts, rrule,
     exdates and stamp.  Files without a calendar, and events without a title or a start, are rejects;
-    a bad event drops only itself.  A file is one row until it is split, as calendars are small.
+    a bad event drops only itself.  Files are read event by event, so a large one is read by many tasks; what holds for a
+    whole file (it is no calendar, it is a saved page) is found first and joined back to its events.  An event that a file has
+    twice, word for word, counts once.
     """
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"\r", "").alias("body"))
-    body = F.regexp_replace(F.when(F.col("body").contains("<pre"), unescape(F.regexp_replace("body", r"(?s)^.*?<pre[^>]*>|</pre>.*$", ""))).otherwise(F.col("body")), r"\n[ \t]", "")
-    files = raw.select("file", body.alias("body"))
-    none = files.where(~F.col("body").contains("BEGIN:VCALENDAR")).select("file", F.lit("no calendar").alias("reason"), F.substring("body", 1, 200).alias("text"))
-    block = files.where(F.col("body").contains("BEGIN:VCALENDAR")).select("file", F.posexplode(F.slice(F.split("body", "BEGIN:VEVENT\n"), 2, 1_000_000)).alias("i", "block"))
-    block = block.withColumn("block", F.substring_index("block", "END:VEVENT", 1))
+    part = spark.read.option("lineSep", "END:VEVENT").text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", r"\r", "").alias("body"))
+    files = part.groupBy("file").agg(F.max(F.col("body").contains("BEGIN:VCALENDAR")).alias("calendar"), F.max(F.col("body").contains("<pre")).alias("page"), F.min(F.substring("body", 1, 200)).alias("text"))
+    none = files.where("not calendar").select("file", F.lit("no calendar").alias("reason"), "text")
+    # few files are odd; the others' events meet no row here
+    odd = files.where("page or not calendar").select("file", "calendar", "page")
+    rows = part.where(F.col("body").contains("BEGIN:VEVENT")).join(odd, "file", "left").where("coalesce(calendar, true)")
+    plain = F.when(F.col("page"), unescape(F.regexp_replace("body", r"(?s)^.*?<pre[^>]*>|</pre>.*$", ""))).otherwise(F.col("body"))
+    rows = rows.select("file", F.regexp_replace(plain, r"\n[ \t]", "").alias("body"))
+    block = rows.select("file", F.explode(F.slice(F.split("body", "BEGIN:VEVENT\n"), 2, 1_000_000)).alias("block"))
+    block = block.withColumn("row_id", F.xxhash64("file", "block")).dropDuplicates(["row_id"])
     text = lambda n: clean_text(_property(F.col("block"), n))
     events = block.select(
         "file",
-        F.xxhash64("file", "i").alias("row_id"),
+        "row_id",
         _property(F.col("block"), "UID").alias("uid"),
         text("SUMMARY").alias("title"),
         text("LOCATION").alias("location"),
@@ -224,6 +232,21 @@ def write_listings(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         out.write.mode("overwrite").partitionBy("calendar_type").parquet(path)
 
 
+def read_listings(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """V5: (rows, ragged) of served CSV files: lines with as many fields as ``columns``, as text, and the others.
+
+    ``ragged`` has file, line and fields (how many the line has).  Lines are parsed by Spark's reader against the whole
+    schema; what it can't place is kept as it stood.
+    """
+    schema = StructType([StructField(c, StringType()) for c in [*columns, "__line"]])
+    read = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__line").option("escape", '"')
+    rows = stored(read.csv(path).withColumn("__file", F.col("_metadata.file_path")), "csv-rows")
+    line = F.col("__line")
+    # quoted fields count as one, whatever they hold
+    fields = F.regexp_count(F.regexp_replace(line, r'"(?:[^"]|"")*"', "x"), F.lit(",")) + 1
+    return rows.where(line.isNull()).select(columns), rows.where(line.isNotNull()).select(F.col("__file").alias("file"), line.alias("line"), fields.cast("long").alias("fields"))
+
+
 def fetch_summary(registry: DataFrame, df: DataFrame) -> DataFrame:
     """Per feed: events, online ones, ones without a place; feeds with none have zeros."""
     n = df.groupBy("source").agg(F.count("*").alias("events"), F.count_if("is_virtual").alias("online"), F.count_if(F.coalesce("clean_location", F.lit("")) == "").alias("unplaced"))

@@ -46,6 +46,34 @@ def test_calendar_files(spark, tmp_path):
     assert sorted(str(r.occurs_on) for r in days.collect()) == ["2026-05-02", "2026-05-16", "2026-05-23"]
 
 
+def test_large_calendar_file_is_read_by_many_tasks(spark, tmp_path):
+    """One file of many events: cut anywhere, each event is read once, and what holds for the file holds for all of them."""
+    event = lambda i: f"BEGIN:VEVENT\r\nUID:{i}\r\nDTSTART:20260502T190000\r\nSUMMARY:Fair {i} &amp; m\r\n ore\r\nURL:https://x.org/?a={i}&amp;b=1\r\nEND:VEVENT\r\n"
+    body = "BEGIN:VCALENDAR\r\nX-NAME:x\r\n" + "".join(map(event, range(6000))) + event(5) + "BEGIN:VEVENT\r\nUID:lost\r\nSUMMARY:never ends\r\nDTSTART:20260502\r\n" + event(6000) + "END:VCALENDAR\r\n"
+    (tmp_path / "a.ics").write_text(f"<html><pre class=x>{body}</pre><p>tail</p></html>", newline="")
+    (tmp_path / "b.ics").write_text("no calendar END:VEVENT BEGIN:VEVENT\nUID:9\nSUMMARY:x\nDTSTART:20260502\nEND:VEVENT", newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        events, rejects = S.read_ics(spark, str(tmp_path))
+        assert spark.read.option("lineSep", "END:VEVENT").text(str(tmp_path)).rdd.getNumPartitions() > 10
+        got = events.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.uid for r in got) == sorted([*map(str, range(6001)), "lost"])
+    assert len({r.row_id for r in got}) == 6002
+    assert {(r.title, r.url) for r in got if r.uid == "77"} == {("Fair 77 & more", "https://x.org/?a=77&b=1")}
+    assert [r.reason for r in rejects.collect()] == ["no calendar"]
+
+
+def test_ragged_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b,c\n"1","x, ""y""","z"\n"2","short"\n"3","l","o","n, g"\n4,,\n')
+    (tmp_path / "b.csv").write_text("a,b,c\n5,6,7\n")
+    rows, ragged = S.read_listings(spark, str(tmp_path), ["a", "b", "c"])
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", 'x, "y"', "z"), ("4", None, None), ("5", "6", "7")]
+    assert sorted((r.line, r.fields) for r in ragged.collect()) == [('"2","short"', 2), ('"3","l","o","n, g"', 4)]
+
+
 @pytest.mark.parametrize(
     ("rule", "start", "want"),
     [
