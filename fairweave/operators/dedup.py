@@ -104,20 +104,39 @@ def _similar(a: Column, b: Column) -> Column:
     return (shared > 0) & (shared * 2 >= F.greatest(F.size(a), F.size(b)))
 
 
+def _rare_first(titles: DataFrame) -> DataFrame:
+    """(__tok, __rare): the words of each distinct title, those first that fewest titles have."""
+    word = titles.select("__tok", F.explode("__tok").alias("w"))
+    times = word.groupBy("w").agg(F.count("*").alias("n"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "w"))), lambda x: x["w"])
+    return word.join(times, "w").groupBy("__tok").agg(ordered.alias("__rare"))
+
+
+def similar_titles(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of ``left`` that one of ``right`` resembles; both are distinct (__day, __tok, __loc).
+
+    Two titles are alike if they share half of the larger set of words.  Words are ordered over all titles, rare ones first:
+    then both have a common word among their first ones (half of them and one more), and common words, on which
+    unlike titles meet, are hardly ever looked up.  What still meets is dropped if too few words follow in either title.
+    """
+    rare = _rare_first(left.select("__tok").union(right.select("__tok")).distinct().where("size(__tok) > 0"))
+    size = F.size("__rare")
+    under = F.posexplode(F.slice("__rare", F.lit(1), size - F.ceil(size / 2).cast("int") + 1)).alias("__i", "__key")
+    side = lambda df: df.join(rare, "__tok").select("__day", "__tok", "__loc", under)
+    other = side(right).withColumnsRenamed({"__day": "d", "__tok": "t", "__loc": "l", "__i": "j", "__key": "k"})
+    enough = (1 + F.least(F.size("__tok") - 1 - F.col("__i"), F.size("t") - 1 - F.col("j"))) * 2 >= F.greatest(F.size("__tok"), F.size("t"))
+    alike = (F.col("__day") == F.col("d")) & (F.col("__key") == F.col("k")) & enough & _similar(F.col("__tok"), F.col("t")) & venues_meet(F.col("__loc"), F.col("l"))
+    return side(left).join(other, alike, "left_semi").select("__day", "__tok", "__loc").distinct()
+
+
 def _without_copies(df: DataFrame, candidate: Column, original: Column) -> DataFrame:
     """Anti join: candidates that an original of the same day resembles in title and venue go.
 
-    Distinct (day, tokens, venue) are compared, not rows, so popular titles stay cheap.  Two titles can only
-    be alike if they share half of the larger set of tokens, so each side is looked up under the first
-    tokens in order only (half of them and one more): one of these must be common to both.
+    Distinct (day, tokens, venue) are compared, not rows, so popular titles stay cheap.
     """
     keyed = df.withColumns({"__day": F.to_date("start_ts"), "__tok": F.array_sort(title_tokens("title")), "__loc": normalize_title("clean_location")})
-    under = F.explode(F.slice("__tok", F.lit(1), F.size("__tok") - F.ceil(F.size("__tok") / 2).cast("int") + 1)).alias("__key")
-    side = lambda which: keyed.where(which).select("__day", "__tok", "__loc").distinct().where("size(__tok) > 0").select("*", under)
-    right = side(original).withColumnsRenamed({"__day": "d", "__tok": "t", "__loc": "l", "__key": "k"})
-    alike = (F.col("__day") == F.col("d")) & (F.col("__key") == F.col("k")) & _similar(F.col("__tok"), F.col("t")) & venues_meet(F.col("__loc"), F.col("l"))
-    copies = side(candidate).join(right, alike, "left_semi").select("__day", "__tok", "__loc").distinct()
-    copies = copies.withColumns({"__copy": F.lit(True), "__cand": F.lit(True)})
+    side = lambda which: keyed.where(which).select("__day", "__tok", "__loc").distinct().where("size(__tok) > 0")
+    copies = similar_titles(side(candidate), side(original)).withColumns({"__copy": F.lit(True), "__cand": F.lit(True)})
     out = keyed.withColumn("__cand", candidate).join(copies, ["__day", "__tok", "__loc", "__cand"], "left")
     return out.where("__copy is null").select(df.columns)
 
@@ -147,6 +166,26 @@ def modal_dates(df: DataFrame, keys: list[str]) -> DataFrame:
     return count.withColumn("r", F.rank().over(Window.partitionBy(*keys).orderBy(F.desc("n")))).where("r = 1").drop("r")
 
 
+def interval_overlap(left: DataFrame, right: DataFrame, keys: list[str], days: int = 32) -> DataFrame:
+    """(left_id, right_id) of intervals with equal ``keys`` that share a day, each pair once.
+
+    ``left`` has left_id, keys, first and last (dates, both included), ``right`` right_id and the same.  Intervals
+    are listed under stretches of ``days`` days, an equi-join; a pair is given out where the later of the two begins.
+    Without a last day an interval is one day long; one without a first, or with a null key, overlaps nothing.
+    """
+    stretch = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / days)
+
+    def listed(df: DataFrame, own: str) -> DataFrame:
+        last = F.greatest("first", F.coalesce("last", "first"))
+        spans = df.where("first is not null").select(own, *keys, F.col("first").alias(f"{own}_first"), last.alias(f"{own}_last"))
+        return spans.select("*", F.explode(F.sequence(stretch(F.col(f"{own}_first")), stretch(F.col(f"{own}_last")))).alias("__at"))
+
+    both = listed(left, "left_id").join(listed(right, "right_id"), [*keys, "__at"])
+    meet = (F.col("left_id_first") <= F.col("right_id_last")) & (F.col("left_id_last") >= F.col("right_id_first"))
+    here = F.col("__at") == stretch(F.greatest("left_id_first", "right_id_first"))
+    return both.where(meet & here).select("left_id", "right_id")
+
+
 def _marquee_matches(df: DataFrame, events: DataFrame, min_days: float) -> DataFrame:
     """(row_id, event_seq, host, year, calendar_type, source, first, last, start_ts) of listings that name an event.
 
@@ -181,9 +220,10 @@ def marquee_merge(df: DataFrame, events: DataFrame, min_days: float = 3) -> Data
     order = F.struct(F.when(own, 0).when(F.col("agreed"), 1).otherwise(2), F.when(~own, F.col("start_ts")), F.col("row_id"))
     chosen = region.join(modal, same, "left").groupBy(*group).agg(F.min_by(F.struct("row_id", "first", "last"), order).alias("c")).select(*group, F.col("c.row_id").alias("chosen"), "c.first", "c.last")
     # all years of an event are compared by their dates: a listing may start the year before
-    span = chosen.withColumnsRenamed({"first": "s", "last": "e", "year": "yr"}).drop("chosen")
-    local = named.where("calendar_type <> 'kingdom'").join(span, "event_seq").where("first <= e and last >= s")
-    members = stored(region.select(*group, "row_id", "source").unionByName(local.select("event_seq", F.col("yr").alias("year"), "row_id", "source")), "large-event-members")
+    span = chosen.select(F.col("year").alias("right_id"), "event_seq", "first", "last")
+    local = named.where("calendar_type <> 'kingdom'").select(F.struct("event_seq", "row_id", "source").alias("left_id"), "event_seq", "first", "last")
+    local = interval_overlap(local, span, ["event_seq"]).select("left_id.event_seq", F.col("right_id").alias("year"), "left_id.row_id", "left_id.source")
+    members = stored(region.select(*group, "row_id", "source").unionByName(local), "large-event-members")
     text = F.col("description") if "description" in df.columns else F.lit(None).cast("string")
     told = members.join(df.select("row_id", F.coalesce(text, F.lit("")).alias("__text")), "row_id")
     counts = told.groupBy(*group).agg(F.count_distinct("row_id").alias("merged"), F.count_distinct("source").alias("sources"), F.max_by("__text", F.struct(F.length("__text"), -F.col("row_id"))).alias("__fullest"))

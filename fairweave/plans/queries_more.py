@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fairweave.functions import location as loc
 from fairweave.functions import predicates as P
 from fairweave.functions import text as T
+from fairweave.operators import dedup as D
 from fairweave.operators import discovery as N
 from fairweave.operators import geo as G
 from fairweave.operators import places as L
@@ -22,7 +23,7 @@ from fairweave.operators.store import shared_folder, stored
 from fairweave.plans import fixtures as fx
 from fairweave.plans.queries import _PRIOR, _day, _prior, query
 from fairweave.sources import feeds as S
-from fairweave.streaming.ingest import ingest_snapshots
+from fairweave.streaming.ingest import current_listings, history, ingest_listings, ingest_snapshots
 
 
 def _case(column: str, *values: str) -> F.Column:
@@ -278,7 +279,7 @@ def asymmetric_pairs(spark, sf):
 def directory_groups(spark, sf):
     k = "cast(page_id as string)"
     entry = F.expr(f"concat('<p>Shire of Marsh ', {k}, ': ', if(page_id % 5 = 0, 'dormant since 2001', concat('Town ', {k}, ', Ohio')), '</p>')")
-    return N.directory_groups(fx.table(spark, sf, "pages").withColumn("html", F.concat("html", entry)))
+    return N.directory_groups(fx.table(spark, sf, "pages").withColumn("html", F.concat("html", entry))).drop("website")
 
 
 @query("ingested_snapshots", "SELECT row_id, title FROM listings")
@@ -427,3 +428,67 @@ def ragged_rows(spark, sf):
     whole = good.groupBy().agg(F.count("*").alias("n"), F.sum(F.col("row_id").cast("long")).alias("ids")).select(F.lit("whole").alias("kind"), F.lit(3).cast("long").alias("fields"), "n", "ids")
     id_ = F.regexp_extract("line", r'^"(\d+)"', 1).cast("long")
     return whole.unionByName(bad.groupBy("fields").agg(F.count("*").alias("n"), F.sum(id_).alias("ids")).select(F.lit("ragged").alias("kind"), "fields", "n", "ids"))
+
+
+@query(
+    "stored_ingest",
+    """, a AS (SELECT * FROM listings WHERE row_id % 2 = 0), b AS (SELECT * FROM listings WHERE source <> 'Kingdom of ASIA' AND row_id % 3 <> 0),
+f AS (SELECT title, start_ts, clean_location, lat FROM a QUALIFY row_number() OVER (PARTITION BY title, start_ts, clean_location ORDER BY row_id) = 1)
+SELECT b.row_id, f.lat, CASE WHEN f.lat IS NULL THEN '' ELSE 'ok' END AS geocode_status, FALSE AS carried, '' AS finding FROM b LEFT JOIN f ON b.title = f.title AND b.start_ts = f.start_ts AND b.clean_location = f.clean_location
+UNION ALL SELECT row_id, lat, 'ok', TRUE, 'failed' FROM a WHERE source NOT IN (SELECT source FROM b) AND CAST(start_ts AS DATE) >= DATE '1996-01-01'""",
+)
+def stored_ingest(spark, sf):
+    """Two snapshots as a stream: the second has no pins, and one feed delivers nothing."""
+    folder = f"{shared_folder(spark)}/listings-{uuid.uuid4().hex}"
+    df = fx.listings(spark, sf).withColumns({"geocode_status": F.lit("ok"), "location_specificity": F.lit("")})
+    bare = {"lat": F.lit(None).cast("double"), "lng": F.lit(None).cast("double"), "geocode_status": F.lit("")}
+    for k, part in enumerate((df.where("row_id % 2 = 0"), df.where("source <> 'Kingdom of ASIA' and row_id % 3 <> 0").withColumns(bare))):
+        part = part.withColumn("fetched_at", F.lit(k))
+        part.write.mode("append").parquet(f"{folder}/in")
+        ingest_listings(spark, f"{folder}/in", part.schema, folder, df.select("source").distinct(), "1996-01-01")
+    last = history(spark, folder).where("version = 1").groupBy("source").agg(F.max("finding").alias("finding"))
+    return current_listings(spark, folder).join(last, "source").select("row_id", "lat", "geocode_status", "carried", "finding")
+
+
+@query(
+    "overlapping_listings",
+    """, w AS (SELECT row_id, kingdom, title, calendar_type, CAST(start_ts AS DATE) AS s, CAST(end_ts AS DATE) AS e FROM listings WHERE title IN ('Lilies War', 'Gulf Wars XXXV'))
+SELECT a.row_id, count(*) AS meets, sum(b.row_id) AS ids FROM w a JOIN w b ON a.kingdom = b.kingdom AND a.title = b.title AND a.s <= b.e AND a.e >= b.s WHERE a.calendar_type = 'baronial' AND b.calendar_type = 'kingdom' GROUP BY a.row_id""",
+)
+def overlapping_listings(spark, sf):
+    """Local listings of large events, and the region's that run at the same time."""
+    w = fx.listings(spark, sf).where("title in ('Lilies War', 'Gulf Wars XXXV')").select("row_id", "kingdom", "title", "calendar_type", F.to_date("start_ts").alias("first"), F.to_date("end_ts").alias("last"))
+    side = lambda kind, name: w.where(f"calendar_type = '{kind}'").withColumnRenamed("row_id", name).drop("calendar_type")
+    pairs = D.interval_overlap(side("baronial", "left_id"), side("kingdom", "right_id"), ["kingdom", "title"])
+    return pairs.groupBy(F.col("left_id").alias("row_id")).agg(F.count("*").alias("meets"), F.sum("right_id").alias("ids"))
+
+
+@query(
+    "directory_kinds",
+    """SELECT CASE CAST(page_id % 3 AS INT) WHEN 0 THEN 'Barony of Fell ' WHEN 1 THEN 'Shire of Fen ' ELSE 'Canton of Ford ' END || CAST(page_id AS VARCHAR) AS group_name,
+ CASE WHEN page_id % 6 = 0 THEN 'Seat ' || CAST(page_id AS VARCHAR) WHEN page_id % 3 = 0 THEN 'Fell County, Ohio' WHEN page_id % 3 = 1 THEN 'Fen Town, TX' ELSE 'the Ford valley' END AS location, page_id,
+ CASE WHEN page_id % 3 = 1 THEN '' ELSE 'https://group' || CAST(page_id AS VARCHAR) || '.example.net/' END AS website FROM pages""",
+    raw=True,
+)
+def directory_kinds(spark, sf):
+    """Three layouts by host: labels in a paragraph, a list with dashes, a table whose link has the name; half of the first have a seat."""
+    k = "cast(page_id as string)"
+    link = f"concat('<a href=\"https://group', {k}, '.example.net/\">')"
+    entry = _case(
+        "page_id",
+        f"concat('<p><b>Barony of Fell ', {k}, '</b> Seneschal: Lady X. ', {link}, 'web</a> Located in: Fell County, Ohio. Ask us.</p>')",
+        f"concat('<ul><li>Shire of Fen ', {k}, ' – Fen Town, TX</li></ul><p>See <a href=\"/own\">more</a></p>')",
+        f"concat('<table><tr><td>', {link}, 'Canton of Ford ', {k}, '</a></td><td>covers the Ford valley</td></tr></table>')",
+    )
+    host = _case("page_id", "'https://one.example.org/groups'", "'https://two.example.org/groups'", "'https://three.example.org/groups'")
+    pages = fx.table(spark, sf, "pages").select("page_id", host.alias("url"), F.concat(F.lit("<html><h1>Groups of the Barony and Shire kind</h1>"), entry).alias("html"))
+    rules = spark.createDataFrame(
+        [
+            ("one.example.org", r"^({kind} of [\w' -]+?)\s+(?:Seneschal|Chatelain|Located in)\b", r"Located in[:\s]+([^.;\n]{4,200})"),
+            ("two.example.org", r"^({kind} of [\w' -]+?)\s+[–-]\s", r"\s[–-]\s(.{4,200})$"),
+            ("three.example.org", r"^({kind} of [\w' -]+?)\s+covers\b", r"\bcovers\s+(.{4,200})$"),
+        ],
+        "host string, name string, place string",
+    )
+    seats = fx.table(spark, sf, "pages").where("page_id % 6 = 0").select(F.expr(f"concat('barony of FELL ', {k})").alias("name"), F.expr(f"concat('Seat ', {k})").alias("seat"))
+    return N.directory_groups(pages, rules, seats)
