@@ -147,10 +147,11 @@ def assign_countries(polys: DataFrame, assignment: DataFrame, names: list[str])
 
 def box_state(df: DataFrame, boxes: DataFrame) -> DataFrame:
     """The first box, in table order (``ord``), that holds a row's pin; null if none."""
-    # no key to join by; some fifty boxes kept by hand
-    b = F.broadcast(boxes.select("ord", "state", "lat_min", "lat_max", "lng_min", "lng_max"))
-    spots = df.select("lat", "lng").distinct()
-    hit = spots.join(b, F.col("lat").between(F.col("lat_min"), F.col("lat_max")) & F.col("lng").between(F.col("lng_min"), F.col("lng_max")))
+    # boxes are listed under the cells of a grid, so that points have a key to join by
+    listed = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / CELL), F.floor(F.col(b) / CELL)))
+    b = boxes.where("lat_min <= lat_max and lng_min <= lng_max").select("ord", "state", "lat_min", "lat_max", "lng_min", "lng_max", listed("lat_min", "lat_max").alias("gy")).select("*", listed("lng_min", "lng_max").alias("gx"))
+    spots = df.select("lat", "lng", F.floor(F.col("lat") / CELL).alias("gy"), F.floor(F.col("lng") / CELL).alias("gx")).distinct()
+    hit = spots.join(b, ["gy", "gx"]).where(F.col("lat").between(F.col("lat_min"), F.col("lat_max")) & F.col("lng").between(F.col("lng_min"), F.col("lng_max")))
     first = hit.groupBy("lat", "lng").agg(F.min_by("state", "ord").alias("box_state"))
     return df.join(first, ["lat", "lng"], "left").select(*df.columns, "box_state")
 

@@ -19,6 +19,7 @@ from fairweave.operators import quality as H
 from fairweave.operators import rules as C
 from fairweave.operators import serve as Q
 from fairweave.operators import state as J
+from fairweave.operators.names import find_names
 from fairweave.plans import fixtures as fx
 from fairweave.plans.pipeline import real_listings
 from fairweave.sources import feeds as S
@@ -168,7 +169,9 @@ WHERE NOT EXISTS (SELECT 1 FROM listings WHERE contains(lower(title), kw) AND ye
 def marquee_placeholders(spark, sf):
     """As of the first day of the last year that has listings."""
     df = fx.listings(spark, sf)
-    named = df.join(F.broadcast(_events(spark).select("event_seq", F.explode("keywords").alias("kw"))), F.lower("title").contains(F.col("kw"))).select("event_seq", F.year("start_ts").alias("year"))
+    years = df.select("title", F.year("start_ts").alias("year")).distinct()
+    texts = years.select(F.struct("title", "year").alias("text_id"), T.normalize_title("title").alias("text"))
+    named = find_names(texts, _events(spark).select(F.col("event_seq").alias("name_id"), F.explode("keywords").alias("name"))).select(F.col("name_id").alias("event_seq"), "text_id.year")
     last = df.agg(F.max(F.year("start_ts"))).first()[0]
     return D.placeholders(_events(spark), named, f"{last}-01-01").select("event_seq", "name", F.col("start_date").cast("string").alias("start_day"), F.col("end_date").cast("string").alias("end_day"))
 

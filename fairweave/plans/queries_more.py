@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fairweave.functions import location as loc
@@ -223,9 +224,12 @@ def private_cache_repeats(spark, sf):
 @query("sorted_groups", "SELECT group_id, kingdom, group_name, row_number() OVER (ORDER BY kingdom, group_name, group_id) AS place FROM groups_reg")
 def sorted_groups(spark, sf):
     """The place of each row in the sorted table: parts in order, and rows in order within them."""
-    df = stored(N.sorted_groups(fx.groups(spark, sf).withColumn("row_id", F.col("group_id"))).withColumn("at", F.monotonically_increasing_id()), "sorted-groups")
-    before = df.select(F.col("at").alias("b"))
-    return df.join(F.broadcast(before), F.col("b") <= F.col("at")).groupBy("group_id", "kingdom", "group_name").agg(F.count("*").alias("place"))
+    at = F.monotonically_increasing_id()
+    df = stored(N.sorted_groups(fx.groups(spark, sf).withColumn("row_id", F.col("group_id"))).withColumn("at", at), "sorted-groups").withColumn("part", F.shiftright("at", 33))
+    # one row for each part: how many rows come before it
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = df.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first")).select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return df.join(parts, "part").select("group_id", "kingdom", "group_name", (F.col("before") + F.col("at") - F.col("first") + 1).alias("place"))
 
 
 @query("decoded_territories", "SELECT n_nationkey AS poly_id, r AS ring, e AS edge, CAST(n_nationkey + x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1, CAST(n_nationkey + x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2 FROM nation, (VALUES (0, 0, 0, 0, 2, 0), (0, 1, 2, 0, 2, 1), (0, 2, 2, 1, 0, 1), (0, 3, 0, 1, 0, 0), (1, 0, 0.5, 0.25, 1.5, 0.25), (1, 1, 1.5, 0.25, 1.5, 0.75), (1, 2, 1.5, 0.75, 0.5, 0.25)) AS t(r, e, x1, y1, x2, y2)", raw=True)
@@ -492,3 +496,53 @@ def directory_kinds(spark, sf):
     )
     seats = fx.table(spark, sf, "pages").where("page_id % 6 = 0").select(F.expr(f"concat('barony of FELL ', {k})").alias("name"), F.expr(f"concat('Seat ', {k})").alias("seat"))
     return N.directory_groups(pages, rules, seats)
+
+
+#: Latitudes and longitudes of listings as links write them; the first form has two pins, of which the surer counts.
+_PIN_FORMS = [
+    ("concat('https://www.google.com/maps/place/x/@1.5,2.5,17z/data=!3m1!3d', la, '!4d', ln)", "lat"),
+    ("concat('https://maps.google.com/maps?daddr=', la, '%2C', ln)", "lat"),
+    ("concat('https://www.openstreetmap.org/?mlat=', la, '&amp;mlon=', ln)", "lat"),
+    ("concat('https://www.google.com/maps/@', la, ',', ln, ',12z')", "lat"),
+    ("concat('https://www.openstreetmap.org/#map=9/', la, '/', ln)", "lat"),
+    ("concat('https://x.example.org/?to=https%3A%2F%2Fmaps.google.com%2F%3Fq%3D', la, '%2C', ln)", "lat"),
+    ("concat('https://maps.google.com/maps?q=99', la, ',', ln, '#map=9/', la, '/', ln)", "lat"),
+    ("concat('https://www.google.com/maps/place/', la, '+', ln)", "NULL"),
+    ("concat('https://maps.app.goo.gl/', CAST(row_id % 70 AS STRING))", "10 + row_id % 70"),
+]
+
+
+@query("map_link_pins", "SELECT row_id, round(CAST(CASE CAST(row_id % 9 AS INT) " + " ".join(f"WHEN {i} THEN {v}" for i, (_, v) in enumerate(_PIN_FORMS)) + " END AS DOUBLE), 4) AS pin_lat, CASE WHEN row_id % 9 = 7 THEN '' ELSE 'ok_published' END AS geocode_status FROM listings")
+def map_link_pins(spark, sf):
+    """Five ways to write a pin, also quoted within another link, beside one that is out of range, and behind a short link."""
+    number = {"la": F.format_string("%.5f", "lat"), "ln": F.format_string("%.5f", "lng")}
+    link = _case("row_id", *[f for f, _ in _PIN_FORMS])
+    df = fx.listings(spark, sf).withColumns(number).select("row_id", F.concat(F.lit("Park, see ("), link, F.lit(")")).alias("location"), F.lit("").alias("description"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"), F.lit("").alias("geocode_status"))
+    resolved = spark.range(70).select(F.concat(F.lit("https://maps.app.goo.gl/"), F.col("id").cast("string")).alias("short"), F.concat(F.lit("https://www.google.com/maps/@"), (F.col("id") + 10).cast("string"), F.lit(".0,5.0,9z")).alias("full"))
+    return L.published_prepass(df, resolved).select("row_id", F.round("lat", 4).alias("pin_lat"), "geocode_status")
+
+
+_LAYOUT_SQL = """WITH n AS (SELECT max(page_id) + 1 AS n FROM pages),
+e AS (SELECT page_id, 'Fair ' || CAST(o_orderkey % 40 AS VARCHAR) || ' & more' AS title, CAST(o_orderdate AS DATE) AS d, 'Hall ' || CAST(o_orderkey % 7 AS VARCHAR) AS location FROM orders, n JOIN pages p ON p.page_id = o_orderkey % n)
+SELECT layout, title, CAST(d AS VARCHAR) AS start_day, min(page_id) AS page_id, arg_min(location, (page_id, location)) AS location FROM e, (VALUES ('microdata'), ('plugin'), ('addlink')) AS t(layout) GROUP BY layout, title, d"""
+
+
+@query("page_layouts", _LAYOUT_SQL, raw=True)
+def page_layouts(spark, sf):
+    """Pages of many events each in three layouts; an event that several pages list counts once, from the first of them."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
+    n = pages.agg(F.max("page_id")).first()[0] + 1
+    e = spark.read.parquet(f"{sf}/orders.parquet").select((F.col("o_orderkey") % n).alias("page_id"), F.concat(F.lit("Fair "), (F.col("o_orderkey") % 40).cast("string"), F.lit(" &amp; more")).alias("t"), F.to_date("o_orderdate").alias("d"), F.concat(F.lit("Hall "), (F.col("o_orderkey") % 7).cast("string")).alias("p"))
+    day = lambda f: F.date_format("d", f)
+    forms = {
+        "microdata": F.concat(F.lit('<div itemscope><span itemprop="name">'), "t", F.lit('</span><meta itemprop="startDate" content="'), day("yyyy-MM-dd"), F.lit('T00:00:00"><i itemprop="location">'), "p", F.lit("</i></div>")),
+        "plugin": F.concat(F.lit('<article><h3 class="x event-title y"><a href="/e">'), "t", F.lit('</a></h3><time class="t" datetime="'), day("yyyy-MM-dd"), F.lit('">soon</time><b class="event-venue">'), "p", F.lit("</b></article>")),
+        "addlink": F.concat(F.lit('<a href="https://calendar.google.com/calendar/render?action=TEMPLATE&text='), F.url_encode(F.replace("t", F.lit("&amp;"), F.lit("&"))), F.lit("&dates="), day("yyyyMMdd"), F.lit("&location="), F.url_encode("p"), F.lit('">add</a>')),
+    }
+    out = None
+    for layout, form in forms.items():
+        html = e.groupBy("page_id").agg(F.array_join(F.collect_list(form), "\n").alias("html"))
+        events, _ = S.page_events(pages.join(html, "page_id").select("page_id", "url", "html"), layout)
+        rows = events.select(F.lit(layout).alias("layout"), "title", F.to_date("start_ts").cast("string").alias("start_day"), "page_id", "location")
+        out = rows if out is None else out.unionByName(rows)
+    return out
