@@ -132,9 +132,9 @@ def similar_titles(left: DataFrame, right: DataFrame) -> DataFrame:
 def _without_copies(df: DataFrame, candidate: Column, original: Column) -> DataFrame:
     """Anti join: candidates that an original of the same day resembles in title and venue go.
 
-    Distinct (day, tokens, venue) are compared, not rows, so popular titles stay cheap.
+    Distinct (day, tokens, venue) are compared, not rows, so popular titles stay cheap.  The keys are made once and stored.
     """
-    keyed = df.withColumns({"__day": F.to_date("start_ts"), "__tok": F.array_sort(title_tokens("title")), "__loc": normalize_title("clean_location")})
+    keyed = stored(df.withColumns({"__day": F.to_date("start_ts"), "__tok": F.array_sort(title_tokens("title")), "__loc": normalize_title("clean_location")}), "titles")
     side = lambda which: keyed.where(which).select("__day", "__tok", "__loc").distinct().where("size(__tok) > 0")
     copies = similar_titles(side(candidate), side(original)).withColumns({"__copy": F.lit(True), "__cand": F.lit(True)})
     out = keyed.withColumn("__cand", candidate).join(copies, ["__day", "__tok", "__loc", "__cand"], "left")

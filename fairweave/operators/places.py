@@ -175,11 +175,11 @@ def pin_at_host_group(df: DataFrame, groups: DataFrame) -> DataFrame:
     need = df.where((F.col("geocode_status") == "failed") & ~F.coalesce("is_virtual", F.lit(False)))
     told = F.col("description") if "description" in df.columns else F.lit("")
     tags = F.regexp_extract_all("title", F.lit(r"\(([^()]+)\)"), F.lit(1))
-    texts = F.concat(F.transform(F.coalesce(tags, F.array().cast("array<string>")), group_key), F.array(group_key("title")), F.array(group_key(F.coalesce(told, F.lit("")))))
-    asked = need.select("row_id", "kingdom", F.posexplode(texts).alias("p", "text"), F.size(texts).alias("n")).where("text <> ''")
-    asked = asked.select("row_id", "p", F.struct("kingdom", "text").alias("text_id"), (F.col("p") == F.col("n") - 1).alias("told"))
-    # many rows share a title: each distinct text is searched once, and keeps its longest name, and its longest full name
-    seen = asked.select("text_id").distinct().select("text_id", "text_id.kingdom", "text_id.text")
+    texts = F.concat(F.coalesce(tags, F.array().cast("array<string>")), F.array("title", F.coalesce(told, F.lit(""))))
+    asked = need.select("row_id", "kingdom", F.posexplode(texts).alias("p", "raw"), F.size(texts).alias("n"))
+    asked = asked.select("row_id", "p", F.struct("kingdom", "raw").alias("text_id"), (F.col("p") == F.col("n") - 1).alias("told"))
+    # many rows share a title: each distinct text is made comparable and searched once, and keeps its longest name and full name
+    seen = asked.select("text_id").distinct().select("text_id", "text_id.kingdom", group_key("text_id.raw").alias("text"))
     names = forms.groupBy("kingdom", "name").agg(F.collect_list(F.struct(-F.length("full"), "pin", "is_short")).alias("of"))
     hit = find_names(seen, names.select(F.struct("kingdom", "name").alias("name_id"), "kingdom", "name"), scope=["kingdom"])
     hit = hit.join(names.select(F.struct("kingdom", "name").alias("name_id"), F.explode("of").alias("x")), "name_id").select("text_id", F.struct("x.col1", "x.pin").alias("b"), "x.is_short")

@@ -66,7 +66,7 @@ def clean(df: DataFrame, as_of: date | str, *, text_rules: DataFrame | None = No
     out = stored(out, "located")
     if "is_aggregator" in df.columns:
         out = stored(drop_aggregator_copies(out), "original")
-    out = drop_local_copies(stored(dedupe_listings(out), "single"))
+    out = drop_local_copies(dedupe_listings(out))
     return merge_series(stored(out, "regional")).drop("series_dates") if series else out
 
 

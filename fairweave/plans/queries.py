@@ -20,6 +20,7 @@ from fairweave.operators import rules as C
 from fairweave.operators import serve as Q
 from fairweave.operators import state as J
 from fairweave.operators.names import find_names
+from fairweave.operators.store import stored
 from fairweave.plans import fixtures as fx
 from fairweave.plans.pipeline import real_listings
 from fairweave.sources import feeds as S
@@ -157,7 +158,7 @@ UNION ALL SELECT l.row_id, l.source, l.clean_location, 1, 1, l.lat, l.lng, told.
 )
 def marquee_merge(spark, sf):
     own = {"description": F.expr("concat(repeat('word ', cast(row_id % 13 as int)), cast(row_id as string))"), "event_url": F.expr("concat('https://own.example.org/', cast(row_id as string))"), "geocode_status": F.lit("ok")}
-    return D.marquee_merge(fx.listings(spark, sf).withColumns(own), _events(spark)).select("row_id", "source", "clean_location", "merged", "sources", "lat", "lng", "event_url", "description", "geocode_status")
+    return D.marquee_merge(stored(fx.listings(spark, sf).withColumns(own), "listings"), _events(spark)).select("row_id", "source", "clean_location", "merged", "sources", "lat", "lng", "event_url", "description", "geocode_status")
 
 
 @query(
