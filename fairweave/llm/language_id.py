@@ -218,9 +218,13 @@ def identify_languages(docs: DataFrame, *, folds: int = 3, held_out: int = 1, sa
     spark: SparkSession = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", (remainder(F.col("doc_id"), folds) == held_out).alias("held_out"))
     train = source.where("not held_out and lang is not null and text is not null").select("doc_id", "lang", F.xxhash64("text").alias("t")).distinct()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(11)), "t"))
-    # only ids and hashes are ranked; whole texts are read of the chosen rows alone
-    chosen = train.withColumn("rank", rank).where(F.col("rank") <= sample_docs).withColumnsRenamed({"doc_id": "d", "lang": "l"})
+    # only ids and hashes are ranked, within shares of a language first, so that no task ranks all of its rows;
+    # whole texts are read of the chosen rows alone
+    train = train.withColumn("h", F.xxhash64("doc_id", F.lit(11))).withColumn("share", F.pmod("h", F.lit(64)))
+    for parts in (["lang", "share"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*parts).orderBy("h", "t"))
+        train = train.withColumn("rank", rank).where(F.col("rank") <= sample_docs)
+    chosen = train.select(F.col("doc_id").alias("d"), F.col("lang").alias("l"), "t", "rank")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("lang") == F.col("l")) & (F.xxhash64("text") == F.col("t"))
     texts = source.join(F.broadcast(chosen), same).select("lang", "rank", "text").mapInArrow(_beginnings(sample_chars), "lang string, rank int, text string")
     chosen = texts.groupBy("lang", "rank").agg(F.min("text").alias("text")).collect()
