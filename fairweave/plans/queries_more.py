@@ -364,13 +364,13 @@ def non_event_titles(spark, sf):
 
 @query(
     "place_text_ranges",
-    "SELECT row_id, CAST(CAST(start_ts AS DATE) AS VARCHAR) AS first_day, CAST(CASE CAST(row_id % 4 AS INT) WHEN 0 THEN CAST(start_ts AS DATE) WHEN 1 THEN CAST(start_ts AS DATE) + 1 WHEN 2 THEN CAST(start_ts AS DATE) + 40 END AS VARCHAR) AS last_day FROM listings WHERE row_id % 4 < 3 AND (row_id % 4 <> 1 OR month(CAST(start_ts AS DATE) + 1) = month(start_ts))",
+    "WITH l AS (SELECT o_orderkey AS row_id, CAST(o_orderdate AS DATE) AS d FROM orders) SELECT row_id, CASE WHEN row_id % 4 < 3 THEN CAST(d AS VARCHAR) END AS first_day, CAST(CASE CAST(row_id % 4 AS INT) WHEN 0 THEN d WHEN 1 THEN make_date(year(d), month(d), day(d + 1)) WHEN 2 THEN d + 40 END AS VARCHAR) AS last_day FROM l",
+    raw=True,
 )
 def place_text_ranges(spark, sf):
-    """Dates as pages write them: one day, two days of a month, across months with full names; the last kind is no date."""
-    df = fx.listings(spark, sf).where("row_id % 4 <> 1 or month(date_add(to_date(start_ts), 1)) = month(start_ts)")
+    """Dates as pages write them: one day, two days of a month (backwards at its end), across months with full names; the last kind is no date."""
     text = _case("row_id", "date_format(start_ts, 'MMMM d, yyyy')", "concat(date_format(start_ts, 'MMM d'), ' - ', cast(day(date_add(to_date(start_ts), 1)) as string), ' ', cast(year(start_ts) as string))", "concat(date_format(start_ts, 'MMMM d yyyy'), ' – ', date_format(date_add(to_date(start_ts), 40), 'MMMM d yyyy'))", "'Feb 30 2026'")
-    got = df.select("row_id", S.parse_date_range(text).alias("d")).where("d is not null")
+    got = fx.listings(spark, sf).select("row_id", S.parse_date_range(text).alias("d"))
     return got.select("row_id", F.col("d.first").cast("string").alias("first_day"), F.col("d.last").cast("string").alias("last_day"))
 
 
