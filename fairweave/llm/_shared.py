@@ -49,11 +49,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _BROADCAST_BYTES = 24 << 20
 
 
+def fits(df: DataFrame) -> bool:
+    """Whether all rows of ``df`` (a written table), written as JSON, are small enough for a broadcast."""
+    return (df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= _BROADCAST_BYTES
+
+
 def sized(df: DataFrame) -> DataFrame:
-    """``df`` (a written table) with a broadcast hint if all its rows, written as JSON, are small enough;
-    else Spark shuffles the join."""
-    total = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(df) if total <= _BROADCAST_BYTES else df
+    """``df`` (a written table) with a broadcast hint if it ``fits``; else Spark shuffles the join."""
+    return F.broadcast(df) if fits(df) else df
+
+
+def lookup_join(df: DataFrame, of: DataFrame, key: str) -> DataFrame:
+    """``df`` inner joined with ``of`` (a written table) by broadcast if ``of`` ``fits``; else in a shuffle in which no key is
+    frequent: how often ``df`` has each key is counted first."""
+    if fits(of):
+        return df.join(F.broadcast(of), key)
+    return frequent_join(df, written(df.groupBy(key).agg(F.count("*").alias("times")).join(of, key), "frequencies"), key)
 
 
 def frequent_join(df: DataFrame, of: DataFrame, key: str, most: int = 1000) -> DataFrame:

@@ -2,14 +2,16 @@
 
 Every benchmark item is cut into windows of consecutive words.  The corpus is tokenized once.
 A window's words are ranked by their counts over the whole corpus; the index stores postings
-(document, position and the words around) of all words that are among the rarest of any window.
+(document, word, position) of all words that are among the rarest of any window.
 
-Exact matches: the posting lists of a window's two rarest words, each shifted by the word's
-offset, are intersected; at places in both lists the other words are compared.  Proximity
-matches: a stretch of words a little longer than the window that holds nearly all its distinct
-words, in any order.  Such a stretch holds at least one of the window's rarest words (as many
-as may be missing, and one more), so it is found from their lists; a word that the corpus
-lacks counts as missing.
+The lists of two of a window's rarest words are intersected within the reach of a match:
+windows that share two words share this work.  Only where lists meet the words around are
+fetched.  Exact matches: at the offset of a window's two rarest words the other words are
+compared.  Proximity matches: a stretch of words a little longer than the window that holds
+nearly all its distinct words, in any order.  Of the window's rarest words (as many as may be
+missing, and two more) such a stretch holds at least two, so it is found where their lists
+meet; a word that the corpus lacks counts as missing.  A window for which one distinct word is
+enough is looked up by its single words.
 
 DataFrame functions only.
 """
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairweave.llm._shared import sized, table, written
+from fairweave.llm._shared import fits, lookup_join, sized, table, written
 
 #: Between words: everything in ASCII but digits and lower-case letters.
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -50,35 +52,69 @@ def benchmark_windows(items: DataFrame, width: int) -> DataFrame:
 
 
 def rarest_words(windows: DataFrame, tokens: DataFrame, near: float) -> DataFrame:
-    """(wid, window, size, need, term, back, rank): the rarest words of each window that the corpus has.
+    """(wid, need, term, back, rank): the rarest words of each window, those that the corpus has.
 
     ``back`` is how many words stand before the term in the window, ``need`` how many distinct
-    words of the window make a proximity match.
+    words of the window make a proximity match.  A match holds two of the words (one, if
+    ``need`` is one).
     """
     place = windows.select("wid", F.posexplode("window").alias("back", "term")).groupBy("wid", "term").agg(F.min("back").alias("back"))
-    vocabulary = sized(written(place.select("term").distinct(), "benchmark-words"))
-    counts = written(tokens.select(F.explode("words").alias("term")).join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("times")), "benchmark-counts")
-    times = F.coalesce("times", F.lit(0))
-    ranked = place.join(sized(counts), "term", "left").withColumn("times", times)
+    vocabulary = written(place.select("term").distinct(), "benchmark-words")
+    words, times = tokens.select(F.explode("words").alias("term")), F.count("*").alias("times")
+    if fits(vocabulary):
+        counts = words.join(F.broadcast(vocabulary), "term").groupBy("term").agg(times)
+    else:
+        # a frequent word is counted before it is exchanged
+        counts = words.groupBy("term").agg(times).join(vocabulary, "term")
+    counts = written(counts, "benchmark-counts")
+    ranked = place.join(sized(counts), "term", "left").withColumn("times", F.coalesce("times", F.lit(0)))
     ranked = ranked.withColumns({"rank": F.row_number().over(Window.partitionBy("wid").orderBy("times", "term")), "distinct": F.count("*").over(Window.partitionBy("wid"))})
-    need = F.ceil(near * F.col("distinct")).cast("int")
-    ranked = ranked.withColumn("need", need).where("times > 0 and rank <= greatest(2, `distinct` - need + 1)")
-    return ranked.join(windows, "wid").select("wid", "window", F.size("window").alias("size"), F.least("distinct", F.lit(2)).alias("lists"), "need", "term", "back", "rank")
+    ranked = ranked.withColumn("need", F.ceil(near * F.col("distinct")).cast("int"))
+    return ranked.where("times > 0 and rank <= `distinct` - need + least(need, 2)").select("wid", "need", "term", "back", "rank")
 
 
-def postings(tokens: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
-    """(doc, digest, term, at, before, around): where the terms stand, with ``reach`` words on either side."""
-    placed = tokens.select("doc", "digest", "words", F.posexplode("words").alias("at", "term")).join(terms, "term")
-    before = F.least(F.col("at"), F.lit(reach))
-    return placed.select("doc", "digest", "term", "at", before.alias("before"), F.slice("words", F.col("at") - before + 1, before + reach + 1).alias("around"))
+def word_pairs(rarest: DataFrame) -> DataFrame:
+    """(pair, term, other, wid, need, back, first): two rare words of a window, or one (``other`` is null).
+
+    ``back`` is that of ``term``; ``first`` marks the pair that decides on exact matches.
+    """
+    other = rarest.select("wid", F.col("term").alias("other"), F.col("rank").alias("next"))
+    two = rarest.where("need > 1").join(other, "wid").where("term < other").withColumn("first", F.col("rank") + F.col("next") == 3).drop("next")
+    one = rarest.where("need = 1").withColumns({"other": F.lit(None).cast("string"), "first": F.col("rank") == 1})
+    # pairs whose names are equal by chance only share candidates
+    return two.unionByName(one).withColumn("pair", F.xxhash64("term", "other")).drop("rank")
+
+
+def postings(tokens: DataFrame, terms: DataFrame) -> DataFrame:
+    """(no, word, at): where the terms stand; ``word`` is the term's name."""
+    placed = lookup_join(tokens.select("no", F.posexplode("words").alias("at", "term")), terms, "term")
+    return placed.select("no", F.xxhash64("term").alias("word"), "at")
+
+
+def meetings(index: DataFrame, pairs: DataFrame, reach: int) -> DataFrame:
+    """(no, pair, at): postings of a pair's first word that have one of the other word at most ``reach`` places away."""
+    first = pairs.select(F.xxhash64("term").alias("word"), "pair", F.when(F.col("other").isNull(), -1).otherwise(0).alias("side"))
+    other = pairs.where("other is not null").select(F.xxhash64("other").alias("word"), "pair", F.lit(1).alias("side"))
+    lists = lookup_join(index, written(first.unionByName(other).distinct(), "word-lists"), "word").select("no", "pair", "side", "at")
+    around = Window.partitionBy("no", "pair").orderBy("at").rangeBetween(-reach, reach)
+    met = lists.where("side >= 0").withColumn("met", F.max("side").over(around)).where("side = 0 and met = 1")
+    return met.select("no", "pair", "at").unionByName(lists.where("side < 0").select("no", "pair", "at"))
+
+
+def words_around(tokens: DataFrame, places: DataFrame, reach: int) -> DataFrame:
+    """(no, at, before, around): the words up to ``reach`` places away; ``before`` of them stand before ``at``."""
+    per_row = written(places.groupBy("no").agg(F.collect_set("at").alias("places")), "places")
+    before = lambda at: F.least(at, F.lit(reach))
+    cut = lambda at: F.struct(at.alias("at"), before(at).alias("before"), F.slice("words", at - before(at) + 1, before(at) + reach + 1).alias("around"))
+    return tokens.join(sized(per_row), "no").select("no", F.explode(F.transform("places", cut)).alias("x")).select("no", "x.*")
 
 
 def _covered(matches: DataFrame) -> DataFrame:
-    """(doc, digest, n_hit): words that lie in any match."""
-    order = Window.partitionBy("doc", "digest").orderBy("start", "stop")
+    """(no, n_hit): words that lie in any match."""
+    order = Window.partitionBy("no").orderBy("start", "stop")
     earlier = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.greatest(F.col("stop") - F.greatest(F.col("start"), F.coalesce(earlier, F.lit(0))), F.lit(0))
-    return matches.withColumn("new", new).groupBy("doc", "digest").agg(F.sum("new").alias("n_hit"))
+    return matches.withColumn("new", new).groupBy("no").agg(F.sum("new").alias("n_hit"))
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, *, width: int = 13, near: float = 0.9, share: int = 20) -> DataFrame:
@@ -95,37 +131,36 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, width: int = 13, ne
     empty text.  Repeated rows get the same result, and a null doc_id is kept.  With no documents there
     are no rows, with no items no hits.
     """
-    # a key without nulls: rows of a null id share the number 0, but not the digest
-    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc"), F.xxhash64("text", F.col("doc_id").isNull()).alias("digest")]
-    tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *key, index_words(F.col("text")).alias("words"))
-    tokens = written(tokens.withColumn("n_words", F.size("words").cast("long")), "tokens")
+    tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), index_words(F.col("text")).alias("words"))
+    # rows are told apart by a number of their own, so ids may be null or repeat
+    tokens = written(tokens.withColumns({"no": F.monotonically_increasing_id(), "n_words": F.size("words").cast("long")}), "tokens")
     named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
     of_item = written(benchmark_windows(named, width), "item-windows")
     windows = written(of_item.select("window").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
-    rarest = written(rarest_words(windows, tokens, near), "rarest-words")
-    terms = sized(written(rarest.select("term").distinct(), "rarest-terms"))
-    index = written(postings(tokens, terms, width + _SLACK - 1).distinct(), "postings")
-
-    asked = index.join(sized(rarest), "term")
-    size, first, stretch = F.col("size"), F.col("before") - F.col("back") + 1, F.col("size") + _SLACK
-    same = (first >= 1) & (F.slice("around", F.greatest(first, F.lit(1)), size) == F.col("window"))
+    pairs = written(word_pairs(written(rarest_words(windows, tokens, near), "rarest-words")), "word-pairs")
+    terms = written(pairs.select("term").union(pairs.where("other is not null").select("other")).distinct(), "rarest-terms")
+    index = written(postings(tokens, terms), "postings")
+    reach = width + _SLACK - 1
+    met = written(meetings(index, pairs, reach), "meetings")
+
+    of_pair = written(pairs.join(windows, "wid").select("pair", "wid", "window", F.size("window").alias("size"), "need", "back", "first"), "windows-of-pairs")
+    asked = lookup_join(written(words_around(tokens, met, reach).join(met, ["no", "at"]), "candidates"), of_pair, "pair")
+    size, at, stretch = F.col("size"), F.col("before") - F.col("back") + 1, F.col("size") + _SLACK
+    exact = F.col("first") & (at >= 1) & (F.slice("around", F.greatest(at, F.lit(1)), size) == F.col("window"))
     held = lambda words: F.size(F.array_intersect(words, "window")) >= F.col("need")
     # stretches that hold the posting start up to ``stretch`` - 1 words before it
     from_, to = F.greatest(F.col("before") - stretch + 2, F.lit(1)), F.col("before") + 1
     close = F.when(held("around"), F.exists(F.sequence(from_, to), lambda i: held(F.slice("around", i, stretch)))).otherwise(False)
     start = F.col("at") - F.col("back")
-    asked = asked.select("doc", "digest", "wid", "lists", "rank", start.alias("start"), (start + size).alias("stop"), same.alias("same"), close.alias("close"))
-    # a place stays if it is in the shifted lists of both rarest words, or is close to a match
-    places = asked.groupBy("doc", "digest", "wid", "start", "stop", "lists").agg(F.count_distinct(F.when(F.col("rank") <= 2, F.col("rank"))).alias("met"), F.bool_and("same").alias("same"), F.bool_or("close").alias("close"))
-    exact = (F.col("met") == F.col("lists")) & F.col("same")
-    matches = written(places.withColumn("exact", exact).where("exact or close").select("doc", "digest", "wid", "start", "stop", "exact"), "matches")
-    hits = _covered(matches.where("exact").select("doc", "digest", "start", "stop").distinct())
-    occurring = matches.where("exact").select("doc", "digest", "wid").distinct().join(windows, "wid").join(of_item, "window")
-    found = occurring.groupBy("doc", "digest").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    by_window = matches.groupBy("doc", "digest", "wid").agg(F.bool_or("exact").alias("exact"))
-    near_by = by_window.where("not exact").groupBy("doc", "digest").agg(F.count("*").alias("n_near"))
-    per_doc = hits.join(found, ["doc", "digest"]).join(near_by, ["doc", "digest"], "full")
-    out = tokens.select("doc_id", "doc", "digest", "n_words").join(per_doc, ["doc", "digest"], "left")
+    places = asked.select("no", "wid", start.alias("start"), (start + size).alias("stop"), exact.alias("exact"), close.alias("close"))
+    matches = written(places.where("exact or close").select("no", "wid", "start", "stop", "exact").distinct(), "matches")
+    hits = _covered(matches.where("exact").select("no", "start", "stop").distinct())
+    occurring = matches.where("exact").select("no", "wid").distinct().join(windows, "wid").join(of_item, "window")
+    found = occurring.groupBy("no").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    by_window = matches.groupBy("no", "wid").agg(F.bool_or("exact").alias("exact"))
+    near_by = by_window.where("not exact").groupBy("no").agg(F.count("*").alias("n_near"))
+    per_row = hits.join(found, "no").join(near_by, "no", "full")
+    out = tokens.select("doc_id", "no", "n_words").join(per_row, "no", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     ids = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(

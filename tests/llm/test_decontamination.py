@@ -3,6 +3,9 @@ import math
 import random
 import re
 
+import pytest
+
+from fairweave.llm import _shared
 from fairweave.llm.decontamination import find_contamination
 
 from .corpus import frame, rows
@@ -13,7 +16,7 @@ def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
 
 
-def brute(docs, items, width=13):
+def brute(docs, items, width=13, near=0.9):
     windows = {}
     for item, text in items:
         w = words(text)
@@ -32,7 +35,7 @@ def brute(docs, items, width=13):
         close = 0
         for window in set(windows) - held:
             own, stretch = set(window), len(window) + 3
-            close += any(len(own & set(w[i : i + stretch])) >= math.ceil(0.9 * len(own)) for i in range(len(w)))
+            close += any(len(own & set(w[i : i + stretch])) >= math.ceil(near * len(own)) for i in range(len(w)))
         ids = ",".join(sorted(found))
         out.append((doc_id, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w), close))
     return sorted(out, key=repr)
@@ -82,6 +85,26 @@ def test_edited_windows_against_brute_force(spark):
     assert sum(r.n_near for r in got) > 20 and any(r.n_hit for r in got if r.doc_id is None)
 
 
+@pytest.mark.parametrize("near", [0.9, 0.4])
+def test_frequent_words_in_shuffled_joins(spark, monkeypatch, near):
+    """Nothing is broadcast by size; one word fills most of the corpus and some windows, and one word may be enough for a match."""
+    monkeypatch.setattr(_shared, "_BROADCAST_BYTES", -1)
+    rng = random.Random(5)
+    items = [(1, "spam"), (2, "spam spam eggs"), (3, "spam " * 13), (4, "spam ham spam eggs spam"), (5, " ".join(rng.choices(["spam", "ham", "eggs", "milk"], k=20))), (6, "only here")]
+    docs = [(i, " ".join(rng.choices(["spam", "ham", "eggs", "milk", "tea"], [20, 1, 1, 1, 3], k=rng.randint(0, 60))), *[None] * 7) for i in range(25)]
+    table = spark.createDataFrame([(i, t, "x", "y") for i, t in items], ITEMS)
+    got = find_contamination(frame(spark, docs), table, near=near).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(docs, items, near=near)
+
+
+def test_long_document(spark):
+    """A document of 200,000 words, rare words everywhere, with a window at its end."""
+    item = " ".join(f"k{i}" for i in range(13))
+    docs = [(1, "k0 k1 " * 100_000 + item, *[None] * 7)]
+    got = find_contamination(frame(spark, docs), spark.createDataFrame([(1, item, "", "")], ITEMS)).collect()
+    assert [tuple(r)[:4] for r in got] == [(1, 200_013, 13, 1)]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], ITEMS)
     assert find_contamination(frame(spark, []), none).collect() == []
