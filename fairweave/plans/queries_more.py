@@ -312,7 +312,7 @@ SELECT c_custkey, CAST(x AS VARCHAR) AS occurs_on FROM hit WHERE x BETWEEN DATE
 def recurrence_rules(spark, sf):
     """Daily with COUNT, weekly with BYDAY, every second month, yearly, weekly with UNTIL."""
     rule = _case("c_custkey", "'FREQ=DAILY;INTERVAL=3;COUNT=20'", "'FREQ=WEEKLY;BYDAY=TU,TH'", "'FREQ=MONTHLY;INTERVAL=2'", "'FREQ=YEARLY'", "'FREQ=WEEKLY;UNTIL=20260415T000000Z'")
-    c = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", F.expr("cast(date_add(date'2026-01-01', cast(c_custkey % 28 as int)) as timestamp_ntz)").alias("start_ts"), rule.alias("rrule"), F.array().cast("array<string>").alias("exdates"))
+    c = fx.table(spark, sf, "customer").select("c_custkey", F.expr("cast(date_add(date'2026-01-01', cast(c_custkey % 28 as int)) as timestamp_ntz)").alias("start_ts"), rule.alias("rrule"), F.array().cast("array<string>").alias("exdates"))
     return S.expand_recurrence(c, "2026-01-10", "2026-06-30").select("c_custkey", F.col("occurs_on").cast("string").alias("occurs_on"))
 
 

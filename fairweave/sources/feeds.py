@@ -89,26 +89,40 @@ def expand_recurrence(df: DataFrame, first: date | str, last: date | str) -> Dat
     start_ts; a null rule is the single start.  Adds ``occurs_on``.  Steps are counted from the start, so
     COUNT and INTERVAL hold across the window's edges.
     """
-    field = lambda n: F.nullif(F.regexp_extract(F.upper(F.coalesce("rrule", F.lit(""))), rf"(?:^|;){n}=([^;]+)", 1), F.lit(""))
-    d, lo, hi = F.to_date("start_ts"), F.lit(first).cast("date"), F.lit(last).cast("date")
-    step, count = F.greatest(F.coalesce(field("INTERVAL").try_cast("int"), F.lit(1)), F.lit(1)), field("COUNT").try_cast("int")
-    until = F.least(hi, F.coalesce(F.to_date(F.try_to_timestamp(F.substring(field("UNTIL"), 1, 8), F.lit("yyyyMMdd"))), hi))
-    freq, days = field("FREQ"), F.split(F.coalesce(field("BYDAY"), F.lit("")), ",")
-    monday = F.date_sub(d, F.weekday(d))
-    spine = lambda unit, n: F.when(d <= until, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
-    by_day = F.transform(spine("day", F.datediff(until, d)), lambda k: F.when(k % step == 0, F.date_add(d, k)))
-    offsets = F.when(field("BYDAY").isNull(), F.array(F.weekday(d))).otherwise(F.transform(days, lambda x: F.array_position(F.array(*[F.lit(w) for w in ("MO", "TU", "WE", "TH", "FR", "SA", "SU")]), F.regexp_replace(x, r"^[-+]?\d+", "")).cast("int") - 1))
-    by_week = F.flatten(F.transform(spine("week", F.floor(F.datediff(until, monday) / 7).cast("int")), lambda k: F.transform(offsets, lambda o: F.when((k % step == 0) & (F.date_add(monday, k * 7 + o) >= d), F.date_add(monday, k * 7 + o)))))
+    field = lambda n: F.nullif(F.regexp_extract("__rule", rf"(?:^|;){n}=([^;]+)", 1), F.lit(""))
+    lo, hi = F.lit(first).cast("date"), F.lit(last).cast("date")
+    # fields of a rule are read once for a row, not once for each step
+    read = df.withColumns({"__rule": F.upper(F.coalesce("rrule", F.lit(""))), "__d": F.to_date("start_ts")})
+    day_number = lambda x: F.array_position(F.array(*[F.lit(w) for w in ("MO", "TU", "WE", "TH", "FR", "SA", "SU")]), F.regexp_replace(x, r"^[-+]?\d+", "")).cast("int") - 1
+    read = read.withColumns(
+        {
+            "__freq": field("FREQ"),
+            "__step": F.greatest(F.coalesce(field("INTERVAL").try_cast("int"), F.lit(1)), F.lit(1)),
+            "__count": field("COUNT").try_cast("int"),
+            "__until": F.least(hi, F.coalesce(F.to_date(F.try_to_timestamp(F.substring(field("UNTIL"), 1, 8), F.lit("yyyyMMdd"))), hi)),
+            "__days": F.transform(F.split(field("BYDAY"), ","), day_number),
+            "__monday": F.date_sub("__d", F.weekday("__d")),
+            "__out": F.transform(F.coalesce("exdates", F.array().cast("array<string>")), lambda x: F.to_date(F.try_to_timestamp(x, F.lit("yyyyMMdd")))),
+        }
+    )
+    d, step, count, until, monday = (F.col(c) for c in ("__d", "__step", "__count", "__until", "__monday"))
+    # without COUNT, steps that end before the window are passed over
+    skipped = lambda unit: F.when(count.isNull(), F.greatest(F.floor(F.datediff(lo, d) / unit / step) - 1, F.lit(0))).otherwise(F.lit(0))
+    spine = lambda n, unit: F.transform(F.when((d <= until) & (skipped(unit) <= F.floor(n / step)), F.sequence(skipped(unit), F.floor(n / step))).otherwise(F.array().cast("array<bigint>")), lambda k: (k * step).cast("int"))
+    by_day = F.transform(spine(F.datediff(until, d), 1), lambda k: F.date_add(d, k))
+    offsets = F.coalesce("__days", F.array(F.weekday(d)))
+    by_week = F.flatten(F.transform(spine(F.floor(F.datediff(until, monday) / 7), 7), lambda k: F.transform(offsets, lambda o: F.when(F.date_add(monday, k * 7 + o) >= d, F.date_add(monday, k * 7 + o)))))
     months = F.greatest((F.year(until) - F.year(d)) * 12 + F.month(until) - F.month(d), F.lit(0))
     same_day = lambda x: F.when(F.day(x) == F.day(d), x)  # noqa: E731  a month without the day has no occurrence
-    by_month = F.transform(spine("month", months), lambda k: F.when(k % step == 0, same_day(F.add_months(d, k))))
-    by_year = F.transform(spine("year", F.floor(months / 12).cast("int")), lambda k: F.when(k % step == 0, same_day(F.add_months(d, k * 12))))
+    by_month = F.transform(spine(months, 31), lambda k: same_day(F.add_months(d, k)))
+    by_year = F.transform(spine(F.floor(months / 12), 366), lambda k: same_day(F.add_months(d, k * 12)))
+    freq = F.col("__freq")
     every = F.when(freq == "DAILY", by_day).when(freq == "WEEKLY", by_week).when(freq == "MONTHLY", by_month).when(freq == "YEARLY", by_year).otherwise(F.array(d))
-    dates = F.sort_array(F.array_distinct(F.filter(every, lambda x: x.isNotNull() & (x <= until))))
-    dates = F.when(count.isNotNull(), F.slice(dates, F.lit(1), F.greatest(count, F.lit(1)))).otherwise(dates)
-    out_of = F.transform(F.coalesce("exdates", F.array().cast("array<string>")), lambda x: F.to_date(F.try_to_timestamp(x, F.lit("yyyyMMdd"))))
-    dates = F.filter(F.array_except(dates, out_of), lambda x: (x >= lo) & (x <= hi))
-    return df.withColumn("occurs_on", F.explode(dates))
+    read = read.withColumn("__dates", F.sort_array(F.array_distinct(F.filter(every, lambda x: x.isNotNull() & (x <= until)))))
+    counted = F.when(count.isNotNull(), F.slice("__dates", F.lit(1), F.greatest(count, F.lit(1)))).otherwise(F.col("__dates"))
+    dates = F.filter(F.array_except(counted, "__out"), lambda x: (x >= lo) & (x <= hi))
+    own = [c for c in read.columns if c not in df.columns]
+    return read.withColumn("occurs_on", F.explode(dates)).drop(*own)
 
 
 def _joined(*parts: Column) -> Column:
