@@ -199,7 +199,7 @@ def _marquee_matches(df: DataFrame, events: DataFrame, min_days: float) -> DataF
     keys = events.select("event_seq", "host", F.explode("keywords").alias("kw")).withColumn("__word", F.split("kw", " ")[0])
     named = words.join(keys, "__word").where(F.col("__title").contains(F.concat(F.lit(" "), F.col("kw"), F.lit(" "))))
     of = named.groupBy("row_id").agg(F.min(F.struct("event_seq", "host")).alias("e"))
-    return long.join(of, "row_id").select("row_id", "e.event_seq", "e.host", "year", "calendar_type", "source", "first", "end", "last", "start_ts")
+    return long.hint("merge").join(of, "row_id").select("row_id", "e.event_seq", "e.host", "year", "calendar_type", "source", "first", "end", "last", "start_ts")
 
 
 def marquee_merge(df: DataFrame, events: DataFrame, min_days: float = 3) -> DataFrame:
@@ -242,7 +242,7 @@ def marquee_merge(df: DataFrame, events: DataFrame, min_days: float = 3) -> Data
         linked = F.coalesce(some("__website"), F.lit("")) != ""
         new |= {c: F.when(linked, v).otherwise(F.col(c)) for c, v in (("event_url", F.col("__website")), ("facebook_url", F.lit(""))) if c in df.columns}
     one = counts.join(chosen, group).join(about, "event_seq").drop("first", "last", "year")
-    event = df.join(one, F.col("row_id") == F.col("chosen")).select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns], "merged", "sources")
+    event = df.hint("merge").join(one, F.col("row_id") == F.col("chosen")).select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns], "merged", "sources")
     rest = df.join(members.select("row_id").distinct(), "row_id", "left_anti").select(*df.columns, F.lit(1).cast("long").alias("merged"), F.lit(1).cast("long").alias("sources"))
     return event.unionByName(rest)
 

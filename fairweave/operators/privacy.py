@@ -43,9 +43,10 @@ def find_private(df: DataFrame, rules: DataFrame, columns: list[str]) -> DataFra
     every = F.concat(none, *[F.when(F.size("w") >= n, window(n)).otherwise(none) for n in sizes])
     gram = texts.select("row_id", "column", words.alias("w")).select("row_id", "column", F.explode(every).alias("p"))
     gram = gram.select("row_id", "column", "p.i", "p.words", F.sha2("p.phrase", 256).alias("fingerprint"))
-    hit = gram.join(known, ["words", "fingerprint"]).groupBy("row_id", "column").agg(F.collect_set(F.struct("i", "words", "fingerprint")).alias("hits"))
+    hit = gram.join(F.broadcast(known), ["words", "fingerprint"]).groupBy("row_id", "column").agg(F.collect_set(F.struct("i", "words", "fingerprint")).alias("hits"))
     low = F.lower("text")
-    found = texts.join(hit, ["row_id", "column"]).select("row_id", "column", words.alias("w"), F.split(low, "[a-z0-9]+", -1).alias("g"), F.explode("hits").alias("h"))
+    # rows are not sent to the driver, however well their files are compressed
+    found = texts.hint("merge").join(hit, ["row_id", "column"]).select("row_id", "column", words.alias("w"), F.split(low, "[a-z0-9]+", -1).alias("g"), F.explode("hits").alias("h"))
     length = lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(x))
     i, n = F.col("h.i"), F.col("h.words")
     inner = F.slice("g", i + 1, n - 1)
@@ -62,7 +63,7 @@ def scrub_private(df: DataFrame, rules: DataFrame, columns: list[str]) -> DataFr
     """
     found = find_private(df, rules, columns)
     scoped = found.join(rules.select("fingerprint", F.coalesce("scope", F.lit("")).alias("scope"), "replace_with", F.col("lat").alias("new_lat"), F.col("lng").alias("new_lng")), "fingerprint")
-    scoped = scoped.join(df.select("row_id", F.col("kingdom").alias("__region")), "row_id").where("scope = '' or scope = __region")
+    scoped = scoped.join(df.select("row_id", F.col("kingdom").alias("__region")).hint("merge"), "row_id").where("scope = '' or scope = __region")
     spans = scoped.groupBy("row_id").agg(F.sort_array(F.collect_set(F.struct("column", "start", "stop", "replace_with"))).alias("spans"), F.min(F.struct("fingerprint", "new_lat", "new_lng")).alias("pin"))
     out = df.join(spans, "row_id", "left")
 

@@ -28,7 +28,8 @@ def carry_forward(df: DataFrame, prior: DataFrame, failed: DataFrame, as_of: dat
     """
     kept = prior.join(failed.select("source").distinct(), "source", "left_semi")
     kept = kept.where(F.to_date("start_ts") >= F.lit(as_of).cast("date"))
-    kept = kept.join(df.select("source", "title", "start_ts"), ["source", "title", "start_ts"], "left_anti")
+    # the new run is as large as the prior one: it is never sent to the driver
+    kept = kept.join(df.select("source", "title", "start_ts").hint("merge"), ["source", "title", "start_ts"], "left_anti")
     return df.withColumn("carried", F.lit(False)).unionByName(kept.select(df.columns).withColumn("carried", F.lit(True)))
 
 

@@ -148,6 +148,9 @@ def refresh(
     description is a placeholder; cached ``lookups`` (``geocode``); territories; private phrases of what came in since.
     Inputs that are left out leave their step out.  ``row_id`` is unique over ``df`` and ``prior`` together.
     """
+    # Spark can size what it reads from a file: so the hand-kept tables meet the rows, and the rows don't pass through the driver
+    failed, events, edges, private = stored(failed, "failed"), stored(events, "events"), stored(edges, "edges"), stored(private, "private")
+    boxes, homes, rules, keywords, seats = (t if t is None else stored(t, "kept") for t in (boxes, homes, rules, keywords, seats))
     out, prior = clean(with_state(df), as_of, **inputs), with_state(prior)
     out = with_prior_pins(stored(out, "unique"), prior, boxes, homes, state)
     out = carry_forward(stored(out, "pinned"), prior, failed, as_of).drop("carried")
@@ -173,5 +176,5 @@ def refresh(
     out = stored(marquee_host(host_region(stored(out, "located"), edges, layer)), "tagged")
     # what pages told since may hold private phrases too
     again = scrub_private(out.drop("privacy"), private, texts)
-    marked = again.join(out.select("row_id", F.col("privacy").alias("__before")), "row_id")
+    marked = again.join(out.select("row_id", F.col("privacy").alias("__before")).hint("merge"), "row_id")
     return marked.withColumn("privacy", F.when(F.col("privacy") == "", F.col("__before")).otherwise(F.col("privacy"))).drop("__before")
