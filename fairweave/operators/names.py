@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairweave.functions.text import norm_name
+from fairweave.operators.store import stored
 
 
 def _keys(text: Column, gram: int | None) -> Column:
@@ -35,13 +36,16 @@ def find_names(texts: DataFrame, names: DataFrame, *, scope: Sequence[str] = (),
     filed = names.select("name_id", *scope, "name", F.explode(_keys(F.col("name"), gram)).alias("key"))
     shared = filed.groupBy(*scope, "key").agg(F.count("*").alias("n"))
     rarest = filed.join(shared, [*scope, "key"]).groupBy("name_id", *scope, "name").agg(F.min_by("key", F.struct("n", -F.length("key"), "key")).alias("key"))
-    asked = texts.select("text_id", *scope, F.explode(_keys(F.col("text"), gram)).alias("key"))
-    near = asked.join(rarest, [*scope, "key"]).groupBy("text_id").agg(F.collect_list(F.struct("name_id", "name")).alias("near"))
-    # word for word: blanks around both
+    # texts are looked at twice, and made comparable once; the outer form keeps Spark from adding filters that split each text again
+    texts = stored(texts.select("text_id", *scope, "text"), "texts")
+    asked = texts.select("text_id", *scope, F.explode_outer(_keys(F.col("text"), gram)).alias("key"))
+    rarest = rarest.select("name_id", *scope, "key", F.concat(F.lit(" " if gram is None else ""), "name", F.lit(" " if gram is None else "")).alias("__name"))
+    near = asked.join(rarest, [*scope, "key"]).groupBy("text_id").agg(F.collect_list(F.struct("name_id", "__name")).alias("near"))
+    # word for word: blanks around both, put there once for a text and once for a name
     edge = F.lit(" " if gram is None else "")
-    whole = F.concat(edge, "text", edge)
-    held = F.filter("near", lambda x: whole.contains(F.concat(edge, x["name"], edge)))
-    return texts.select("text_id", "text").join(near, "text_id").select("text_id", F.explode(held).alias("x")).select("text_id", "x.name_id")
+    whole = texts.select("text_id", F.concat(edge, "text", edge).alias("__whole"))
+    held = F.filter("near", lambda x: F.col("__whole").contains(x["__name"]))
+    return whole.join(near, "text_id").select("text_id", F.explode(held).alias("x")).select("text_id", "x.name_id")
 
 
 def titles_with_names(df: DataFrame, names: DataFrame, least: int = 4) -> DataFrame:
